@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import sales
+from .operators import cross_territory, ranking, sales
 from .sources.tables import Tables
 
 CATEGORY = 7
@@ -28,8 +28,38 @@ def q_sales_by_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.sales_by_territory(_tables(spark, sf_dir), CATEGORY)
 
 
+def q_top_product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_requested_product(_tables(spark, sf_dir), REGION, "lines", "region")
+
+
+def q_top_product_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_requested_product(_tables(spark, sf_dir), REGION, "units", "region")
+
+
+def q_top_product_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_requested_product(_tables(spark, sf_dir), REGION, "orders", "region")
+
+
+def q_top_product_by_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_requested_product(_tables(spark, sf_dir), REGION, "units", "territory")
+
+
+def q_cross_territory_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_territory.cross_territory(_tables(spark, sf_dir), "customer")
+
+
+def q_cross_territory_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_territory.cross_territory(_tables(spark, sf_dir), "order")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_territory": q_sales_by_territory,
+    "top_product_lines": q_top_product_lines,
+    "top_product_units": q_top_product_units,
+    "top_product_orders": q_top_product_orders,
+    "top_product_by_territory": q_top_product_by_territory,
+    "cross_territory_customers": q_cross_territory_customers,
+    "cross_territory_orders": q_cross_territory_orders,
 }
 
 
@@ -39,6 +69,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _AMOUNT = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 _CATEGORY = "CAST(substr(p_brand, 7) AS INTEGER)"
 
+
+
+def _top_product_sql(measure_sql: str, group_sql: str) -> str:
+    return f"""
+        WITH counts AS (
+            SELECT {group_sql} AS grp, l.l_partkey AS product_id,
+                   CAST({measure_sql} AS BIGINT) AS requests
+            FROM lineitem l
+            JOIN orders o ON l.l_orderkey = o.o_orderkey
+            JOIN customer c ON o.o_custkey = c.c_custkey
+            JOIN nation n ON c.c_nationkey = n.n_nationkey
+            JOIN region r ON n.n_regionkey = r.r_regionkey
+            WHERE r.r_name = '{REGION}'
+            GROUP BY 1, 2
+        ), ranked AS (
+            SELECT *, rank() OVER (PARTITION BY grp ORDER BY requests DESC) AS rk FROM counts
+        )
+        SELECT p.p_name AS product, requests, grp AS region, product_id
+        FROM ranked LEFT JOIN part p ON p.p_partkey = ranked.product_id
+        WHERE rk = 1
+    """
+
+
+def _cross_territory_sql(id_sql: str) -> str:
+    return f"""
+        SELECT DISTINCT {id_sql} AS id, no.n_name AS order_territory,
+               ns.n_name AS ship_territory
+        FROM lineitem l
+        JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN customer c ON o.o_custkey = c.c_custkey
+        JOIN nation no ON c.c_nationkey = no.n_nationkey
+        JOIN nation ns ON s.s_nationkey = ns.n_nationkey
+        WHERE c.c_nationkey <> s.s_nationkey
+    """
+
+
 ORACLE: dict[str, str] = {
     "sales_by_territory": f"""
         SELECT CAST(SUM({_AMOUNT}) AS DOUBLE) AS total_sales,
@@ -51,4 +118,10 @@ ORACLE: dict[str, str] = {
         WHERE {_CATEGORY} = {CATEGORY}
         GROUP BY n.n_name, n.n_nationkey
     """,
+    "top_product_lines": _top_product_sql("COUNT(*)", "r.r_name"),
+    "top_product_units": _top_product_sql("SUM(l.l_quantity)", "r.r_name"),
+    "top_product_orders": _top_product_sql("COUNT(DISTINCT l.l_orderkey)", "r.r_name"),
+    "top_product_by_territory": _top_product_sql("SUM(l.l_quantity)", "n.n_name"),
+    "cross_territory_customers": _cross_territory_sql("c.c_custkey"),
+    "cross_territory_orders": _cross_territory_sql("o.o_orderkey"),
 }
