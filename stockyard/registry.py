@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import cross_territory, ranking, sales
+from functools import reduce
+
+from .operators import cross_territory, ranking, sales, stock, updates
 from .sources.tables import Tables
 
 CATEGORY = 7
@@ -52,6 +54,37 @@ def q_cross_territory_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_territory.cross_territory(_tables(spark, sf_dir), "order")
 
 
+def q_stock_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stock.adjust_stock(_tables(spark, sf_dir), CATEGORY, LOCATION, PCT).updated
+
+
+def q_order_quantity_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.set_order_quantity(_tables(spark, sf_dir)).updated
+
+
+def q_ship_method_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.set_ship_method(_tables(spark, sf_dir)).updated
+
+
+def q_ship_method_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.set_ship_method(_tables(spark, sf_dir)).rejects
+
+
+def q_email_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.set_email(_tables(spark, sf_dir)).updated
+
+
+def q_update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    outcomes = [
+        stock.adjust_stock(t, CATEGORY, LOCATION, PCT).outcome,
+        updates.set_order_quantity(t).outcome,
+        updates.set_ship_method(t).outcome,
+        updates.set_email(t).outcome,
+    ]
+    return reduce(DataFrame.unionByName, outcomes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_territory": q_sales_by_territory,
     "top_product_lines": q_top_product_lines,
@@ -60,6 +93,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_product_by_territory": q_top_product_by_territory,
     "cross_territory_customers": q_cross_territory_customers,
     "cross_territory_orders": q_cross_territory_orders,
+    "stock_adjusted": q_stock_adjusted,
+    "order_quantity_updated": q_order_quantity_updated,
+    "ship_method_updated": q_ship_method_updated,
+    "ship_method_rejects": q_ship_method_rejects,
+    "email_updated": q_email_updated,
+    "update_outcomes": q_update_outcomes,
 }
 
 
@@ -106,6 +145,75 @@ def _cross_territory_sql(id_sql: str) -> str:
     """
 
 
+# Inventory, the category's parts, and the three change tables, as CTEs.
+_INVENTORY = """
+    inv AS (
+        SELECT l.l_partkey AS product_id, s.s_nationkey AS location_id,
+               CAST(SUM(l.l_quantity) AS BIGINT) AS quantity
+        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        GROUP BY 1, 2
+    ), cat AS (
+        SELECT p_partkey FROM part WHERE """ + _CATEGORY + f""" = {CATEGORY}
+    ), hit AS (
+        SELECT inv.*, (location_id = {LOCATION}
+                       AND product_id IN (SELECT p_partkey FROM cat)) AS is_hit
+        FROM inv
+    )"""
+
+_QTY_CHANGES = """
+    ch AS (
+        SELECT DISTINCT l.l_orderkey, l.l_partkey,
+               CAST(1 + l.l_orderkey % 50 AS DOUBLE) AS new_value, e.event_id AS seq
+        FROM lineitem l JOIN events e ON l.l_orderkey = e.event_id
+        WHERE e.event_type = 'purchase' AND l.l_linenumber = 1
+    ), ok AS (
+        SELECT * FROM ch WHERE EXISTS (
+            SELECT 1 FROM lineitem b
+            WHERE b.l_orderkey = ch.l_orderkey AND b.l_partkey = ch.l_partkey)
+    ), w AS (
+        SELECT l_orderkey, l_partkey, new_value FROM (
+            SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
+                                         ORDER BY seq DESC, new_value DESC) AS rn
+            FROM ok) WHERE rn = 1
+    )"""
+
+_METHOD_CHANGES = """
+    methods AS (
+        SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS id,
+               min(o_orderpriority) AS name
+        FROM orders GROUP BY 1
+    ), ch AS (
+        SELECT event_id AS o_orderkey, CAST(1 + event_id % 6 AS INTEGER) AS new_value,
+               event_id AS seq
+        FROM events WHERE event_type = 'click'
+    ), known AS (
+        SELECT * FROM ch WHERE new_value IN (SELECT id FROM methods)
+    ), ok AS (
+        SELECT * FROM known WHERE o_orderkey IN (SELECT o_orderkey FROM orders)
+    ), w AS (
+        SELECT o_orderkey, new_value FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_orderkey
+                                         ORDER BY seq DESC, new_value DESC) AS rn
+            FROM ok) WHERE rn = 1
+    )"""
+
+_EMAIL_CHANGES = """
+    ch AS (
+        SELECT user_id AS person_id,
+               'u' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id AS VARCHAR)
+                   || '@example.com' AS new_value,
+               ts, event_id
+        FROM events WHERE event_type = 'signup'
+    ), ok AS (
+        SELECT * FROM ch WHERE person_id IN (SELECT c_custkey FROM customer)
+    ), w AS (
+        SELECT person_id, new_value FROM (
+            SELECT *, row_number() OVER (PARTITION BY person_id
+                                         ORDER BY ts DESC, event_id DESC, new_value DESC) AS rn
+            FROM ok) WHERE rn = 1
+    )"""
+
+
 ORACLE: dict[str, str] = {
     "sales_by_territory": f"""
         SELECT CAST(SUM({_AMOUNT}) AS DOUBLE) AS total_sales,
@@ -124,4 +232,73 @@ ORACLE: dict[str, str] = {
     "top_product_by_territory": _top_product_sql("SUM(l.l_quantity)", "n.n_name"),
     "cross_territory_customers": _cross_territory_sql("c.c_custkey"),
     "cross_territory_orders": _cross_territory_sql("o.o_orderkey"),
+    "stock_adjusted": f"""
+        WITH {_INVENTORY}
+        SELECT product_id, location_id,
+               CASE WHEN is_hit THEN quantity + (quantity * {PCT}) // 100
+                    ELSE quantity END AS quantity
+        FROM hit
+    """,
+    "order_quantity_updated": f"""
+        WITH {_QTY_CHANGES}
+        SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
+               COALESCE(w.new_value, l.l_quantity) AS l_quantity,
+               l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag,
+               l.l_linestatus, l.l_shipdate
+        FROM lineitem l
+        LEFT JOIN w ON l.l_orderkey = w.l_orderkey AND l.l_partkey = w.l_partkey
+    """,
+    "ship_method_updated": f"""
+        WITH {_METHOD_CHANGES}
+        SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
+               COALESCE(m.name, o.o_orderpriority) AS o_orderpriority
+        FROM orders o
+        LEFT JOIN w ON o.o_orderkey = w.o_orderkey
+        LEFT JOIN methods m ON m.id = w.new_value
+    """,
+    "ship_method_rejects": f"""
+        WITH {_METHOD_CHANGES}
+        SELECT o_orderkey, new_value, seq, 'no_such_method' AS reason
+        FROM ch WHERE new_value NOT IN (SELECT id FROM methods)
+        UNION ALL
+        SELECT o_orderkey, new_value, seq, 'no_such_key' AS reason
+        FROM known WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)
+    """,
+    "email_updated": f"""
+        WITH {_EMAIL_CHANGES}
+        SELECT c.c_custkey AS person_id,
+               COALESCE(w.new_value, 'c' || CAST(c.c_custkey AS VARCHAR) || '@example.com')
+                   AS email
+        FROM customer c LEFT JOIN w ON c.c_custkey = w.person_id
+    """,
+    "update_outcomes": f"""
+        WITH {_INVENTORY}
+        SELECT 'adjust_stock' AS op, CAST(1 AS BIGINT) AS changes,
+               CAST(1 AS BIGINT) AS applied, CAST(0 AS BIGINT) AS superseded,
+               CAST(0 AS BIGINT) AS rejected,
+               (SELECT COUNT(*) FROM hit WHERE is_hit) AS rows_matched
+        UNION ALL (
+        WITH {_QTY_CHANGES}
+        SELECT 'set_order_quantity', (SELECT COUNT(*) FROM ch),
+               (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ok) - (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ch) - (SELECT COUNT(*) FROM ok),
+               (SELECT COUNT(*) FROM lineitem l WHERE EXISTS (
+                    SELECT 1 FROM w WHERE w.l_orderkey = l.l_orderkey
+                                      AND w.l_partkey = l.l_partkey)))
+        UNION ALL (
+        WITH {_METHOD_CHANGES}
+        SELECT 'set_ship_method', (SELECT COUNT(*) FROM ch),
+               (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ok) - (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ch) - (SELECT COUNT(*) FROM ok),
+               (SELECT COUNT(*) FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM w)))
+        UNION ALL (
+        WITH {_EMAIL_CHANGES}
+        SELECT 'set_email', (SELECT COUNT(*) FROM ch),
+               (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ok) - (SELECT COUNT(*) FROM w),
+               (SELECT COUNT(*) FROM ch) - (SELECT COUNT(*) FROM ok),
+               (SELECT COUNT(*) FROM customer WHERE c_custkey IN (SELECT person_id FROM w)))
+    """,
 }

@@ -123,12 +123,13 @@ def inventory(t: Tables) -> DataFrame:
 
 
 def ship_methods(t: Tables) -> DataFrame:
-    """ship_method_id int, name string: the distinct order priorities (5 rows)."""
+    """ship_method_id int, name string: one row per leading digit of the order
+    priorities (5 rows). A partial aggregation over one column of ``orders``."""
     return (
         t["orders"]
-        .select(F.col("o_orderpriority").alias("name"))
-        .distinct()
-        .select(F.substring("name", 1, 1).cast("int").alias("ship_method_id"), "name")
+        .groupBy(ship_method_of().alias("ship_method_id"))
+        .agg(F.min("o_orderpriority").alias("name"))
+        .filter(F.col("ship_method_id").isNotNull())
     )
 
 
