@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from functools import reduce
 
+from .functions import report
 from .operators import cross_territory, ranking, sales, stock, updates
 from .sources.tables import Tables
 
@@ -85,6 +86,18 @@ def q_update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, outcomes)
 
 
+def q_sales_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.sales_report(_tables(spark, sf_dir), CATEGORY)
+
+
+def q_top_product_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.top_product_report(_tables(spark, sf_dir), region=REGION, measure="lines")
+
+
+def q_cross_territory_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.cross_territory_report(_tables(spark, sf_dir), "customer")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_territory": q_sales_by_territory,
     "top_product_lines": q_top_product_lines,
@@ -99,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ship_method_rejects": q_ship_method_rejects,
     "email_updated": q_email_updated,
     "update_outcomes": q_update_outcomes,
+    "sales_report_lines": q_sales_report_lines,
+    "top_product_report_lines": q_top_product_report_lines,
+    "cross_territory_report_lines": q_cross_territory_report_lines,
 }
 
 
@@ -214,6 +230,28 @@ _EMAIL_CHANGES = """
     )"""
 
 
+def _lines_sql(source_sql: str, order_sql: str, parts: list[str]) -> str:
+    rn = f"row_number() OVER (ORDER BY {order_sql})"
+    line = " || ".join([f"CAST({rn} AS VARCHAR)", *parts])
+    return f"""
+        WITH u AS ({source_sql})
+        SELECT {rn} AS n, {line} AS line FROM u
+    """
+
+
+_SALES_EXACT_SQL = f"""
+        SELECT CAST(SUM({_AMOUNT}) AS DECIMAL(18,4)) AS total_sales,
+               n.n_name AS territory, n.n_nationkey AS territory_id
+        FROM lineitem l
+        JOIN part p ON l.l_partkey = p.p_partkey
+        JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN customer c ON o.o_custkey = c.c_custkey
+        JOIN nation n ON c.c_nationkey = n.n_nationkey
+        WHERE {_CATEGORY} = {CATEGORY}
+        GROUP BY n.n_name, n.n_nationkey
+"""
+
+
 ORACLE: dict[str, str] = {
     "sales_by_territory": f"""
         SELECT CAST(SUM({_AMOUNT}) AS DOUBLE) AS total_sales,
@@ -301,4 +339,31 @@ ORACLE: dict[str, str] = {
                (SELECT COUNT(*) FROM ch) - (SELECT COUNT(*) FROM ok),
                (SELECT COUNT(*) FROM customer WHERE c_custkey IN (SELECT person_id FROM w)))
     """,
+    "sales_report_lines": _lines_sql(
+        _SALES_EXACT_SQL,
+        "territory_id",
+        [
+            "' Total Ventas:'", "CAST(total_sales AS VARCHAR)",
+            "' Territorio:'", "territory",
+            "' IDTerritorio:'", "CAST(territory_id AS VARCHAR)",
+        ],
+    ),
+    "top_product_report_lines": _lines_sql(
+        _top_product_sql("COUNT(*)", "r.r_name"),
+        "region, product_id",
+        [
+            "' Producto:'", "product",
+            "' Solicitudes:'", "CAST(requests AS VARCHAR)",
+            "' Region:'", "region",
+        ],
+    ),
+    "cross_territory_report_lines": _lines_sql(
+        _cross_territory_sql("c.c_custkey"),
+        "id, order_territory, ship_territory",
+        [
+            "' ID: '", "CAST(id AS VARCHAR)",
+            "' TeritorioPedido:'", "order_territory",
+            "' TerritorioMandado:'", "ship_territory",
+        ],
+    ),
 }
