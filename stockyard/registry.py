@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from functools import reduce
 
-from .functions import report
+from .functions import report, table_functions
 from .operators import cross_territory, ranking, sales, stock, updates
 from .sources.tables import Tables
 
@@ -98,6 +98,25 @@ def q_cross_territory_report_lines(spark: SparkSession, sf_dir: str) -> DataFram
     return report.cross_territory_report(_tables(spark, sf_dir), "customer")
 
 
+def _with_functions(spark: SparkSession, sf_dir: str) -> None:
+    table_functions.register(_tables(spark, sf_dir))
+
+
+def q_sales_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "sales_by_territory", CATEGORY)
+
+
+def q_top_product_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "top_requested_product", REGION)
+
+
+def q_cross_territory_table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "cross_territory_customers")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_territory": q_sales_by_territory,
     "top_product_lines": q_top_product_lines,
@@ -115,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_report_lines": q_sales_report_lines,
     "top_product_report_lines": q_top_product_report_lines,
     "cross_territory_report_lines": q_cross_territory_report_lines,
+    "sales_table_function": q_sales_table_function,
+    "top_product_table_function": q_top_product_table_function,
+    "cross_territory_table_function": q_cross_territory_table_function,
 }
 
 
@@ -367,3 +389,6 @@ ORACLE: dict[str, str] = {
         ],
     ),
 }
+ORACLE["sales_table_function"] = ORACLE["sales_by_territory"]
+ORACLE["top_product_table_function"] = ORACLE["top_product_lines"]
+ORACLE["cross_territory_table_function"] = ORACLE["cross_territory_customers"]
