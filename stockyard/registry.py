@@ -23,8 +23,18 @@ PCT = 5
 REGION = "AMERICA"
 
 
+_CATALOGS: dict[tuple[int, str], Tables] = {}
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables.from_parquet(spark, sf_dir)
+    """One catalog per (session, folder): tables are opened and the dimension
+    size checks run once, then every query of the session shares them."""
+    key = (id(spark), sf_dir)
+    t = _CATALOGS.get(key)
+    if t is None or t.spark is not spark or spark.sparkContext._jsc is None:
+        t = Tables.from_parquet(spark, sf_dir)
+        _CATALOGS[key] = t
+    return t
 
 
 def q_sales_by_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
