@@ -3,25 +3,28 @@
 ``apply_changes(base, changes, keys, column)``
 
 * ``changes`` has the key columns (named as in ``base``), ``new_value`` and
-  ``seq`` (anything orderable: a bigint, or a struct such as (ts, event_id)).
+  ``seq`` (anything orderable: a bigint, or a struct such as (ts, event_id)),
+  and optionally ``reason``: a change that arrives with a reason was already
+  rejected upstream (an unknown ship method, a quantity under a minimum).
 * Changes that can never apply are set aside with a reason: ``null_key``,
-  ``null_value``, ``no_such_key`` (plus any reasons the caller found earlier,
-  passed as ``pre_rejects``).
+  ``null_value``, ``no_such_key``, or the upstream one.
 * The rest collapse to one change per key with ``max(struct(seq, new_value))``:
   a partial (map-side) aggregation, no sort and no window, so a key changed a
   million times costs one row per map task. On equal ``seq`` the larger
   ``new_value`` wins, deterministically.
-* ``base`` LEFT JOIN collapsed changes; the decision uses a match marker on the
-  change side, never ``new_value is not null``. A key matching several base
-  rows updates all of them, as a SQL UPDATE does.
-
-The result keeps the schema and the row count of ``base``. Everything is lazy;
-the outcome counts are a one-row DataFrame, computed by one aggregation over a
-union (no cross join), or by ``observe`` while a snapshot is written.
-
-Which change keys exist in ``base`` is found by a semi-join that streams only
-the key columns of ``base`` against the collapsed keys, so the full rows of
-``base`` are read once, by the update itself.
+* ``base`` LEFT JOIN the collapsed changes; the decision uses a match marker
+  on the change side, never ``new_value is not null``. A key matching several
+  base rows updates all of them, as a SQL UPDATE does.
+
+The result keeps the schema and the row count of ``base``. Everything is lazy.
+
+Work is organised around one per-key table, built by a single conditional
+aggregation over the changes: the winner, how many valid changes the key had,
+how many were rejected. The update reads ``base`` once (one left join; a key
+absent from ``base`` simply matches nothing). Whether a key exists in ``base``
+matters only for the rejects and the counts; a semi-join that streams just the
+key columns of ``base`` counts the rows each change key matches, and the
+outcome is then one aggregation over the per-key table (no cross join).
 """
 
 from __future__ import annotations
@@ -49,11 +52,9 @@ class ChangeSetResult:
 
     op: str
     joined: DataFrame  # base columns + the match marker ``_hit``
-    base_columns: list[str]
-    rejects: DataFrame  # keys..., new_value, seq, reason
-    collapsed: DataFrame  # keys..., new_value, seq, _n (changes per key), _found
-    hits: DataFrame  # the key columns of every base row that a change matches
-    change_count: DataFrame  # one row per incoming change (only counted)
+    keys: list[str]
+    flagged: DataFrame  # every change: keys..., new_value, seq, reason (null = valid)
+    per_key: DataFrame  # keys..., _w (winner), _n (valid), _bad (rejected), _m (base rows)
     finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final columns + _hit
 
     @property
@@ -66,32 +67,37 @@ class ChangeSetResult:
         """The new table: same row count as ``base``."""
         return self.table.drop(HIT)
 
+    @property
+    def rejects(self) -> DataFrame:
+        """keys..., new_value, seq, reason for every change that was not applied
+        (superseded changes are not rejects)."""
+        cols = [*self.keys, "new_value", "seq", "reason"]
+        flagged = self.flagged.filter(F.col("reason").isNotNull()).select(*cols)
+        missing = self.per_key.filter((F.col("_n") > 0) & F.col("_m").isNull()).select(*self.keys)
+        no_such_key = (
+            self.flagged.filter(F.col("reason").isNull())
+            .join(missing, self.keys, "left_semi")
+            .withColumn("reason", F.lit(NO_SUCH_KEY))
+            .select(*cols)
+        )
+        return flagged.unionByName(no_such_key)
+
     @property
     def outcome(self) -> DataFrame:
         """One row: op, changes, applied, superseded, rejected, rows_matched."""
-        zero = F.lit(0).cast("bigint")
-        one = F.lit(1).cast("bigint")
-        cols = ("c", "a", "s", "r", "m")
-
-        def row(**values: Column):
-            return [values.get(c, zero).alias(c) for c in cols]
-
-        parts = [
-            self.change_count.select(*row(c=one)),
-            self.rejects.select(*row(r=one)),
-            self.collapsed.filter(F.col("_found")).select(
-                *row(a=one, s=(F.col("_n") - 1).cast("bigint"))
-            ),
-            self.hits.select(*row(m=one)),
-        ]
-        unioned = reduce(DataFrame.unionByName, parts)
-        return unioned.agg(
+        n, bad, m = F.col("_n"), F.col("_bad"), F.col("_m")
+        found = (n > 0) & m.isNotNull()
+
+        def total(c: Column) -> Column:
+            return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+        return self.per_key.agg(
             F.lit(self.op).alias("op"),
-            F.sum("c").cast("bigint").alias("changes"),
-            F.sum("a").cast("bigint").alias("applied"),
-            F.sum("s").cast("bigint").alias("superseded"),
-            F.sum("r").cast("bigint").alias("rejected"),
-            F.sum("m").cast("bigint").alias("rows_matched"),
+            total(n + bad).alias("changes"),
+            total(F.when(found, 1).otherwise(0)).alias("applied"),
+            total(F.when(found, n - 1).otherwise(0)).alias("superseded"),
+            total(bad + F.when(found, 0).otherwise(n)).alias("rejected"),
+            total(F.coalesce(m, F.lit(0))).alias("rows_matched"),
         )
 
 
@@ -105,9 +111,8 @@ def apply_changes(
     keys: list[str],
     column: str,
     op: str = "apply_changes",
-    pre_rejects: DataFrame | None = None,
 ) -> ChangeSetResult:
-    """Apply ``changes`` (keys..., new_value, seq) to ``column`` of ``base``."""
+    """Apply ``changes`` (keys..., new_value, seq[, reason]) to ``column`` of ``base``."""
     missing = [k for k in [*keys, column] if k not in base.columns]
     if missing:
         raise ValueError(f"base lacks columns {missing}")
@@ -116,54 +121,39 @@ def apply_changes(
         raise ValueError(f"changes lack columns {missing}")
 
     value_type = base.schema[column].dataType
-    changes = changes.select(
-        *keys, F.col("new_value").cast(value_type).alias("new_value"), "seq"
+    upstream = F.col("reason").cast("string") if "reason" in changes.columns else F.lit(None)
+    reason = F.coalesce(
+        upstream,
+        F.when(_any_null(keys), F.lit(NULL_KEY)).when(
+            F.col("new_value").isNull(), F.lit(NULL_VALUE)
+        ),
     )
-    reason = F.when(_any_null(keys), F.lit(NULL_KEY)).when(
-        F.col("new_value").isNull(), F.lit(NULL_VALUE)
+    flagged = changes.select(
+        *keys,
+        F.col("new_value").cast(value_type).alias("new_value"),
+        "seq",
+        reason.cast("string").alias("reason"),
     )
-    flagged = changes.withColumn("reason", reason)
-    invalid = flagged.filter(F.col("reason").isNotNull())
-    valid = flagged.filter(F.col("reason").isNull()).drop("reason")
 
-    # Latest change per key: partial aggregation of a struct max.
-    collapsed = valid.groupBy(*keys).agg(
-        F.max(F.struct("seq", "new_value")).alias("_w"), F.count(F.lit(1)).alias("_n")
-    )
-    change_keys = collapsed.select(*keys)
-
-    # Base rows that some change addresses (key columns only), and the keys found.
-    hits = base.select(*keys).join(change_keys, keys, "left_semi")
-    found = hits.distinct().withColumn("_found", F.lit(True))
-    collapsed = (
-        collapsed.join(found, keys, "left")
-        .select(
-            *keys,
-            F.col("_w.new_value").alias("new_value"),
-            F.col("_w.seq").alias("seq"),
-            "_n",
-            F.coalesce(F.col("_found"), F.lit(False)).alias("_found"),
-        )
+    valid = F.col("reason").isNull()
+    per_key_changes = flagged.groupBy(*keys).agg(
+        F.max(F.when(valid, F.struct("seq", "new_value"))).alias("_w"),
+        F.count(F.when(valid, 1)).alias("_n"),
+        F.count(F.when(~valid, 1)).alias("_bad"),
     )
-
-    no_such_key = valid.join(found.select(*keys), keys, "left_anti").withColumn(
-        "reason", F.lit(NO_SUCH_KEY)
+    change_keys = per_key_changes.filter(F.col("_n") > 0).select(*keys)
+
+    # Base rows per change key (key columns of base only).
+    matches = (
+        base.select(*keys)
+        .join(change_keys, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_m"))
     )
-    reject_cols = [*keys, "new_value", "seq", "reason"]
-    rejects = invalid.select(*reject_cols).unionByName(no_such_key.select(*reject_cols))
-    change_count = changes.select(F.lit(1).alias("_one"))
-    if pre_rejects is not None:
-        pre = pre_rejects.select(
-            *keys,
-            F.col("new_value").cast(value_type).alias("new_value"),
-            "seq",
-            "reason",
-        )
-        rejects = pre.unionByName(rejects)
-        change_count = change_count.unionByName(pre.select(F.lit(1).alias("_one")))
+    per_key = per_key_changes.join(matches, keys, "left")
 
-    winners = collapsed.filter(F.col("_found")).select(
-        *keys, F.col("new_value").alias("_new"), F.lit(True).alias(HIT)
+    winners = per_key_changes.filter(F.col("_n") > 0).select(
+        *keys, F.col("_w.new_value").alias("_new"), F.lit(True).alias(HIT)
     )
     joined_raw = base.join(winners, keys, "left")
     hit = F.coalesce(F.col(HIT), F.lit(False))
@@ -174,12 +164,4 @@ def apply_changes(
         ],
         hit.alias(HIT),
     )
-    return ChangeSetResult(
-        op=op,
-        joined=joined,
-        base_columns=list(base.columns),
-        rejects=rejects,
-        collapsed=collapsed,
-        hits=hits,
-        change_count=change_count,
-    )
+    return ChangeSetResult(op=op, joined=joined, keys=list(keys), flagged=flagged, per_key=per_key)

@@ -47,13 +47,24 @@ def requests_per_product(
         .select("territory_id", F.col(group_col).alias("grp"))
     )
     customer = t["customer"].select("c_custkey", "c_nationkey")
-    customers = customer.join(nations, customer.c_nationkey == nations.territory_id).select(
-        "c_custkey", "grp"
-    )
     orders = t["orders"].select("o_orderkey", "o_custkey")
-    region_orders = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        "o_orderkey", "grp"
-    )
+    if per == "region":
+        # The group is the region itself: plain semi-joins filter customers and
+        # orders. (A semi-join's size estimate is its left side's, so the
+        # planner keeps choosing the right build side for the lines join.)
+        customers = customer.join(
+            nations, customer.c_nationkey == nations.territory_id, "left_semi"
+        )
+        region_orders = orders.join(
+            customers, orders.o_custkey == customers.c_custkey, "left_semi"
+        ).select("o_orderkey", F.lit(region).alias("grp"))
+    else:
+        customers = customer.join(
+            nations, customer.c_nationkey == nations.territory_id
+        ).select("c_custkey", "grp")
+        region_orders = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
+            "o_orderkey", "grp"
+        )
     lines = t["lineitem"].select("l_orderkey", "l_partkey", "l_quantity")
     region_lines = lines.join(region_orders, lines.l_orderkey == region_orders.o_orderkey)
 

@@ -38,19 +38,10 @@ def set_order_quantity(
 ) -> ChangeSetResult:
     """U5 over ``lineitem``; changes: l_orderkey, l_partkey, new_value, seq."""
     changes = fixture.quantity_changes(t) if changes is None else changes
-    pre_rejects = None
     if min_quantity is not None:
         low = F.col("new_value") < F.lit(min_quantity)
-        pre_rejects = changes.filter(low).withColumn("reason", F.lit(BELOW_MIN_QUANTITY))
-        changes = changes.filter(~low | F.col("new_value").isNull())
-    return apply_changes(
-        t["lineitem"],
-        changes,
-        ORDER_LINE_KEYS,
-        "l_quantity",
-        op="set_order_quantity",
-        pre_rejects=pre_rejects,
-    )
+        changes = changes.withColumn("reason", F.when(low, F.lit(BELOW_MIN_QUANTITY)))
+    return apply_changes(t["lineitem"], changes, ORDER_LINE_KEYS, "l_quantity", op="set_order_quantity")
 
 
 def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetResult:
@@ -61,10 +52,9 @@ def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetRes
     known_ids = methods.select(F.col("ship_method_id").alias("_known_id"), F.lit(True).alias("_known"))
     checked = changes.join(known_ids, changes.new_value == known_ids._known_id, "left")
     unknown = F.col("new_value").isNotNull() & F.col("_known").isNull()
-    pre_rejects = checked.filter(unknown).select(
-        *ORDER_KEYS, "new_value", "seq", F.lit(NO_SUCH_METHOD).alias("reason")
+    checked = checked.select(
+        *ORDER_KEYS, "new_value", "seq", F.when(unknown, F.lit(NO_SUCH_METHOD)).alias("reason")
     )
-    accepted = checked.filter(~unknown).select(*ORDER_KEYS, "new_value", "seq")
 
     orders = t["orders"]
     base = orders.withColumn(_METHOD, fixture.ship_method_of())
@@ -85,9 +75,7 @@ def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetRes
             HIT,
         )
 
-    result = apply_changes(
-        base, accepted, ORDER_KEYS, _METHOD, op="set_ship_method", pre_rejects=pre_rejects
-    )
+    result = apply_changes(base, checked, ORDER_KEYS, _METHOD, op="set_ship_method")
     result.finish = finish
     return result
 
