@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import bounded_broadcast
 from ..sources import fixture
 from ..sources.tables import Tables
 from .changeset import HIT, ChangeSetResult, apply_changes
@@ -48,7 +47,7 @@ def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetRes
     """U6 over ``orders``; changes: o_orderkey, new_value (method ID), seq."""
     changes = fixture.ship_method_changes(t) if changes is None else changes
     # The method list is a dimension of a handful of rows: checked, then broadcast.
-    methods = bounded_broadcast(fixture.ship_methods(t), cache=t.bounded_cache, key="ship_methods")
+    methods = fixture.ship_method_dim(t)
     known_ids = methods.select(F.col("ship_method_id").alias("_known_id"), F.lit(True).alias("_known"))
     checked = changes.join(known_ids, changes.new_value == known_ids._known_id, "left")
     unknown = F.col("new_value").isNotNull() & F.col("_known").isNull()

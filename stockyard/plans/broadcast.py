@@ -3,7 +3,8 @@
 Two kinds of join input exist in this engine:
 
 * Dimensions whose size does not grow with the data: ``region`` (5 rows),
-  ``nation`` (25), the ship-method list (5), the per-region winners of U2.
+  ``nation`` (25), the ship-method list (5), the per-partition offsets of the
+  distributed numbering (one row per partition).
   They are hinted with ``broadcast()`` *after* a bounded count proves they are
   small: ``limit(max_rows + 1).count()`` stops reading once the bound is
   passed, so the check costs at most ``max_rows + 1`` rows.

@@ -65,8 +65,11 @@ def territory(t: Tables) -> DataFrame:
 
 
 def territory_dim(t: Tables) -> DataFrame:
-    """:func:`territory` behind the bounded broadcast check."""
-    return bounded_broadcast(territory(t), cache=t.bounded_cache, key="territory")
+    """:func:`territory` behind the bounded broadcast check (built once per catalog)."""
+    return t.derived(
+        "territory_dim",
+        lambda: bounded_broadcast(territory(t), cache=t.bounded_cache, key="territory"),
+    )
 
 
 def product(t: Tables) -> DataFrame:
@@ -133,6 +136,14 @@ def ship_methods(t: Tables) -> DataFrame:
     )
 
 
+def ship_method_dim(t: Tables) -> DataFrame:
+    """:func:`ship_methods` behind the bounded broadcast check (built once per catalog)."""
+    return t.derived(
+        "ship_method_dim",
+        lambda: bounded_broadcast(ship_methods(t), cache=t.bounded_cache, key="ship_methods"),
+    )
+
+
 def ship_method_of(priority: str = "o_orderpriority") -> Column:
     return F.substring(F.col(priority), 1, 1).cast("int")
 

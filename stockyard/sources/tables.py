@@ -38,6 +38,7 @@ class Tables(Mapping[str, DataFrame]):
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
+        self._derived: dict[str, DataFrame] = {}
         self.bounded_cache: dict[str, bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -53,6 +54,12 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._loaders)
 
+    def derived(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A DataFrame derived from the tables (a dimension view), built once."""
+        if key not in self._derived:
+            self._derived[key] = build()
+        return self._derived[key]
+
     def with_table(self, name: str, df: DataFrame) -> Tables:
         """A copy in which ``name`` is the given DataFrame (e.g. a new snapshot)."""
         out = Tables(self.spark, self._loaders)
