@@ -52,7 +52,8 @@ def render(numbered: DataFrame, labels: tuple[str, str, str], n: str = "n") -> D
 
 
 def sales_report(t: Tables, category: int) -> DataFrame:
-    """U1 as lines, numbered by territory_id (at most one row per territory)."""
+    """U1 as lines, numbered by territory_id. At most one row per territory,
+    a dimension whose size is checked, so one window task is fine here."""
     exact = sales.sales_by_territory_exact(t, category).withColumn(
         "total_sales", F.col("total_sales").cast(MONEY_TEXT)
     )
@@ -68,16 +69,17 @@ def sales_report(t: Tables, category: int) -> DataFrame:
 
 
 def top_product_report(t: Tables, **kwargs) -> DataFrame:
-    """U2 as lines, numbered by (region, product_id) (the tied winners only)."""
+    """U2 as lines, numbered by (region, product_id); distributed, since the
+    number of tied winners is not bounded."""
     top = ranking.top_requested_product(t, **kwargs)
-    strings = top.select(
-        "region",
-        "product_id",
+    numbered = number_rows(top, ["region", "product_id"])
+    strings = numbered.select(
+        "n",
         as_text(F.col("product")).alias("v1"),
         as_text(F.col("requests")).alias("v2"),
         as_text(F.col("region")).alias("v3"),
     )
-    return render(number_small(strings, ["region", "product_id"]), PRODUCT_LABELS)
+    return render(strings, PRODUCT_LABELS)
 
 
 def cross_territory_report(t: Tables, grain: str = "customer") -> DataFrame:

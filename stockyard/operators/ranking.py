@@ -7,21 +7,22 @@ Output ``product string, requests bigint, region string, product_id bigint``.
   orders).
 * ``per``: ``region`` gives the winners of the region; ``territory`` gives the
   winners of each nation of the region, with the nation in column ``region``.
-* Ties are all kept (``rank() = 1``, never ``limit 1``). Products are grouped
-  by key: product names are not unique.
+* Ties are all kept (the semantics of ``rank() = 1``, never ``limit 1``).
+  Products are grouped by key: product names are not unique.
 
 Plan: the region's nations (a bounded dimension, broadcast) pick its
 customers without a shuffle of ``customer``; their orders and lines follow by
 equi-joins the planner sizes (AQE splits a skewed order key). The count per
-(group, product) is a partial + final aggregation, and ``rank() = 1`` is
-planned as a partial ``WindowGroupLimit`` before the exchange, so each map
-task ships only its local leaders to the window. Product names are attached to
-the few winners last.
+(group, product) is a partial + final aggregation; the best count per group
+is a second, tiny aggregation over it (Spark reuses the first one's
+exchange), broadcast back as a semi-join filter, so no step gathers a group in
+one task however many products tie. Product names are attached to the
+winners last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import fixture
@@ -82,13 +83,22 @@ def requests_per_product(
 def top_requested_product(
     t: Tables, region: str = fixture.NORTH_AMERICA, measure: str = "lines", per: str = "region"
 ) -> DataFrame:
-    """U2. product, requests, region, product_id; every tied winner is kept."""
+    """U2. product, requests, region, product_id; every tied winner is kept.
+
+    Same result as ``rank() over (partition by grp order by requests desc) = 1``,
+    computed without a window: the best count per group is a partial
+    aggregation (one row per group), broadcast back and matched by equality.
+    A window would send every candidate of the region to one task, and when
+    many products tie even a partial ``WindowGroupLimit`` keeps them all.
+    """
     counts = requests_per_product(t, region, measure, per)
-    by_group = Window.partitionBy("grp").orderBy(F.col("requests").desc())
-    winners = (
-        counts.withColumn("_rank", F.rank().over(by_group))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+    # One row per group; groups are territories or the region, so this table is
+    # bounded by the (checked) territory dimension and safe to broadcast.
+    best = counts.groupBy("grp").agg(F.max("requests").alias("_best"))
+    winners = counts.join(
+        F.broadcast(best),
+        (counts.grp == best.grp) & (counts.requests == best._best),
+        "left_semi",
     )
     names = fixture.product(t).select("product_id", "product")
     return winners.join(names, "product_id", "left").select(

@@ -205,9 +205,13 @@ def test_jdbc_options_and_credentials(monkeypatch):
 # -- plan shape ------------------------------------------------------------------
 
 
-def test_top_product_plan_has_partial_window_group_limit(spark, small_tables):
-    plan = _plan(ranking.top_requested_product(small_tables))
-    assert "WindowGroupLimit" in plan
+def test_top_product_plan_has_no_single_task_step(spark, small_tables):
+    """U2 keeps ties without a window: the per-group best is a broadcast aggregate."""
+    for per in ("region", "territory"):
+        plan = _plan(ranking.top_requested_product(small_tables, per=per))
+        assert "Window" not in plan
+        assert "SinglePartition" not in plan
+        assert "LeftSemi" in plan
 
 
 def test_scans_are_pruned_and_filters_pushed(spark, small_tables):
