@@ -69,6 +69,14 @@ def q_stock_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stock.adjust_stock(_tables(spark, sf_dir), CATEGORY, LOCATION, PCT).updated
 
 
+def q_stock_adjusted_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stock.adjust_stock(_tables(spark, sf_dir), CATEGORY, LOCATION, PCT, "half_up").updated
+
+
+def q_stock_decreased(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stock.adjust_stock(_tables(spark, sf_dir), CATEGORY, LOCATION, -PCT, "floor").updated
+
+
 def q_order_quantity_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.set_order_quantity(_tables(spark, sf_dir)).updated
 
@@ -136,6 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_territory_customers": q_cross_territory_customers,
     "cross_territory_orders": q_cross_territory_orders,
     "stock_adjusted": q_stock_adjusted,
+    "stock_adjusted_half_up": q_stock_adjusted_half_up,
+    "stock_decreased": q_stock_decreased,
     "order_quantity_updated": q_order_quantity_updated,
     "ship_method_updated": q_ship_method_updated,
     "ship_method_rejects": q_ship_method_rejects,
@@ -309,6 +319,22 @@ ORACLE: dict[str, str] = {
                     ELSE quantity END AS quantity
         FROM hit
     """,
+    # Stock is never negative, so integer forms of the roundings are exact:
+    # half-up of q*5/100 = (q*5 + 50) // 100; floor of -q*5/100 = -((q*5 + 99) // 100).
+    "stock_adjusted_half_up": f"""
+        WITH {_INVENTORY}
+        SELECT product_id, location_id,
+               CASE WHEN is_hit THEN quantity + (quantity * {PCT} + 50) // 100
+                    ELSE quantity END AS quantity
+        FROM hit
+    """,
+    "stock_decreased": f"""
+        WITH {_INVENTORY}
+        SELECT product_id, location_id,
+               CASE WHEN is_hit THEN quantity - (quantity * {PCT} + 99) // 100
+                    ELSE quantity END AS quantity
+        FROM hit
+    """,
     "order_quantity_updated": f"""
         WITH {_QTY_CHANGES}
         SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber,
