@@ -7,7 +7,7 @@ cluster):
 
     root/v00000001/   parquet of version 1
     root/v00000002/   ...
-    root/_log/        parquet, one row per committed version (the ledger)
+    root/ledger/      parquet, one row per committed version
 
 A version counts only once its ledger row is written, after its data write
 has succeeded, so a failed job leaves at most an orphan folder that nothing
@@ -65,13 +65,21 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.log_path = f"{self.root}/_log"
+        self.log_path = f"{self.root}/ledger"
         self.partition_by = list(partition_by or [])
 
     # -- reading ----------------------------------------------------------
 
+    def _exists(self, path: str) -> bool:
+        """Whether ``path`` exists, through the cluster's Hadoop file system."""
+        sc = self.spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath)
+
     def log(self) -> DataFrame:
         """The ledger (empty when nothing is committed yet)."""
+        if not self._exists(self.log_path):
+            return self.spark.createDataFrame([], LOG_SCHEMA)
         try:
             return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
         except AnalysisException:

@@ -31,6 +31,31 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the biggest shuffle expected.
+
+    * initial shuffle partitions ~ bytes / target (AQE coalesces small ones and
+      splits skewed ones, so erring high is cheap);
+    * AQE's skew split on, with a partition counted as skewed at 5x the median
+      and over 512 MB;
+    * runtime Bloom filters on, with a creation side up to 1 GB, so a selective
+      dimension filter (one category's parts, one region's customers) prunes
+      the fact table before it is shuffled;
+    * file splits of 256 MB.
+    """
+    partitions = max(200, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(1 << 30),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
+
+
 def local_session(
     cores: str | int = "*",
     shuffle_partitions: int = 8,

@@ -237,3 +237,21 @@ def test_parquet_tables_load_at_every_size(spark):
     for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
         t = Tables.from_parquet(spark, sf)
         assert t["nation"].count() == 25
+
+
+# -- command line --------------------------------------------------------------
+
+
+def test_cli_report_and_retry_safe_update(spark, capsys):
+    from stockyard.__main__ import main
+
+    root = _scratch()
+    assert main(["--local", "2", "--data", SF_SMALL, "sales", "--category", "7", "--out", root + "/r"]) == 0
+    lines = [r.value for r in spark.read.text(root + "/r").collect()]
+    assert lines[0].startswith("1 Total Ventas:") and len(lines) == 25
+    args = ["--local", "2", "--data", SF_SMALL, "set-email", "--store", root + "/em", "--entry-id", "e1"]
+    assert main(args) == 0
+    assert main(args) == 0
+    out = capsys.readouterr().out
+    assert "version 2" in out and "skipped (already applied)" in out
+    assert SnapshotStore(spark, root + "/em").current_version() == 2
