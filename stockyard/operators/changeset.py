@@ -30,8 +30,7 @@ outcome is then one aggregation over the per-key table (no cross join).
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,16 +45,57 @@ HIT = "_hit"  # match marker carried by the change side of the join
 OUTCOME_COLUMNS = ("op", "changes", "applied", "superseded", "rejected", "rows_matched")
 
 
-@dataclass
 class ChangeSetResult:
-    """Lazy parts of one change-set application."""
+    """Lazy parts of one change-set application; each plan is built on first use."""
+
+    def __init__(self, op: str, base: DataFrame, flagged: DataFrame, keys: list[str], column: str):
+        self.op = op
+        self.base = base
+        self.flagged = flagged  # every change: keys..., new_value, seq, reason (null = valid)
+        self.keys = list(keys)
+        self.column = column
+        self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
+
+    @cached_property
+    def per_key_changes(self) -> DataFrame:
+        """keys..., _w (winner struct), _n (valid changes), _bad (rejected changes)."""
+        valid = F.col("reason").isNull()
+        return self.flagged.groupBy(*self.keys).agg(
+            F.max(F.when(valid, F.struct("seq", "new_value"))).alias("_w"),
+            F.count(F.when(valid, 1)).alias("_n"),
+            F.count(F.when(~valid, 1)).alias("_bad"),
+        )
+
+    @cached_property
+    def joined(self) -> DataFrame:
+        """``base`` columns with ``column`` updated, plus the match marker ``_hit``."""
+        winners = self.per_key_changes.filter(F.col("_n") > 0).select(
+            *self.keys, F.col("_w.new_value").alias("_new"), F.lit(True).alias(HIT)
+        )
+        hit = F.coalesce(F.col(HIT), F.lit(False))
+        return self.base.join(winners, self.keys, "left").select(
+            *[
+                (
+                    F.when(hit, F.col("_new")).otherwise(F.col(c)).alias(c)
+                    if c == self.column
+                    else F.col(c)
+                )
+                for c in self.base.columns
+            ],
+            hit.alias(HIT),
+        )
 
-    op: str
-    joined: DataFrame  # base columns + the match marker ``_hit``
-    keys: list[str]
-    flagged: DataFrame  # every change: keys..., new_value, seq, reason (null = valid)
-    per_key: DataFrame  # keys..., _w (winner), _n (valid), _bad (rejected), _m (base rows)
-    finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final columns + _hit
+    @cached_property
+    def per_key(self) -> DataFrame:
+        """:attr:`per_key_changes` plus ``_m``, the number of base rows per key."""
+        change_keys = self.per_key_changes.filter(F.col("_n") > 0).select(*self.keys)
+        matches = (
+            self.base.select(*self.keys)
+            .join(change_keys, self.keys, "left_semi")
+            .groupBy(*self.keys)
+            .agg(F.count(F.lit(1)).alias("_m"))
+        )
+        return self.per_key_changes.join(matches, self.keys, "left")
 
     @property
     def table(self) -> DataFrame:
@@ -134,34 +174,4 @@ def apply_changes(
         "seq",
         reason.cast("string").alias("reason"),
     )
-
-    valid = F.col("reason").isNull()
-    per_key_changes = flagged.groupBy(*keys).agg(
-        F.max(F.when(valid, F.struct("seq", "new_value"))).alias("_w"),
-        F.count(F.when(valid, 1)).alias("_n"),
-        F.count(F.when(~valid, 1)).alias("_bad"),
-    )
-    change_keys = per_key_changes.filter(F.col("_n") > 0).select(*keys)
-
-    # Base rows per change key (key columns of base only).
-    matches = (
-        base.select(*keys)
-        .join(change_keys, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    per_key = per_key_changes.join(matches, keys, "left")
-
-    winners = per_key_changes.filter(F.col("_n") > 0).select(
-        *keys, F.col("_w.new_value").alias("_new"), F.lit(True).alias(HIT)
-    )
-    joined_raw = base.join(winners, keys, "left")
-    hit = F.coalesce(F.col(HIT), F.lit(False))
-    joined = joined_raw.select(
-        *[
-            (F.when(hit, F.col("_new")).otherwise(F.col(c)).alias(c) if c == column else F.col(c))
-            for c in base.columns
-        ],
-        hit.alias(HIT),
-    )
-    return ChangeSetResult(op=op, joined=joined, keys=list(keys), flagged=flagged, per_key=per_key)
+    return ChangeSetResult(op, base, flagged, keys, column)
