@@ -25,6 +25,9 @@ Everything here is a lazy DataFrame; nothing is collected.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,16 @@ PRICE_TYPE = "decimal(12,2)"  # l_extendedprice carries cents
 RATE_TYPE = "decimal(4,2)"  # l_discount carries hundredths
 
 
+def per_catalog(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Build a derived view once per :class:`Tables` (DataFrames are immutable plans)."""
+
+    @functools.wraps(build)
+    def view(t: Tables) -> DataFrame:
+        return t.derived(build.__name__, lambda: build(t))
+
+    return view
+
+
 def line_amount(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
     """Net line amount as an exact decimal: price * (1 - discount).
 
@@ -52,6 +65,7 @@ def category_of(brand: str = "p_brand") -> Column:
     return F.substring(F.col(brand), 7, 10).cast("int")
 
 
+@per_catalog
 def territory(t: Tables) -> DataFrame:
     """territory_id, territory, region_id, region (25 rows; a fixed dimension)."""
     nation = t["nation"]
@@ -72,6 +86,7 @@ def territory_dim(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def product(t: Tables) -> DataFrame:
     """product_id, product, category_id."""
     return t["part"].select(
@@ -81,6 +96,7 @@ def product(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def order_territory(t: Tables) -> DataFrame:
     """order_id, customer_id, territory_id (the customer's nation)."""
     orders = t["orders"].select("o_orderkey", "o_custkey")
@@ -92,6 +108,7 @@ def order_territory(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def line_ship_territory(t: Tables) -> DataFrame:
     """order_id, ship_territory_id per line (the supplier's nation).
 
@@ -106,6 +123,7 @@ def line_ship_territory(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def inventory(t: Tables) -> DataFrame:
     """product_id bigint, location_id int, quantity bigint.
 
@@ -125,6 +143,7 @@ def inventory(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def ship_methods(t: Tables) -> DataFrame:
     """ship_method_id int, name string: one row per leading digit of the order
     priorities (5 rows). A partial aggregation over one column of ``orders``."""
@@ -148,6 +167,7 @@ def ship_method_of(priority: str = "o_orderpriority") -> Column:
     return F.substring(F.col(priority), 1, 1).cast("int")
 
 
+@per_catalog
 def person_email(t: Tables) -> DataFrame:
     """person_id bigint, email string: one address per customer."""
     return t["customer"].select(
@@ -161,6 +181,7 @@ def person_email(t: Tables) -> DataFrame:
 # -- change tables ------------------------------------------------------------
 
 
+@per_catalog
 def quantity_changes(t: Tables) -> DataFrame:
     """U5 changes: l_orderkey, l_partkey, new_value double, seq bigint.
 
@@ -183,6 +204,7 @@ def quantity_changes(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def ship_method_changes(t: Tables) -> DataFrame:
     """U6 changes: o_orderkey, new_value int (method ID), seq bigint.
 
@@ -200,6 +222,7 @@ def ship_method_changes(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
 def email_changes(t: Tables) -> DataFrame:
     """U7 changes: person_id, new_value string, seq struct<ts, event_id>.
 
