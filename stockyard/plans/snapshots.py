@@ -10,10 +10,14 @@ cluster):
     root/ledger/      parquet, one row per committed version
 
 A version counts only once its ledger row is written, after its data write
-has succeeded, so a failed job leaves at most an orphan folder that nothing
-reads. The data folder is written with ``errorifexists``: a second writer
-racing for the same version fails instead of mixing files. Two concurrent
-writers are not supported.
+has succeeded, so a job that dies midway leaves at most an orphan folder that
+nothing reads; the next commit skips past it. The data folder is written with
+``errorifexists`` (a writer racing for the same folder fails instead of mixing
+files), and before the ledger row is added the ledger is read again: if
+another writer committed in between, this commit fails rather than silently
+dropping that writer's update. Concurrent writers are therefore detected, not
+supported; plain files offer no atomic compare-and-swap, so a narrow window
+remains.
 
 The ledger also records an ``entry_id`` (an adjustment ID, a stream batch),
 which makes non-idempotent operations safe to retry: U3 run twice with the
@@ -48,6 +52,10 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+class ConcurrentCommitError(RuntimeError):
+    """The ledger advanced while a commit was being written."""
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -120,7 +128,10 @@ class SnapshotStore:
         if entry_id is not None and self.has_entry(entry_id):
             current = self.current_version()
             return Commit(current, self.version_path(current), op, entry_id, 0, 0, skipped=True)
-        version = self.current_version() + 1
+        base_version = self.current_version()
+        version = base_version + 1
+        while self._exists(self.version_path(version)):  # orphan of a failed commit
+            version += 1
         path = self.version_path(version)
         metrics = [F.count(F.lit(1)).alias("rows_written")]
         has_hit = hit_column is not None and hit_column in df.columns
@@ -137,6 +148,10 @@ class SnapshotStore:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(path)
         got = obs.get
+        if self.current_version() != base_version:
+            raise ConcurrentCommitError(
+                f"{self.root}: another writer committed while version {version} was written"
+            )
         commit = Commit(
             version=version,
             path=path,

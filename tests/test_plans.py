@@ -119,15 +119,38 @@ def test_snapshot_versions_and_ledger(spark, small_tables):
     assert store.log().count() == 2
 
 
-def test_commit_refuses_existing_version(spark):
+def test_commit_skips_orphan_folder_of_failed_commit(spark):
     store = SnapshotStore(spark, _scratch() + "/t")
     df = spark.createDataFrame([(1, "a")], "k bigint, v string")
     store.initialize(df)
-    # Simulate a concurrent writer that already wrote version 2.
-    df.write.parquet(store.version_path(2))
-    with pytest.raises(Exception):
+    # A commit that died after writing its data but before its ledger row.
+    spark.createDataFrame([(9, "orphan")], "k bigint, v string").write.parquet(store.version_path(2))
+    c = store.commit(df, "x", hit_column=None)
+    assert c.version == 3 and store.current_version() == 3
+    assert [tuple(r) for r in store.read().collect()] == [(1, "a")]
+
+
+def test_commit_fails_when_another_writer_committed(spark):
+    from stockyard.plans.snapshots import ConcurrentCommitError
+
+    store = SnapshotStore(spark, _scratch() + "/t")
+    df = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    store.initialize(df)
+    other = SnapshotStore(spark, store.root)
+    real_exists = store._exists
+    raced = []
+
+    def exists_after_other_commit(path):
+        # The other writer commits version 2 just as this commit starts.
+        if not raced:
+            raced.append(True)
+            other.commit(df, "other", hit_column=None)
+        return real_exists(path)
+
+    store._exists = exists_after_other_commit
+    with pytest.raises(ConcurrentCommitError):
         store.commit(df, "x", hit_column=None)
-    assert store.current_version() == 1
+    assert store.current_version() == 2  # the other writer's version stands
 
 
 def test_commit_changes_counts_by_observation(spark, small_tables):
