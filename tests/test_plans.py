@@ -141,8 +141,9 @@ def test_commit_fails_when_another_writer_committed(spark):
     raced = []
 
     def exists_after_other_commit(path):
-        # The other writer commits version 2 just as this commit starts.
-        if not raced:
+        # The other writer commits version 2 just after this commit read the
+        # ledger (when it looks for a free version folder).
+        if path == store.version_path(2) and not raced:
             raced.append(True)
             other.commit(df, "other", hit_column=None)
         return real_exists(path)
