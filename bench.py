@@ -4,6 +4,7 @@
     BENCH_CPUS     local[N] cores (default 8)
     BENCH_RUNS     timed runs per query (default 3; the median is reported)
     BENCH_QUERIES  comma-separated subset (default: all)
+    BENCH_SHUFFLE_PARTITIONS  initial shuffle partitions (default: one per core)
 
 Each query runs to completion through the ``noop`` sink (every row is
 produced, nothing is collected). One untimed warm-up run per query comes
@@ -34,9 +35,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    default_parts = int(cpus) if cpus.isdigit() else 8
     spark = local_session(
         cores=cpus,
-        shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", default_parts)),
         app_name="stockyard-bench",
         driver_memory="16g",
     )
