@@ -4,8 +4,9 @@ Two forms:
 
 * :func:`number_small` - ``row_number()`` over a global window. The window puts
   every row in one task, so it is only for results whose size is bounded by a
-  dimension (U1: at most one row per territory; U2: the tied winners).
-* :func:`number_rows` - distributed, for results that grow with the data (U4):
+  checked dimension (U1: at most one row per territory).
+* :func:`number_rows` - distributed, for results whose size is not bounded
+  (U4, which grows with the data; U2, whose tied winners have no bound):
 
   1. ``orderBy`` range-partitions and sorts; right after the sort each row gets
      its partition index and ``monotonically_increasing_id()`` (partition index
