@@ -39,8 +39,8 @@ def cluster_conf(largest_shuffle_bytes: int, target_partition_bytes: int = 256 <
     * AQE's skew split on, with a partition counted as skewed at 5x the median
       and over 512 MB;
     * runtime Bloom filters on, with a creation side up to 1 GB, so a selective
-      dimension filter (one category's parts, one region's customers) prunes
-      the fact table before it is shuffled;
+      filter on a dimension scan (one category's parts in U1) prunes the fact
+      table before it is shuffled;
     * file splits of 256 MB.
     """
     partitions = max(200, -(-largest_shuffle_bytes // target_partition_bytes))

@@ -129,3 +129,38 @@ def test_hot_customer_is_split_and_results_exact(spark, skewed_root, forced_skew
     u1 = sales.sales_by_territory(t, 7).toPandas()
     want_u1 = con.execute(entry_module.oracle_sql()["sales_by_territory"]).df()
     assert _same(u1, want_u1)
+
+
+def test_category_filter_prunes_lineitem_before_shuffle(spark):
+    """With the cluster settings, U1's category filter on `part` becomes a
+    runtime Bloom filter on `lineitem` (the scan-size floor is lowered here so
+    the small test data qualifies as it would at scale)."""
+    from stockyard.session import cluster_conf
+
+    conf = cluster_conf(1 << 30)
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": conf[
+            "spark.sql.optimizer.runtime.bloomFilter.enabled"
+        ],
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": conf[
+            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold"
+        ],
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        t = Tables.from_parquet(spark, SF_SMALL)
+        df = sales.sales_by_territory(t, 7)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan and "xxhash64(l_partkey" in plan
+        con = _duck(SF_SMALL)
+        assert _same(df.toPandas(), con.execute(entry_module.oracle_sql()["sales_by_territory"]).df())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
