@@ -93,10 +93,13 @@ def top_requested_product(
     """
     counts = requests_per_product(t, region, measure, per)
     # One row per group; groups are territories or the region, so this table is
-    # bounded by the (checked) territory dimension and safe to broadcast.
+    # as small as the territory dimension. It is hinted only when that
+    # dimension passed its size check; otherwise the planner decides.
     best = counts.groupBy("grp").agg(F.max("requests").alias("_best"))
+    if t.bounded_cache.get("territory", False):
+        best = F.broadcast(best)
     winners = counts.join(
-        F.broadcast(best),
+        best,
         (counts.grp == best.grp) & (counts.requests == best._best),
         "left_semi",
     )

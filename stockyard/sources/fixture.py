@@ -123,6 +123,21 @@ def line_ship_territory(t: Tables) -> DataFrame:
     )
 
 
+@per_catalog
+def order_ship_territories(t: Tables) -> DataFrame:
+    """order_id, ship_territory_ids array<int>: the distinct supplier nations of
+    each order's lines (nulls dropped).
+
+    ``collect_set`` aggregates partially in each map task, so an order with a
+    third of all lines leaves every task as one row of at most 25 nations, and
+    the result comes out hash-partitioned on ``order_id``, ready for a join on
+    that key without another exchange.
+    """
+    return line_ship_territory(t).groupBy("order_id").agg(
+        F.collect_set("ship_territory_id").alias("ship_territory_ids")
+    )
+
+
 @per_catalog
 def inventory(t: Tables) -> DataFrame:
     """product_id bigint, location_id int, quantity bigint.

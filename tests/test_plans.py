@@ -238,6 +238,18 @@ def test_top_product_plan_has_no_single_task_step(spark, small_tables):
         assert "LeftSemi" in plan
 
 
+def test_top_product_best_not_hinted_when_dimension_unchecked(spark):
+    """The per-group best is broadcast by hint only behind the territory size
+    check; when that check fails the planner decides, with the same result."""
+    checked = Tables.from_parquet(spark, SF_SMALL)
+    unchecked = Tables.from_parquet(spark, SF_SMALL)
+    unchecked.bounded_cache["territory"] = False
+    for per in ("region", "territory"):
+        want = sorted(map(tuple, ranking.top_requested_product(checked, per=per).collect()))
+        got = sorted(map(tuple, ranking.top_requested_product(unchecked, per=per).collect()))
+        assert got == want
+
+
 def test_scans_are_pruned_and_filters_pushed(spark, small_tables):
     df = sales.sales_by_territory(small_tables, 7)
     plan = _plan(df)

@@ -164,3 +164,39 @@ def test_category_filter_prunes_lineitem_before_shuffle(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.fixture(scope="module")
+def hot_order_root(spark):
+    """sf0.01 tables with one order holding every third line."""
+    root = tempfile.mkdtemp(prefix="stockyard-hot-order-")
+    src = Tables.from_parquet(spark, "/root/testdata/sf0.01")
+    hot = src["orders"].agg(F.min("o_orderkey")).first()[0]
+    for name in TABLES:
+        df = src[name]
+        if name == "lineitem":
+            df = df.withColumn(
+                "l_orderkey",
+                F.when(
+                    (F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0, F.lit(hot).cast("bigint")
+                ).otherwise(F.col("l_orderkey")),
+            )
+        df.repartition(8).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_hot_order_collapses_before_shuffle_and_results_exact(spark, hot_order_root, no_auto_broadcast):
+    """U4 reduces lines to one row per order map-side, so the order holding a
+    third of all lines crosses the shuffle as one row per map task."""
+    t = Tables.from_parquet(spark, hot_order_root)
+    con = _duck(hot_order_root)
+    for grain, key in (("customer", "cross_territory_customers"), ("order", "cross_territory_orders")):
+        df = cross_territory.cross_territory(t, grain)
+        assert _same(df.toPandas(), con.execute(entry_module.oracle_sql()[key]).df())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the partial set aggregation sits below the exchange on the order key
+    below = plan.split("Exchange hashpartitioning(order_id")[1]
+    assert "partial_collect_set" in below.split("Exchange")[0]
+
+    u1 = sales.sales_by_territory(t, 7).toPandas()
+    assert _same(u1, con.execute(entry_module.oracle_sql()["sales_by_territory"]).df())
