@@ -8,8 +8,11 @@ The original client calls server-side procedures (``{call name(?)}`` with
     SELECT * FROM top_requested_product('AMERICA')
     SELECT * FROM cross_territory_customers()
 
-and Catalyst plans the body like any other query (pushdown, pruning,
-broadcast of the dimensions, AQE). Parameters are bound as typed arguments,
+and Catalyst plans the body like any other query (pushdown, pruning, AQE).
+The bodies have the shape of the DataFrame operators: U1 aggregates along
+its join chain, U2 keeps its ties without a window, U4 reduces lines to one
+row per order before the order-key shuffle; the nation and region
+dimensions are broadcast only behind the same size check. Parameters are bound as typed arguments,
 never spliced into SQL text. The bodies read the temporary views registered by
 :meth:`Tables.register_views`; temporary functions are used because a
 permanent function may not refer to temporary views.
@@ -17,59 +20,92 @@ permanent function may not refer to temporary views.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import fixture
 from ..sources.tables import Tables
 
 _AMOUNT = "CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))"
 
 FUNCTIONS = {
+    # U1, aggregating along the join chain as the DataFrame operator does:
+    # the category's lines summed per order, then per customer, then per
+    # nation, each join meeting an aggregate on the key it is partitioned by.
     "sales_by_territory": f"""
         CREATE OR REPLACE TEMPORARY FUNCTION sales_by_territory(category INT)
         RETURNS TABLE (total_sales DOUBLE, territory STRING, territory_id INT)
         RETURN
-        SELECT CAST(SUM({_AMOUNT}) AS DOUBLE), n.n_name, n.n_nationkey
-        FROM lineitem l
-        JOIN part p ON l.l_partkey = p.p_partkey
-        JOIN orders o ON l.l_orderkey = o.o_orderkey
-        JOIN customer c ON o.o_custkey = c.c_custkey
-        JOIN nation n ON c.c_nationkey = n.n_nationkey
-        WHERE CAST(substring(p.p_brand, 7) AS INT) = sales_by_territory.category
-        GROUP BY n.n_name, n.n_nationkey
+        WITH per_order AS (
+            SELECT l.l_orderkey, SUM({_AMOUNT}) AS amount
+            FROM lineitem l
+            LEFT SEMI JOIN part p
+              ON l.l_partkey = p.p_partkey
+             AND CAST(substring(p.p_brand, 7) AS INT) = sales_by_territory.category
+            GROUP BY l.l_orderkey
+        ), per_customer AS (
+            SELECT o.o_custkey, SUM(po.amount) AS amount
+            FROM per_order po JOIN orders o ON po.l_orderkey = o.o_orderkey
+            GROUP BY o.o_custkey
+        ), per_nation AS (
+            SELECT c.c_nationkey, SUM(pc.amount) AS amount
+            FROM per_customer pc JOIN customer c ON pc.o_custkey = c.c_custkey
+            GROUP BY c.c_nationkey
+        )
+        SELECT /*+ DIMS(n) */ CAST(pn.amount AS DOUBLE), n.n_name, n.n_nationkey
+        FROM per_nation pn JOIN nation n ON pn.c_nationkey = n.n_nationkey
     """,
+    # U2 without a window: a window over the region would gather all its
+    # candidate products in one task. The best count is a global aggregate
+    # (exactly one row, so broadcasting it is bounded) matched by equality;
+    # every tie is kept.
     "top_requested_product": """
         CREATE OR REPLACE TEMPORARY FUNCTION top_requested_product(region_name STRING)
         RETURNS TABLE (product STRING, requests BIGINT, region STRING, product_id BIGINT)
         RETURN
-        WITH counts AS (
-            SELECT r.r_name AS grp, l.l_partkey AS pid, COUNT(*) AS requests
-            FROM lineitem l
-            JOIN orders o ON l.l_orderkey = o.o_orderkey
-            JOIN customer c ON o.o_custkey = c.c_custkey
-            JOIN nation n ON c.c_nationkey = n.n_nationkey
-            JOIN region r ON n.n_regionkey = r.r_regionkey
+        WITH region_nations AS (
+            SELECT /*+ DIMS(r) */ n.n_nationkey
+            FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
             WHERE r.r_name = top_requested_product.region_name
-            GROUP BY r.r_name, l.l_partkey
-        ), ranked AS (
-            SELECT *, rank() OVER (PARTITION BY grp ORDER BY requests DESC) AS rk FROM counts
+        ), region_orders AS (
+            SELECT o.o_orderkey
+            FROM orders o
+            LEFT SEMI JOIN (
+                SELECT /*+ DIMS(rn) */ c.c_custkey
+                FROM customer c LEFT SEMI JOIN region_nations rn ON c.c_nationkey = rn.n_nationkey
+            ) rc ON o.o_custkey = rc.c_custkey
+        ), counts AS (
+            SELECT l.l_partkey AS pid, COUNT(*) AS requests
+            FROM lineitem l JOIN region_orders ro ON l.l_orderkey = ro.o_orderkey
+            GROUP BY l.l_partkey
+        ), best AS (
+            SELECT MAX(requests) AS best FROM counts
         )
-        SELECT p.p_name, ranked.requests, ranked.grp, ranked.pid
-        FROM ranked LEFT JOIN part p ON p.p_partkey = ranked.pid
-        WHERE ranked.rk = 1
+        SELECT /*+ BROADCAST(b) */ p.p_name, w.requests, top_requested_product.region_name, w.pid
+        FROM counts w
+        JOIN best b ON w.requests = b.best
+        LEFT JOIN part p ON p.p_partkey = w.pid
     """,
+    # U4: lines reduced to one row per order with the set of its supplier
+    # nations (partial in each map task), joined to the order's own nation.
     "cross_territory_customers": """
         CREATE OR REPLACE TEMPORARY FUNCTION cross_territory_customers()
         RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING)
         RETURN
-        WITH k AS (
-            SELECT DISTINCT o.o_custkey AS id, c.c_nationkey AS ot, s.s_nationkey AS st
-            FROM lineitem l
-            JOIN supplier s ON l.l_suppkey = s.s_suppkey
-            JOIN orders o ON l.l_orderkey = o.o_orderkey
-            JOIN customer c ON o.o_custkey = c.c_custkey
-            WHERE c.c_nationkey <> s.s_nationkey
+        WITH ship AS (
+            SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts
+            FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+            GROUP BY l.l_orderkey
+        ), origin AS (
+            SELECT o.o_orderkey AS order_id, o.o_custkey AS id, c.c_nationkey AS ot
+            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        ), k AS (
+            SELECT DISTINCT origin.id, origin.ot, e.st
+            FROM ship JOIN origin ON ship.order_id = origin.order_id
+            LATERAL VIEW explode(array_remove(ship.sts, origin.ot)) e AS st
         )
-        SELECT k.id, no.n_name, ns.n_name
+        SELECT /*+ DIMS(no, ns) */ k.id, no.n_name, ns.n_name
         FROM k
         JOIN nation no ON k.ot = no.n_nationkey
         JOIN nation ns ON k.st = ns.n_nationkey
@@ -79,11 +115,31 @@ FUNCTIONS = {
 VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+# ``/*+ DIMS(aliases) */`` marks a join input that is the nation or region
+# dimension (or a subset of it). It becomes a BROADCAST hint only when those
+# dimensions passed their size check; otherwise it is removed and the planner
+# decides from statistics.
+_DIM_HINT = re.compile(r"/\*\+ DIMS\(([^)]*)\) \*/")
+
+
+def with_dimension_hints(ddl: str, dimensions_small: bool) -> str:
+    """``ddl`` with each DIMS marker turned into a BROADCAST hint, or removed."""
+    return _DIM_HINT.sub(
+        lambda m: f"/*+ BROADCAST({m.group(1)}) */" if dimensions_small else "", ddl
+    )
+
+
 def register(t: Tables) -> None:
-    """Register the views the bodies read, then the three table functions."""
+    """Register the views the bodies read, then the three table functions.
+
+    The dimension size check runs once per catalog (it is shared with the
+    DataFrame operators) and decides whether the bodies carry broadcast hints.
+    """
     t.register_views(VIEWS)
+    fixture.territory_dim(t)  # runs (or reuses) the bounded checks of nation and region
+    small = t.bounded_cache.get("territory", False) and t.bounded_cache.get("region", False)
     for ddl in FUNCTIONS.values():
-        t.spark.sql(ddl)
+        t.spark.sql(with_dimension_hints(ddl, small))
 
 
 def call(spark: SparkSession, name: str, *args) -> DataFrame:

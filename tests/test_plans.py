@@ -96,6 +96,21 @@ def test_table_functions_match_dataframe_operations(spark, small_tables):
         assert sql_df.exceptAll(df).count() == 0 and df.exceptAll(sql_df).count() == 0
 
 
+def test_table_function_bodies_have_the_operator_plan_shape(spark, small_tables):
+    """No window in U2's body (ties kept by an equality match on a one-row best);
+    dimension broadcast hints only when the dimension check passed."""
+    table_functions.register(small_tables)
+    plan = _plan(table_functions.call(spark, "top_requested_product", "AMERICA"))
+    assert "Window" not in plan
+    for ddl in table_functions.FUNCTIONS.values():
+        unchecked = table_functions.with_dimension_hints(ddl, False)
+        assert "DIMS" not in unchecked and "BROADCAST(n)" not in unchecked
+        assert "DIMS" not in table_functions.with_dimension_hints(ddl, True)
+    assert "BROADCAST(no, ns)" in table_functions.with_dimension_hints(
+        table_functions.FUNCTIONS["cross_territory_customers"], True
+    )
+
+
 # -- snapshots, ledger, observation --------------------------------------------
 
 
