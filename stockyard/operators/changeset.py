@@ -9,9 +9,12 @@
 * Changes that can never apply are set aside with a reason: ``null_key``,
   ``null_value``, ``no_such_key``, or the upstream one.
 * The rest collapse to one change per key with ``max(struct(seq, new_value))``:
-  a partial (map-side) aggregation, no sort and no window, so a key changed a
-  million times costs one row per map task. On equal ``seq`` the larger
-  ``new_value`` wins, deterministically.
+  a partial (map-side) aggregation and no window, so a key changed a million
+  times costs one row per map task. On equal ``seq`` the larger ``new_value``
+  wins, deterministically. A struct buffer is not hash-aggregatable, so Spark
+  runs this as a sort-based aggregate (it spills instead of failing); the
+  alternatives are worse at scale: ``max_by`` breaks ties arbitrarily, and
+  ``max(seq)`` joined back to the changes shuffles every change uncollapsed.
 * ``base`` LEFT JOIN the collapsed changes; the decision uses a match marker
   on the change side, never ``new_value is not null``. A key matching several
   base rows updates all of them, as a SQL UPDATE does.

@@ -96,3 +96,33 @@ def test_match_marker_not_value(spark):
     changes = spark.createDataFrame([(1, "same", 1)], "k bigint, new_value string, seq bigint")
     res = apply_changes(base, changes, ["k"], "v")
     assert res.outcome.first().rows_matched == 1
+
+
+def test_hot_key_collapses_map_side(spark):
+    """One key receives a third of all changes: the latest-wins collapse is a
+    partial aggregation before the shuffle (no window), and the winner and
+    counts are exact."""
+    n = 30_000
+    changes = (
+        spark.range(n)
+        .repartition(8)
+        .select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).cast("bigint").alias("k"),
+            F.lit(1).alias("k2"),
+            F.concat(F.lit("v"), F.col("id").cast("string")).alias("new_value"),
+            F.col("id").alias("seq"),
+        )
+    )
+    base = spark.range(n + 20).select(
+        F.col("id").alias("k"), F.lit(1).alias("k2"), F.lit("old").alias("v"), F.lit(0.0).alias("other")
+    )
+    res = apply_changes(base, changes, ["k", "k2"], "v", op="hot")
+    hot_winner = f"v{max(i for i in range(n) if i % 3 == 0)}"
+    assert res.updated.filter(F.col("k") == 1).first().v == hot_winner
+    o = res.outcome.first()
+    assert (o.changes, o.applied, o.superseded, o.rejected) == (n, n - n // 3 + 1, n // 3 - 1, 0)
+    plan = res.per_key_changes._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    # the struct buffer makes it a sort-based aggregate, still partial per map task
+    before_shuffle = plan.split("Exchange hashpartitioning")[1]
+    assert "partial_max" in before_shuffle
