@@ -29,6 +29,9 @@ LARGE_PLAN_QUERIES = [
     "email_updated",
     "update_outcomes",
     "cross_territory_report_lines",
+    "sales_table_function",
+    "top_product_table_function",
+    "cross_territory_table_function",
 ]
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
