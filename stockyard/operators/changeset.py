@@ -51,12 +51,21 @@ OUTCOME_COLUMNS = ("op", "changes", "applied", "superseded", "rejected", "rows_m
 class ChangeSetResult:
     """Lazy parts of one change-set application; each plan is built on first use."""
 
-    def __init__(self, op: str, base: DataFrame, flagged: DataFrame, keys: list[str], column: str):
+    def __init__(
+        self,
+        op: str,
+        base: DataFrame,
+        flagged: DataFrame,
+        keys: list[str],
+        column: str,
+        seq_column: str | None = None,
+    ):
         self.op = op
         self.base = base
         self.flagged = flagged  # every change: keys..., new_value, seq, reason (null = valid)
         self.keys = list(keys)
         self.column = column
+        self.seq_column = seq_column  # base column holding the seq last applied to the row
         self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
 
     @cached_property
@@ -73,14 +82,24 @@ class ChangeSetResult:
     def joined(self) -> DataFrame:
         """``base`` columns with ``column`` updated, plus the match marker ``_hit``."""
         winners = self.per_key_changes.filter(F.col("_n") > 0).select(
-            *self.keys, F.col("_w.new_value").alias("_new"), F.lit(True).alias(HIT)
+            *self.keys,
+            F.col("_w.new_value").alias("_new"),
+            F.col("_w.seq").alias("_wseq"),
+            F.lit(True).alias(HIT),
         )
         hit = F.coalesce(F.col(HIT), F.lit(False))
+        if self.seq_column:
+            # a winner no newer than what the row already holds does not apply
+            cur = F.col(self.seq_column)
+            hit = hit & (cur.isNull() | (F.col("_wseq") > cur))
+        updates = {self.column: "_new"}
+        if self.seq_column:
+            updates[self.seq_column] = "_wseq"
         return self.base.join(winners, self.keys, "left").select(
             *[
                 (
-                    F.when(hit, F.col("_new")).otherwise(F.col(c)).alias(c)
-                    if c == self.column
+                    F.when(hit, F.col(updates[c])).otherwise(F.col(c)).alias(c)
+                    if c in updates
                     else F.col(c)
                 )
                 for c in self.base.columns
@@ -92,11 +111,12 @@ class ChangeSetResult:
     def per_key(self) -> DataFrame:
         """:attr:`per_key_changes` plus ``_m``, the number of base rows per key."""
         change_keys = self.per_key_changes.filter(F.col("_n") > 0).select(*self.keys)
+        current = F.max(self.seq_column) if self.seq_column else F.lit(None)
         matches = (
-            self.base.select(*self.keys)
+            self.base.select(*self.keys, *([self.seq_column] if self.seq_column else []))
             .join(change_keys, self.keys, "left_semi")
             .groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_m"))
+            .agg(F.count(F.lit(1)).alias("_m"), current.alias("_cur"))
         )
         return self.per_key_changes.join(matches, self.keys, "left")
 
@@ -130,6 +150,10 @@ class ChangeSetResult:
         """One row: op, changes, applied, superseded, rejected, rows_matched."""
         n, bad, m = F.col("_n"), F.col("_bad"), F.col("_m")
         found = (n > 0) & m.isNotNull()
+        cur = F.col("_cur")
+        # applied: found, and (when seqs are tracked) newer than the rows' seq;
+        # a found key whose winner is not newer was superseded by an earlier commit
+        fresh = found & (cur.isNull() | (F.col("_w.seq") > cur)) if self.seq_column else found
 
         def total(c: Column) -> Column:
             return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
@@ -137,10 +161,10 @@ class ChangeSetResult:
         return self.per_key.agg(
             F.lit(self.op).alias("op"),
             total(n + bad).alias("changes"),
-            total(F.when(found, 1).otherwise(0)).alias("applied"),
-            total(F.when(found, n - 1).otherwise(0)).alias("superseded"),
+            total(F.when(fresh, 1).otherwise(0)).alias("applied"),
+            total(F.when(fresh, n - 1).when(found, n).otherwise(0)).alias("superseded"),
             total(bad + F.when(found, 0).otherwise(n)).alias("rejected"),
-            total(F.coalesce(m, F.lit(0))).alias("rows_matched"),
+            total(F.when(fresh, m).otherwise(0)).alias("rows_matched"),
         )
 
 
@@ -154,9 +178,17 @@ def apply_changes(
     keys: list[str],
     column: str,
     op: str = "apply_changes",
+    seq_column: str | None = None,
 ) -> ChangeSetResult:
-    """Apply ``changes`` (keys..., new_value, seq[, reason]) to ``column`` of ``base``."""
-    missing = [k for k in [*keys, column] if k not in base.columns]
+    """Apply ``changes`` (keys..., new_value, seq[, reason]) to ``column`` of ``base``.
+
+    ``seq_column``: a column of ``base`` holding the ``seq`` last applied to
+    each row (null = never changed). When given, a key's winner applies only
+    if it is newer than that, and the column is set to the winner's ``seq``;
+    this is how changes arriving in separate runs (stream batches) keep the
+    latest-wins order across runs.
+    """
+    missing = [k for k in [*keys, column, *([seq_column] if seq_column else [])] if k not in base.columns]
     if missing:
         raise ValueError(f"base lacks columns {missing}")
     missing = [k for k in [*keys, "new_value", "seq"] if k not in changes.columns]
@@ -177,4 +209,4 @@ def apply_changes(
         "seq",
         reason.cast("string").alias("reason"),
     )
-    return ChangeSetResult(op, base, flagged, keys, column)
+    return ChangeSetResult(op, base, flagged, keys, column, seq_column)

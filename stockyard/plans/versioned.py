@@ -44,12 +44,18 @@ def commit_changes(
     op: str,
     entry_id: str | None = None,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
+    seq_column: str | None = None,
 ) -> tuple[Commit, ChangeSetResult | None]:
     """Apply ``changes`` to the current version and commit the next one.
 
     ``prepare(base, changes)`` may replace the plain kernel call (U6 checks
-    method IDs first). Returns the commit and the lazy result (for rejects).
+    method IDs first). ``seq_column`` names a column of the stored table with
+    the seq last applied to each row, so that a later commit never applies an
+    older change (see :func:`apply_changes`); it is for the plain kernel call.
+    Returns the commit and the lazy result (for rejects).
     """
+    if prepare is not None and seq_column is not None:
+        raise ValueError("seq_column applies to the plain kernel call, not to prepare")
     if entry_id is not None and store.has_entry(entry_id):
         current = store.current_version()
         return Commit(current, store.version_path(current), op, entry_id, 0, 0, True), None
@@ -57,5 +63,5 @@ def commit_changes(
     if prepare is not None:
         result = prepare(base, changes)
     else:
-        result = apply_changes(base, changes, keys, column, op=op)
+        result = apply_changes(base, changes, keys, column, op=op, seq_column=seq_column)
     return store.commit(result.table, result.op, entry_id=entry_id), result

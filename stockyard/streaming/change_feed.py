@@ -6,7 +6,10 @@ Structured Streaming source), and each micro-batch is applied to the
 versioned table by kernel K through ``foreachBatch``:
 
 * within a batch, the latest ``seq`` per key wins (K's collapse);
-* across batches, later batches apply over earlier ones;
+* across batches, with ``seq_column`` (a column of the stored table, see
+  :func:`with_seq_column`) a change applies only if it is newer than the seq
+  already applied to the row, so a late file with old changes cannot undo a
+  newer one; without it, later batches apply over earlier ones;
 * every batch is committed with the entry ID ``<name>:<batch_id>``; a batch
   replayed after a failure (Structured Streaming re-runs the last uncommitted
   batch with the same ID) finds its entry in the ledger and is skipped, so the
@@ -39,12 +42,15 @@ def change_batch_writer(
     name: str,
     rejects_path: str | None = None,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
+    seq_column: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function applying one micro-batch of changes."""
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         entry_id = f"{name}:{batch_id}"
-        _, result = commit_changes(store, batch, keys, column, op, entry_id, prepare)
+        _, result = commit_changes(
+            store, batch, keys, column, op, entry_id, prepare, seq_column=seq_column
+        )
         if result is not None and rejects_path is not None:
             result.rejects.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
                 "append"
@@ -67,6 +73,7 @@ def start_change_feed(
     max_files_per_trigger: int | None = None,
     available_now: bool = False,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
+    seq_column: str | None = None,
 ) -> StreamingQuery:
     """Start applying parquet change files under ``source_path`` to ``store``."""
     reader = spark.readStream.schema(schema)
@@ -76,8 +83,15 @@ def start_change_feed(
     writer = (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint_location)
-        .foreachBatch(change_batch_writer(store, keys, column, op, name, rejects_path, prepare))
+        .foreachBatch(
+            change_batch_writer(store, keys, column, op, name, rejects_path, prepare, seq_column)
+        )
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def with_seq_column(table: DataFrame, seq_type: T.DataType | str, name: str = "_seq") -> DataFrame:
+    """``table`` plus an empty applied-seq column, for a store fed with ``seq_column``."""
+    return table.withColumn(name, F.lit(None).cast(seq_type))
