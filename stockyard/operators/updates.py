@@ -33,18 +33,29 @@ _METHOD = "_ship_method_id"
 
 
 def set_order_quantity(
-    t: Tables, changes: DataFrame | None = None, min_quantity: float | None = None
+    t: Tables,
+    changes: DataFrame | None = None,
+    min_quantity: float | None = None,
+    seq_column: str | None = None,
 ) -> ChangeSetResult:
-    """U5 over ``lineitem``; changes: l_orderkey, l_partkey, new_value, seq."""
+    """U5 over ``lineitem``; changes: l_orderkey, l_partkey, new_value, seq.
+
+    ``seq_column``: applied-seq column of ``lineitem`` (see ``apply_changes``)."""
     changes = fixture.quantity_changes(t) if changes is None else changes
     if min_quantity is not None:
         low = F.col("new_value") < F.lit(min_quantity)
         changes = changes.withColumn("reason", F.when(low, F.lit(BELOW_MIN_QUANTITY)))
-    return apply_changes(t["lineitem"], changes, ORDER_LINE_KEYS, "l_quantity", op="set_order_quantity")
+    return apply_changes(
+        t["lineitem"], changes, ORDER_LINE_KEYS, "l_quantity", op="set_order_quantity", seq_column=seq_column
+    )
 
 
-def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetResult:
-    """U6 over ``orders``; changes: o_orderkey, new_value (method ID), seq."""
+def set_ship_method(
+    t: Tables, changes: DataFrame | None = None, seq_column: str | None = None
+) -> ChangeSetResult:
+    """U6 over ``orders``; changes: o_orderkey, new_value (method ID), seq.
+
+    ``seq_column``: applied-seq column of ``orders`` (see ``apply_changes``)."""
     changes = fixture.ship_method_changes(t) if changes is None else changes
     # The method list is a dimension of a handful of rows: checked, then broadcast.
     methods = fixture.ship_method_dim(t)
@@ -74,7 +85,9 @@ def set_ship_method(t: Tables, changes: DataFrame | None = None) -> ChangeSetRes
             HIT,
         )
 
-    result = apply_changes(base, checked, ORDER_KEYS, _METHOD, op="set_ship_method")
+    result = apply_changes(
+        base, checked, ORDER_KEYS, _METHOD, op="set_ship_method", seq_column=seq_column
+    )
     result.finish = finish
     return result
 

@@ -51,7 +51,8 @@ def commit_changes(
     ``prepare(base, changes)`` may replace the plain kernel call (U6 checks
     method IDs first). ``seq_column`` names a column of the stored table with
     the seq last applied to each row, so that a later commit never applies an
-    older change (see :func:`apply_changes`); it is for the plain kernel call.
+    older change (see :func:`apply_changes`); it is for the plain kernel call,
+    and a ``prepare`` function passes it to the update itself.
     Returns the commit and the lazy result (for rejects).
     """
     if prepare is not None and seq_column is not None:
