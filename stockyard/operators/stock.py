@@ -51,6 +51,7 @@ def adjusted_quantity(quantity: Column, pct: float, rounding: str = "floor") ->
 class StockAdjustment:
     op: str
     table: DataFrame  # product_id, location_id, quantity, _hit
+    matched: DataFrame  # the rows the adjustment changes (the _hit rows of table)
 
     @property
     def updated(self) -> DataFrame:
@@ -58,16 +59,18 @@ class StockAdjustment:
 
     @property
     def outcome(self) -> DataFrame:
-        """One row: op, changes=1, applied=1, superseded=0, rejected=0, rows_matched."""
-        return self.table.agg(
+        """One row: op, changes=1, applied=1, superseded=0, rejected=0, rows_matched.
+
+        Counted over :attr:`matched`, whose location filter reaches the scan
+        below the inventory (the supplier nation), so only that location's
+        rows are built, instead of flagging every row of the new table."""
+        return self.matched.agg(
             F.lit(self.op).alias("op"),
             F.lit(1).cast("bigint").alias("changes"),
             F.lit(1).cast("bigint").alias("applied"),
             F.lit(0).cast("bigint").alias("superseded"),
             F.lit(0).cast("bigint").alias("rejected"),
-            F.coalesce(F.sum(F.col(HIT).cast("bigint")), F.lit(0)).cast("bigint").alias(
-                "rows_matched"
-            ),
+            F.count(F.lit(1)).cast("bigint").alias("rows_matched"),
         )
 
 
@@ -102,4 +105,7 @@ def adjust_stock(
         ],
         hit.alias(HIT),
     )
-    return StockAdjustment(op="adjust_stock", table=table)
+    matched = inv.filter(F.col("location_id") == F.lit(location)).join(
+        in_category, inv.product_id == in_category._pid, "left_semi"
+    )
+    return StockAdjustment(op="adjust_stock", table=table, matched=matched)
