@@ -8,6 +8,7 @@ cluster):
     root/v00000001/   parquet of version 1
     root/v00000002/   ...
     root/ledger/      parquet, one row per committed version
+    root/ledger_compacted/c<version>/   the ledger folded up to <version>
 
 A version counts only once its ledger row is written, after its data write
 has succeeded, so a job that dies midway leaves at most an orphan folder that
@@ -32,7 +33,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,24 +74,92 @@ class SnapshotStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.log_path = f"{self.root}/ledger"
+        self.compacted_path = f"{self.root}/ledger_compacted"
         self.partition_by = list(partition_by or [])
 
     # -- reading ----------------------------------------------------------
 
-    def _exists(self, path: str) -> bool:
-        """Whether ``path`` exists, through the cluster's Hadoop file system."""
+    def _fs(self, path: str):
+        """(Hadoop file system, Path) for ``path``, as the cluster resolves it."""
         sc = self.spark.sparkContext
         jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath)
+        return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
 
-    def log(self) -> DataFrame:
-        """The ledger (empty when nothing is committed yet)."""
+    def _exists(self, path: str) -> bool:
+        """Whether ``path`` exists, through the cluster's Hadoop file system."""
+        fs, jpath = self._fs(path)
+        return fs.exists(jpath)
+
+    def _ledger_files(self) -> list[str]:
+        """The per-commit ledger files (one small parquet file per commit)."""
         if not self._exists(self.log_path):
+            return []
+        fs, jpath = self._fs(self.log_path)
+        return [
+            st.getPath().toString()
+            for st in fs.listStatus(jpath)
+            if st.isFile() and st.getPath().getName().endswith(".parquet")
+        ]
+
+    def _latest_compaction(self) -> str | None:
+        """The newest complete compacted ledger (a folder with ``_SUCCESS``)."""
+        if not self._exists(self.compacted_path):
+            return None
+        fs, jpath = self._fs(self.compacted_path)
+        names = sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
+        for name in reversed(names):
+            folder = f"{self.compacted_path}/{name}"
+            if self._exists(f"{folder}/_SUCCESS"):
+                return folder
+        return None
+
+    def log(self) -> DataFrame:
+        """The ledger (empty when nothing is committed yet): the newest compacted
+        ledger plus the per-commit files written since, one row per version."""
+        parts = []
+        files = self._ledger_files()
+        if files:
+            parts.append(self.spark.read.schema(LOG_SCHEMA).parquet(*files))
+        compacted = self._latest_compaction()
+        if compacted:
+            parts.append(self.spark.read.schema(LOG_SCHEMA).parquet(compacted))
+        if not parts:
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+        if len(parts) == 1:
+            return parts[0]
+        # a crash between writing a compaction and deleting the files it covers
+        # leaves rows in both places
+        return parts[0].unionByName(parts[1]).dropDuplicates(["version"])
+
+    def compact_ledger(self) -> int:
+        """Fold the per-commit ledger files into one compacted folder.
+
+        Every commit adds one small file and every commit reads the whole
+        ledger, so a long-running feed should compact now and then (between
+        commits, by the single writer). Safe against a crash at any point: the
+        files are listed first, exactly those are folded in with the previous
+        compaction into a new folder, which counts only once its ``_SUCCESS``
+        marker exists, and only then are exactly those files deleted. A file a
+        concurrent commit adds meanwhile is neither folded nor deleted.
+        Returns the number of files folded.
+        """
+        files = self._ledger_files()
+        if not files:
+            return 0
+        rows = self.spark.read.schema(LOG_SCHEMA).parquet(*files)
+        previous = self._latest_compaction()
+        if previous:
+            rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(previous))
+        rows = rows.dropDuplicates(["version"])
+        top = rows.agg(F.max("version").alias("v")).first()["v"]
+        target = f"{self.compacted_path}/c{int(top):08d}"
+        if self._exists(f"{target}/_SUCCESS"):
+            return 0  # already compacted up to this version
+        rows.coalesce(1).write.mode("overwrite").parquet(target)
+        for f in files:
+            fs, jpath = self._fs(f)
+            fs.delete(jpath, False)
+        return len(files)
 
     def current_version(self) -> int:
         """Latest committed version, 0 if none. Reads one aggregate row."""

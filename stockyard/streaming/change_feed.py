@@ -15,7 +15,9 @@ versioned table by kernel K through ``foreachBatch``:
   batch with the same ID) finds its entry in the ledger and is skipped, so the
   table changes exactly once per batch;
 * the rejects of each batch are appended to ``rejects_path`` (if given) with
-  their batch ID.
+  their batch ID;
+* with ``compact_every=N`` the ledger is compacted after every N-th batch, so
+  a feed that runs for many batches keeps reading a handful of ledger files.
 
 The stream's checkpoint location must be a shared folder on a cluster.
 """
@@ -43,6 +45,7 @@ def change_batch_writer(
     rejects_path: str | None = None,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
     seq_column: str | None = None,
+    compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function applying one micro-batch of changes."""
 
@@ -51,6 +54,8 @@ def change_batch_writer(
         _, result = commit_changes(
             store, batch, keys, column, op, entry_id, prepare, seq_column=seq_column
         )
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact_ledger()
         if result is not None and rejects_path is not None:
             result.rejects.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
                 "append"
@@ -74,6 +79,7 @@ def start_change_feed(
     available_now: bool = False,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
     seq_column: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start applying parquet change files under ``source_path`` to ``store``."""
     reader = spark.readStream.schema(schema)
@@ -84,7 +90,9 @@ def start_change_feed(
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint_location)
         .foreachBatch(
-            change_batch_writer(store, keys, column, op, name, rejects_path, prepare, seq_column)
+            change_batch_writer(
+                store, keys, column, op, name, rejects_path, prepare, seq_column, compact_every
+            )
         )
     )
     if available_now:

@@ -169,6 +169,39 @@ def test_commit_fails_when_another_writer_committed(spark):
     assert store.current_version() == 2  # the other writer's version stands
 
 
+def test_ledger_compaction_keeps_every_commit(spark):
+    store = SnapshotStore(spark, _scratch() + "/t")
+    table = spark.range(10).withColumnRenamed("id", "k")
+    store.initialize(table)
+    for i in range(3):
+        store.commit(table, "op", entry_id=f"e{i}", hit_column=None)
+
+    def rows():
+        return sorted((r.version, r.entry_id) for r in store.log().select("version", "entry_id").collect())
+
+    before = rows()
+    assert store.compact_ledger() == 4
+    assert store._ledger_files() == []
+    assert rows() == before and store.current_version() == 4 and store.has_entry("e1")
+
+    store.commit(table, "op", entry_id="e3", hit_column=None)
+    assert store.current_version() == 5 and len(rows()) == 5
+    assert store.compact_ledger() == 1
+    assert store._latest_compaction().endswith("c00000005")
+
+    # an unfinished compaction (no _SUCCESS) is ignored
+    store.log().write.parquet(store.compacted_path + "/c00000009")
+    fs, marker = store._fs(store.compacted_path + "/c00000009/_SUCCESS")
+    fs.delete(marker, False)
+    assert store._latest_compaction().endswith("c00000005") and store.current_version() == 5
+
+    # a crash after a compaction was written but before its files were deleted
+    store.commit(table, "op", entry_id="e4", hit_column=None)
+    store.log().coalesce(1).write.parquet(store.compacted_path + "/c00000006")
+    assert len(store._ledger_files()) == 1
+    assert len(rows()) == 6 and store.current_version() == 6
+
+
 def test_commit_changes_counts_by_observation(spark, small_tables):
     store = SnapshotStore(spark, _scratch() + "/emails")
     store.initialize(fixture.person_email(small_tables))
@@ -253,10 +286,12 @@ def test_change_feed_keeps_latest_seq_across_batches(spark, small_tables):
         max_files_per_trigger=1,
         available_now=True,
         seq_column="_seq",
+        compact_every=1,
     )
     query.awaitTermination(180)
     assert query.exception() is None
     assert store.current_version() == 3  # initial + one commit per file
+    assert store._ledger_files() == []  # compacted after every batch
     want = apply_changes(emails, changes, ["person_id"], "email").updated
     final = store.read().drop("_seq")
     assert final.count() == want.count()
