@@ -109,7 +109,8 @@ class ChangeSetResult:
 
     @cached_property
     def per_key(self) -> DataFrame:
-        """:attr:`per_key_changes` plus ``_m``, the number of base rows per key."""
+        """:attr:`per_key_changes` plus ``_m``, the number of base rows per key,
+        and ``_cur``, the seq those rows already hold (null when not tracked)."""
         change_keys = self.per_key_changes.filter(F.col("_n") > 0).select(*self.keys)
         current = F.max(self.seq_column) if self.seq_column else F.lit(None)
         matches = (
