@@ -19,7 +19,11 @@
   on the change side, never ``new_value is not null``. A key matching several
   base rows updates all of them, as a SQL UPDATE does.
 
-The result keeps the schema and the row count of ``base``. Everything is lazy.
+The result keeps the schema and the row count of ``base``. Everything is lazy
+except one bounded count: when the collapsed changes are proven small they
+are broadcast, so the base (the big side, e.g. all of ``lineitem``) streams
+through a hash join and is never shuffled; beyond the bound it is sort-merge
+joined.
 
 Work is organised around one per-key table, built by a single conditional
 aggregation over the changes: the winner, how many valid changes the key had,
@@ -38,6 +42,8 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.broadcast import row_count_at_most
+
 # Reasons a change is set aside.
 NULL_KEY = "null_key"
 NULL_VALUE = "null_value"
@@ -45,6 +51,12 @@ NO_SUCH_KEY = "no_such_key"
 
 HIT = "_hit"  # match marker carried by the change side of the join
 
+# Collapsed change sets up to this many keys are broadcast to the base (checked
+# by a bounded count), so the base streams through a hash join without being
+# shuffled; larger ones are sort-merge joined. One key row is a few tens of
+# bytes, so the bound keeps a broadcast under ~100 MB.
+CHANGES_BROADCAST_MAX_ROWS = 1_000_000
+
 OUTCOME_COLUMNS = ("op", "changes", "applied", "superseded", "rejected", "rows_matched")
 
 
@@ -66,8 +78,21 @@ class ChangeSetResult:
         self.keys = list(keys)
         self.column = column
         self.seq_column = seq_column  # base column holding the seq last applied to the row
+        self.broadcast_max_rows = CHANGES_BROADCAST_MAX_ROWS
         self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
 
+    @cached_property
+    def _changes_small(self) -> bool:
+        """Whether the keys with a valid change are few enough to broadcast
+        (a bounded count: it reads at most ``broadcast_max_rows + 1`` keys)."""
+        if not self.broadcast_max_rows:
+            return False
+        keyed = self.per_key_changes.filter(F.col("_n") > 0)
+        return row_count_at_most(keyed, self.broadcast_max_rows)
+
+    def _sized(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self._changes_small else df
+
     @cached_property
     def per_key_changes(self) -> DataFrame:
         """keys..., _w (winner struct), _n (valid changes), _bad (rejected changes)."""
@@ -95,7 +120,7 @@ class ChangeSetResult:
         updates = {self.column: "_new"}
         if self.seq_column:
             updates[self.seq_column] = "_wseq"
-        return self.base.join(winners, self.keys, "left").select(
+        return self.base.join(self._sized(winners), self.keys, "left").select(
             *[
                 (
                     F.when(hit, F.col(updates[c])).otherwise(F.col(c)).alias(c)
@@ -115,7 +140,7 @@ class ChangeSetResult:
         current = F.max(self.seq_column) if self.seq_column else F.lit(None)
         matches = (
             self.base.select(*self.keys, *([self.seq_column] if self.seq_column else []))
-            .join(change_keys, self.keys, "left_semi")
+            .join(self._sized(change_keys), self.keys, "left_semi")
             .groupBy(*self.keys)
             .agg(F.count(F.lit(1)).alias("_m"), current.alias("_cur"))
         )

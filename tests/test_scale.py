@@ -7,6 +7,7 @@ A second fixture gives one customer a third of all orders and forces AQE's
 skew handling on, to check the hot partition is split and results stay right.
 """
 
+import re
 import tempfile
 
 import duckdb
@@ -236,3 +237,21 @@ def test_hot_supplier_is_split_and_results_exact(spark, hot_supplier_root, force
     assert "skew=true" in u3._jdf.queryExecution().executedPlan().toString()
     u4 = cross_territory.cross_territory(t, "customer")
     assert _same(u4.toPandas(), con.execute(entry_module.oracle_sql()["cross_territory_customers"]).df())
+
+
+def test_small_change_set_is_broadcast_and_large_is_sort_merged(spark, no_auto_broadcast):
+    """K broadcasts the collapsed changes only behind a bounded count: under the
+    bound the base streams through a hash join and is not shuffled; over it the
+    join is sort-merge. Both give the same table."""
+    from stockyard.operators import updates
+
+    t = Tables.from_parquet(spark, SF_SMALL)
+    small = updates.set_order_quantity(t)
+    large = updates.set_order_quantity(t)
+    large.broadcast_max_rows = 1  # the change set has more keys than this
+    small_plan = small.updated._jdf.queryExecution().executedPlan().toString()
+    large_plan = large.updated._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftOuter", small_plan)
+    assert re.search(r"SortMergeJoin[^\n]*LeftOuter", large_plan)
+    assert small.updated.exceptAll(large.updated).count() == 0
+    assert small.updated.count() == large.updated.count()
