@@ -79,19 +79,23 @@ class ChangeSetResult:
         self.column = column
         self.seq_column = seq_column  # base column holding the seq last applied to the row
         self.broadcast_max_rows = CHANGES_BROADCAST_MAX_ROWS
+        # result of the size check; set beforehand to reuse a known answer
+        # (the updates memoise it per catalog for the change sets they derive)
+        self.changes_small: bool | None = None
         self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
 
-    @cached_property
-    def _changes_small(self) -> bool:
+    def is_small(self) -> bool:
         """Whether the keys with a valid change are few enough to broadcast
         (a bounded count: it reads at most ``broadcast_max_rows + 1`` keys)."""
-        if not self.broadcast_max_rows:
-            return False
-        keyed = self.per_key_changes.filter(F.col("_n") > 0)
-        return row_count_at_most(keyed, self.broadcast_max_rows)
+        if self.changes_small is None:
+            keyed = self.per_key_changes.filter(F.col("_n") > 0)
+            self.changes_small = bool(self.broadcast_max_rows) and row_count_at_most(
+                keyed, self.broadcast_max_rows
+            )
+        return self.changes_small
 
     def _sized(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self._changes_small else df
+        return F.broadcast(df) if self.is_small() else df
 
     @cached_property
     def per_key_changes(self) -> DataFrame:

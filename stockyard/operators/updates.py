@@ -32,6 +32,16 @@ PERSON_KEYS = ["person_id"]
 _METHOD = "_ship_method_id"
 
 
+def _memoised_size_check(t: Tables, key: str, result: ChangeSetResult) -> ChangeSetResult:
+    """Run the change-set size check once per catalog for a change set derived
+    from it (the same rows every time), as the dimension checks are."""
+    if key in t.bounded_cache:
+        result.changes_small = t.bounded_cache[key]
+    else:
+        t.bounded_cache[key] = result.is_small()
+    return result
+
+
 def set_order_quantity(
     t: Tables,
     changes: DataFrame | None = None,
@@ -41,13 +51,17 @@ def set_order_quantity(
     """U5 over ``lineitem``; changes: l_orderkey, l_partkey, new_value, seq.
 
     ``seq_column``: applied-seq column of ``lineitem`` (see ``apply_changes``)."""
-    changes = fixture.quantity_changes(t) if changes is None else changes
+    derived = changes is None
+    changes = fixture.quantity_changes(t) if derived else changes
     if min_quantity is not None:
         low = F.col("new_value") < F.lit(min_quantity)
         changes = changes.withColumn("reason", F.when(low, F.lit(BELOW_MIN_QUANTITY)))
-    return apply_changes(
+    result = apply_changes(
         t["lineitem"], changes, ORDER_LINE_KEYS, "l_quantity", op="set_order_quantity", seq_column=seq_column
     )
+    if derived:
+        _memoised_size_check(t, f"changes:set_order_quantity:{min_quantity}", result)
+    return result
 
 
 def set_ship_method(
@@ -56,7 +70,8 @@ def set_ship_method(
     """U6 over ``orders``; changes: o_orderkey, new_value (method ID), seq.
 
     ``seq_column``: applied-seq column of ``orders`` (see ``apply_changes``)."""
-    changes = fixture.ship_method_changes(t) if changes is None else changes
+    derived = changes is None
+    changes = fixture.ship_method_changes(t) if derived else changes
     # The method list is a dimension of a handful of rows: checked, then broadcast.
     methods = fixture.ship_method_dim(t)
     known_ids = methods.select(F.col("ship_method_id").alias("_known_id"), F.lit(True).alias("_known"))
@@ -89,10 +104,16 @@ def set_ship_method(
         base, checked, ORDER_KEYS, _METHOD, op="set_ship_method", seq_column=seq_column
     )
     result.finish = finish
+    if derived:
+        _memoised_size_check(t, "changes:set_ship_method", result)
     return result
 
 
 def set_email(t: Tables, changes: DataFrame | None = None) -> ChangeSetResult:
     """U7 over the person-email table; changes: person_id, new_value, seq."""
-    changes = fixture.email_changes(t) if changes is None else changes
-    return apply_changes(fixture.person_email(t), changes, PERSON_KEYS, "email", op="set_email")
+    derived = changes is None
+    changes = fixture.email_changes(t) if derived else changes
+    result = apply_changes(fixture.person_email(t), changes, PERSON_KEYS, "email", op="set_email")
+    if derived:
+        _memoised_size_check(t, "changes:set_email", result)
+    return result

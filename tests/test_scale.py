@@ -244,10 +244,12 @@ def test_small_change_set_is_broadcast_and_large_is_sort_merged(spark, no_auto_b
     bound the base streams through a hash join and is not shuffled; over it the
     join is sort-merge. Both give the same table."""
     from stockyard.operators import updates
+    from stockyard.sources import fixture
 
     t = Tables.from_parquet(spark, SF_SMALL)
-    small = updates.set_order_quantity(t)
-    large = updates.set_order_quantity(t)
+    changes = fixture.quantity_changes(t)  # given explicitly: checked per call, not memoised
+    small = updates.set_order_quantity(t, changes)
+    large = updates.set_order_quantity(t, changes)
     large.broadcast_max_rows = 1  # the change set has more keys than this
     small_plan = small.updated._jdf.queryExecution().executedPlan().toString()
     large_plan = large.updated._jdf.queryExecution().executedPlan().toString()
