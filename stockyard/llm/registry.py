@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockyard.llm import chat_tree, hilbert_shards, language_ppm, line_dedup, quality_rules, sentencepiece_bpe, toxicity
+from stockyard.llm import chat_tree, hilbert_shards, language_ppm, line_dedup, parity_join, quality_rules, sentencepiece_bpe, toxicity
 from stockyard.llm.common import held_out, table
 
 #: Where the vocabulary of operator 1 is read; another file may be named here.
@@ -49,6 +49,10 @@ def op7_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ppm.identify(rows, model).drop("text")
 
 
+def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_hilbert_sharding": op5_hilbert_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_ppm": op7_language_ppm,
+    "op8_parity_join": op8_parity_join,
     "op9_chat_tree": op9_chat_tree,
     "op10_line_dedup": op10_line_dedup,
 }
