@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,20 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package (once per application), for sessions that
+    were started without it on the Python path."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/stockyard", "zip", root, "stockyard")
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -91,6 +107,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def local_temp_free(path: str) -> bool:
-    """True if a checkpoint folder is a URI or absolute path (for messages only)."""
-    return "://" in path or os.path.isabs(path)
+def blobs(rec: np.ndarray, bucket: np.ndarray, passing: bool) -> Iterator[pa.RecordBatch]:
+    """Records as one row (bucket, hot, blob) for each bucket they fall in."""
+    if not len(rec):
+        return
+    by = np.argsort(bucket, kind="stable")
+    rec, bucket = rec[by], bucket[by]
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    raw, ends = rec.tobytes(), np.r_[first, len(rec)] * rec.dtype.itemsize
+    parts = [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    yield pa.record_batch(
+        [pa.array(bucket[first].astype(np.int32)), pa.array([passing] * len(parts)), pa.array(parts, pa.binary())], names=["bucket", "hot", "blob"]
+    )

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.llm.common import mix64, partitions, text_slices, written
+from stockyard.llm.common import blobs, mix64, partitions, text_slices, written
 from stockyard.llm.components import components
 
 WORDS = 5
@@ -242,9 +242,9 @@ def _candidates(documents: DataFrame, text: str, order: Order) -> DataFrame:
                 rec = np.empty(len(key), _RECORD)
                 rec["key"], rec["cls"], rec["n"] = key, x.cls[rows], x.size[rows]
                 hot = often >= HOT
-                yield from _blobs(rec[~hot], (rec["key"][~hot] % np.uint64(buckets)).astype(np.int64), False)
+                yield from blobs(rec[~hot], (rec["key"][~hot] % np.uint64(buckets)).astype(np.int64), False)
                 # Members of hot groups only pass through, so they are dealt out by class.
-                yield from _blobs(rec[hot], (mix64(rec["cls"][hot].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
+                yield from blobs(rec[hot], (mix64(rec["cls"][hot].copy().view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, hot = [np.empty(0, _RECORD)], [np.empty(0, _RECORD)]
@@ -300,19 +300,6 @@ def _candidates(documents: DataFrame, text: str, order: Order) -> DataFrame:
     return shown.repartition(parts, "bucket").mapInArrow(meet, "key long, a long, b long, n long")
 
 
-def _blobs(rec: np.ndarray, bucket: np.ndarray, hot: bool) -> Iterator[pa.RecordBatch]:
-    if not len(rec):
-        return
-    by = np.argsort(bucket, kind="stable")
-    rec, bucket = rec[by], bucket[by]
-    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    raw, ends = rec.tobytes(), np.r_[first, len(rec)] * _RECORD.itemsize
-    blobs = [raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
-    yield pa.record_batch(
-        [pa.array(bucket[first].astype(np.int32)), pa.array([hot] * len(blobs)), pa.array(blobs, pa.binary())], names=["bucket", "hot", "blob"]
-    )
-
-
 def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Of the pairs (a, b) of classes those that are similar, as (u, v) of their smallest
     documents."""

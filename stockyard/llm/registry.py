@@ -6,14 +6,15 @@ derives the columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockyard.llm import chat_tree, hilbert_shards, language_ppm, line_dedup, parity_join, quality_rules, sentencepiece_bpe, toxicity
-from stockyard.llm.common import held_out, table
+from stockyard.llm import benchmark_lsi, chat_tree, hilbert_shards, language_ppm, line_dedup, parity_join, quality_rules, sentencepiece_bpe, suffix_dedup, toxicity
+from stockyard.llm.common import held_out, ship, table
 
 #: Where the vocabulary of operator 1 is read; another file may be named here.
 PIECE_MODEL = os.environ.get("STOCKYARD_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -23,6 +24,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.round_trip_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL)
 
 
+def op2_benchmark_lsi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_lsi.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), "toxic")
@@ -31,6 +36,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents.withColumn("held_out", held_out()), model).drop("text")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
@@ -79,15 +89,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_sentencepiece": op1_sentencepiece,
-    "op3_toxicity": op3_toxicity,
-    "op5_hilbert_sharding": op5_hilbert_sharding,
-    "op6_quality_rules": op6_quality_rules,
-    "op7_language_ppm": op7_language_ppm,
-    "op8_parity_join": op8_parity_join,
-    "op9_chat_tree": op9_chat_tree,
-    "op10_line_dedup": op10_line_dedup,
+    q.__name__: _shipped(q)
+    for q in (
+        op1_sentencepiece,
+        op2_benchmark_lsi,
+        op3_toxicity,
+        op4_suffix_dedup,
+        op5_hilbert_sharding,
+        op6_quality_rules,
+        op7_language_ppm,
+        op8_parity_join,
+        op9_chat_tree,
+        op10_line_dedup,
+    )
 }
 
 ORACLE: dict[str, str] = {}
