@@ -117,7 +117,7 @@ def _weights(bench: Benchmark, df: np.ndarray, n: int, common: float, least: int
     """Inverse document frequency by term; 0 for terms in more than ``common`` of all
     blocks, unless an item would have fewer than ``least`` terms."""
     at = {w: k for k, w in enumerate(bench.terms)}
-    use = df <= max(1, common * n)
+    use = df <= max(20, common * n)
     for item in bench.items:
         own = sorted({at[w] for w in item.words}, key=lambda k: df[k])
         use[own[:least]] = True

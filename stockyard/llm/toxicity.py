@@ -198,7 +198,7 @@ def _solve(sample: list, names: list[str], fairness: float, ridge: float, steps:
     """Gradient descent with momentum (Adam) on the penalised loss."""
     y = np.array([r.y for r in sample], float)
     size = np.log1p(np.array([r.n_words for r in sample], float))
-    mid, wide = size.mean(), size.std() + 1e-9
+    mid, wide = size.mean(), max(float(size.std()), 0.1)
     row = np.repeat(np.arange(len(sample)), [len(r.f) for r in sample])
     f = np.fromiter(itertools.chain.from_iterable(r.f for r in sample), np.int64)
     x = np.log1p(np.fromiter(itertools.chain.from_iterable(r.c for r in sample), float))
