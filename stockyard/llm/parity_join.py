@@ -13,10 +13,12 @@ that many documents share seldom bring documents together. The order rests on a
 of at most ``ORDER_SIZE`` frequent shingles; it decides on work, not on results.
 
 Groups of equal segments yield candidate pairs: all pairs of small groups; from
-large ones a star and a chain, and, once the links found so far are joined to
-components, every pair of members that are still apart. Candidates pass the
-Hamming bound on whole sketches, then the exact test on the sets. A group that may be
-hot by the order table is handled by joins and aggregations that split it.
+large ones a star, and, once the links found so far are joined to components, those
+pairs of members still apart whose sketches are within the bound. These are
+compared in blocks of at most ``CHUNK`` members against the streamed rest of the group, so
+no group has to fit a task. Candidates pass the Hamming bound on whole sketches, then
+the exact test on the sets. A group that may be hot by the order table is found by joins
+and aggregations that split it.
 
 Equal sets are one class; a class shows its segments once per task. Classes and
 shingles are told apart by 64-bit hashes.
@@ -46,6 +48,7 @@ WORDS = 5
 ORDER_SIZE = 1 << 17
 HOT = 4096  # a segment whose rarest shingle is that frequent goes the way of hot groups
 SMALL_GROUP = 16
+CHUNK = 4096
 MAX_BROADCAST_IDS = 500_000
 _COEF = mix64(np.arange(1, WORDS + 2, dtype=np.uint64)) | np.uint64(1)
 _RECORD = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4")])
@@ -276,11 +279,7 @@ def _candidates(documents: DataFrame, text: str, order: Order) -> DataFrame:
             add(i, i + d)
         many = np.flatnonzero(large)
         if len(many):
-            head = np.searchsorted(group, group[many])
-            add(head, many)
-            by = many[np.lexsort((rec["n"][many], group[many]))]
-            near = np.flatnonzero(group[by[1:]] == group[by[:-1]])
-            add(by[near], by[near + 1])
+            add(np.searchsorted(group, group[many]), many)
             members = np.concatenate([members, rec[many]])
         if pairs:
             both = np.concatenate(pairs)
@@ -373,18 +372,66 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
 
 
 def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """All pairs of members of a large group that are in different components so far."""
+    """Pairs of members of a large group that are in different components so far and whose
+    sketches are within the bound."""
     of = classes.select("cls", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("root"))
     placed = members.join(of, "cls")
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     placed = written(placed.join(split, "key", "left_semi"), "near-apart")
     # The largest component of a group is compared with the others only.
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"))
-    others = placed.join(main, "key").filter("root <> main").select("key", F.col("cls").alias("c"), F.col("n").alias("cn"), F.col("root").alias("croot"))
-    fit = (F.col("root") != F.col("croot")) & (4 * F.least("n", "cn") >= 3 * F.greatest("n", "cn"))
-    met = others.join(placed, "key").filter(fit)
-    return written(met.select(F.least("c", "cls").alias("a"), F.greatest("c", "cls").alias("b")).distinct(), "near-rest")
+    per_key = sizes.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), (F.sum("m") - F.max("m")).alias("others"))
+    rows = placed.join(per_key, "key").join(classes.select("cls", "sketch"), "cls")
+    chunks = F.ceil(F.col("others") / CHUNK).cast("int")
+    own = rows.filter("root <> main").select("key", F.pmod(F.xxhash64("cls"), chunks).cast("int").alias("chunk"), F.lit(0).alias("side"), "cls", "n", "root", "sketch")
+    all_ = rows.select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(1).alias("side"), "cls", "n", "root", "sketch")
+    n = partitions(members.sparkSession)
+    dealt = own.unionByName(all_).repartition(n, "key", "chunk").sortWithinPartitions("key", "chunk", "side")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # the members of the chunk at hand
+        at, others = None, None
+        for b in batches:
+            key, chunk, side = (b.column(c).to_numpy() for c in ("key", "chunk", "side"))
+            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]) | (side[1:] != side[:-1])])
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)]):
+                part = [b.column(c).slice(i, j - i) for c in ("cls", "n", "root")]
+                rows = (*(x.to_numpy() for x in part), b.column("sketch").slice(i, j - i).to_pylist())
+                if at != (key[i], chunk[i]):
+                    at, held, others = (key[i], chunk[i]), [], None
+                if side[i] == 0:
+                    held.append(rows)
+                    continue
+                if not held:  # a chunk that no member was dealt to
+                    continue
+                if others is None:
+                    cls, size, root, sketch = zip(*held)
+                    others = (np.concatenate(cls), np.concatenate(size), np.concatenate(root), [x for part in sketch for x in part])
+                pairs = _near(others, rows)
+                if len(pairs):
+                    yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return written(dealt.mapInArrow(compare, "a long, b long").distinct(), "near-rest")
+
+
+def _folded(sketches: list[bytes], words: int) -> np.ndarray:
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in sketches])
+
+
+def _near(x: tuple, y: tuple) -> np.ndarray:
+    """Pairs (class of x, class of y), smaller first, of different components and within
+    the bound."""
+    words = min(map(len, [*x[3], *y[3]])) // 8
+    xs, ys = _folded(x[3], words), _folded(y[3], words)
+    step = max(1, (1 << 21) // (len(xs) * words))
+    out = []
+    for k in range(0, len(ys), step):
+        far = np.bitwise_count(xs[:, None, :] ^ ys[None, k : k + step, :]).sum(axis=2, dtype=np.int64)
+        m, n = x[1][:, None].astype(np.int64), y[1][None, k : k + step].astype(np.int64)
+        ok = (far <= bound(m, n)) & (4 * np.minimum(m, n) >= 3 * np.maximum(m, n)) & (x[2][:, None] != y[2][None, k : k + step])
+        i, j = np.nonzero(ok)
+        out.append(np.stack([x[0][i], y[0][k + j]], axis=1))
+    return np.sort(np.concatenate(out), axis=1)
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
