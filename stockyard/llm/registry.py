@@ -114,4 +114,70 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# Plain SQL for the queries it can express; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op8_parity_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS ws
+            FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(
+                       range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+                   WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS items
+            FROM w
+        ), u AS (
+            SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s
+        ), e AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM u a JOIN u b ON a.item = b.item AND a.doc_id < b.doc_id
+            GROUP BY 1, 2, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), links AS (
+            SELECT x, y FROM e UNION ALL SELECT y, x FROM e
+        ), reach AS (
+            SELECT DISTINCT x AS doc_id, x AS other FROM links
+            UNION
+            SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x
+        ), least AS (
+            SELECT doc_id, min(other) AS root FROM reach GROUP BY 1
+        )
+        SELECT s.doc_id, CAST(len(s.items) AS BIGINT) AS n_shingles, coalesce(least.root, s.doc_id) AS component_id
+        FROM s LEFT JOIN least ON s.doc_id = least.doc_id
+    """,
+    "op9_chat_tree": """
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), f AS (
+            SELECT *, length(regexp_replace(text,
+                       '([<\\[])(\\\\*)(\\|turn\\|>|\\|end\\|>|s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>)',
+                       '\\1\\\\\\2\\3', 'g')) + length(role) + 16 AS chars,
+                   CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(length(string_agg(loss, '' ORDER BY turn, role, text)) AS BIGINT) AS loss_chars,
+               sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM f GROUP BY conv_id
+    """,
+    "op10_line_dedup": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), l AS (
+            SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM d
+        ), k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) AS key FROM l
+        ), hot AS (
+            SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT rid) >= 10
+        )
+        SELECT k.doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+        FROM k LEFT JOIN hot ON k.key = hot.key
+        GROUP BY k.rid, k.doc_id
+    """,
+}
