@@ -47,8 +47,11 @@ def _emit(lines: DataFrame, args: argparse.Namespace) -> None:
         report.write_report(lines, args.out, mode="overwrite" if args.overwrite else "errorifexists")
         print(f"written to {args.out}")
     else:
-        for row in lines.orderBy("n").limit(args.show).select("line").take(args.show):
+        rows = lines.orderBy("n").select("line").take(args.show + 1)
+        for row in rows[: args.show]:
             print(row.line)
+        if len(rows) > args.show:
+            print(f"({lines.count() - args.show} more lines not shown; --out writes all)")
 
 
 def _store(spark: SparkSession, root: str, initial: DataFrame) -> SnapshotStore:
@@ -92,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("adjust-stock", help="3: change stock of a category at a location")
     p.add_argument("--category", type=int, required=True)
     p.add_argument("--location", type=int, required=True)
-    p.add_argument("--pct", type=float, default=5)
+    p.add_argument("--pct", default="5", help="percentage, exact to 4 places")
     p.add_argument("--rounding", default="floor", choices=["floor", "ceil", "half_up"])
     p.add_argument("--store", required=True)
     p.add_argument("--adjustment-id", required=True)

@@ -20,6 +20,7 @@ permanent function may not refer to temporary views.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ FUNCTIONS = {
     # the category's lines summed per order, then per customer, then per
     # nation, each join meeting an aggregate on the key it is partitioned by.
     "sales_by_territory": f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION sales_by_territory(category INT)
+        CREATE OR REPLACE TEMPORARY FUNCTION sales_by_territory(category BIGINT)
         RETURNS TABLE (total_sales DOUBLE, territory STRING, territory_id INT)
         RETURN
         WITH per_order AS (
@@ -42,7 +43,7 @@ FUNCTIONS = {
             FROM lineitem l
             LEFT SEMI JOIN part p
               ON l.l_partkey = p.p_partkey
-             AND CAST(substring(p.p_brand, 7) AS INT) = sales_by_territory.category
+             AND {fixture.CATEGORY_SQL} = sales_by_territory.category
             GROUP BY l.l_orderkey
         ), per_customer AS (
             SELECT o.o_custkey, SUM(po.amount) AS amount
@@ -129,23 +130,33 @@ def with_dimension_hints(ddl: str, dimensions_small: bool) -> str:
     )
 
 
-def register(t: Tables) -> None:
+_VIEW = re.compile(r"\b(FROM|JOIN) (" + "|".join(VIEWS) + r")\b")
+_NUMBERS = itertools.count()
+
+
+def register(t: Tables, prefix: str = "") -> None:
     """Register the views the bodies read, then the three table functions.
 
+    The views get names of this catalog alone, so a user's own view ``orders`` and
+    the functions of other catalogs stay as they are. ``prefix`` goes before the
+    functions' names, to keep those of several catalogs apart.
+
     The dimension size check runs once per catalog (it is shared with the
     DataFrame operators) and decides whether the bodies carry broadcast hints.
     """
-    t.register_views(VIEWS)
+    own = t.derived("view_prefix", lambda: f"stockyard_{next(_NUMBERS)}_")
+    t.register_views(VIEWS, own)
     fixture.territory_dim(t)  # runs (or reuses) the bounded checks of nation and region
     small = t.bounded_cache.get("territory", False) and t.bounded_cache.get("region", False)
-    for ddl in FUNCTIONS.values():
-        t.spark.sql(with_dimension_hints(ddl, small))
+    for name, ddl in FUNCTIONS.items():
+        ddl = _VIEW.sub(rf"\1 {own}\2", with_dimension_hints(ddl, small))
+        t.spark.sql(re.sub(rf"\b{name}\b", prefix + name, ddl))
 
 
-def call(spark: SparkSession, name: str, *args) -> DataFrame:
+def call(spark: SparkSession, name: str, *args, prefix: str = "") -> DataFrame:
     """``SELECT * FROM name(:a0, :a1, ...)`` with typed, bound parameters."""
     if name not in FUNCTIONS:
         raise KeyError(f"unknown table function {name!r}")
     params = {f"a{i}": v for i, v in enumerate(args)}
     placeholders = ", ".join(f":a{i}" for i in range(len(args)))
-    return spark.sql(f"SELECT * FROM {name}({placeholders})", args=params)
+    return spark.sql(f"SELECT * FROM {prefix}{name}({placeholders})", args=params)

@@ -42,7 +42,6 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import row_count_at_most
 
 # Reasons a change is set aside.
 NULL_KEY = "null_key"
@@ -56,6 +55,7 @@ HIT = "_hit"  # match marker carried by the change side of the join
 # shuffled; larger ones are sort-merge joined. One key row is a few tens of
 # bytes, so the bound keeps a broadcast under ~100 MB.
 CHANGES_BROADCAST_MAX_ROWS = 1_000_000
+CHANGES_BROADCAST_MAX_BYTES = 64 << 20
 
 OUTCOME_COLUMNS = ("op", "changes", "applied", "superseded", "rejected", "rows_matched")
 
@@ -85,13 +85,24 @@ class ChangeSetResult:
         self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
 
     def is_small(self) -> bool:
-        """Whether the keys with a valid change are few enough to broadcast
-        (a bounded count: it reads at most ``broadcast_max_rows + 1`` keys)."""
+        """Whether the keys with a valid change are few and narrow enough to broadcast.
+
+        Counts the collapsed keys and the characters of their keys and values in one
+        aggregation, which costs a collapse of the changes but gathers one row."""
         if self.changes_small is None:
-            keyed = self.per_key_changes.filter(F.col("_n") > 0)
-            self.changes_small = bool(self.broadcast_max_rows) and row_count_at_most(
-                keyed, self.broadcast_max_rows
+            if not self.broadcast_max_rows:
+                self.changes_small = False
+                return False
+            width = reduce(
+                lambda a, b: a + b,
+                [
+                    F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
+                    for c in [*self.keys, "_w.new_value", "_w.seq"]
+                ],
             )
+            keyed = self.per_key_changes.filter(F.col("_n") > 0)
+            rows, size = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+            self.changes_small = rows <= self.broadcast_max_rows and size <= CHANGES_BROADCAST_MAX_BYTES
         return self.changes_small
 
     def _sized(self, df: DataFrame) -> DataFrame:
@@ -142,12 +153,14 @@ class ChangeSetResult:
         and ``_cur``, the seq those rows already hold (null when not tracked)."""
         change_keys = self.per_key_changes.filter(F.col("_n") > 0).select(*self.keys)
         current = F.max(self.seq_column) if self.seq_column else F.lit(None)
-        matches = (
-            self.base.select(*self.keys, *([self.seq_column] if self.seq_column else []))
-            .join(self._sized(change_keys), self.keys, "left_semi")
-            .groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_m"), current.alias("_cur"))
-        )
+        rows = self.base.select(*self.keys, *([self.seq_column] if self.seq_column else []))
+        counts = [F.count(F.lit(1)).alias("_m"), current.alias("_cur")]
+        if self.is_small():
+            matches = rows.join(F.broadcast(change_keys), self.keys, "left_semi").groupBy(*self.keys).agg(*counts)
+        else:
+            # Base rows are counted per key in each task before the shuffle, so a key
+            # with a third of all rows arrives as one row per task.
+            matches = rows.groupBy(*self.keys).agg(*counts).join(change_keys, self.keys, "left_semi")
         return self.per_key_changes.join(matches, self.keys, "left")
 
     @property

@@ -72,11 +72,11 @@ def requests_per_product(
     if measure == "lines":
         value = F.count(F.lit(1))
     elif measure == "units":
-        value = F.sum("l_quantity").cast("bigint")
+        value = F.sum(F.col("l_quantity").cast(fixture.QUANTITY_TYPE))
     else:
         value = F.count_distinct("l_orderkey")
     return region_lines.groupBy("grp", F.col("l_partkey").alias("product_id")).agg(
-        value.cast("bigint").alias("requests")
+        value.alias("requests")
     )
 
 
@@ -104,6 +104,7 @@ def top_requested_product(
         "left_semi",
     )
     names = fixture.product(t).select("product_id", "product")
+    # Units are compared exactly and shown whole.
     return winners.join(names, "product_id", "left").select(
-        "product", "requests", F.col("grp").alias("region"), "product_id"
+        "product", F.col("requests").cast("bigint").alias("requests"), F.col("grp").alias("region"), "product_id"
     )

@@ -23,6 +23,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,20 @@ from .changeset import HIT
 ROUNDING = ("floor", "ceil", "half_up")
 
 
-def adjusted_quantity(quantity: Column, pct: float, rounding: str = "floor") -> Column:
+def exact_percentage(pct: int | float | str | Decimal) -> Decimal:
+    """``pct`` as a decimal of at most 8 digits before and 4 after the point; refused if
+    it doesn't fit (a float counts as the number it prints)."""
+    value = Decimal(str(pct))
+    if not value.is_finite() or value != value.quantize(Decimal("0.0001")) or abs(value) >= 10**8:
+        raise ValueError(f"percentage {pct!r} has more than 8 digits before or 4 after the point")
+    return value
+
+
+def adjusted_quantity(quantity: Column, pct: int | float | str | Decimal, rounding: str = "floor") -> Column:
     """quantity + rounding(quantity * pct / 100), exact, as bigint."""
     if rounding not in ROUNDING:
         raise ValueError(f"rounding must be one of {ROUNDING}, got {rounding!r}")
-    delta = quantity.cast("decimal(20,0)") * F.lit(pct).cast("decimal(12,4)") / F.lit(100)
+    delta = quantity.cast("decimal(20,0)") * F.lit(str(exact_percentage(pct))).cast("decimal(12,4)") / F.lit(100)
     if rounding == "floor":
         rounded = F.floor(delta)
     elif rounding == "ceil":
@@ -59,7 +70,8 @@ class StockAdjustment:
 
     @property
     def outcome(self) -> DataFrame:
-        """One row: op, changes=1, applied=1, superseded=0, rejected=0, rows_matched.
+        """One row: op, changes=1, applied (1 if any row matched), superseded=0, rejected
+        (1 if none did), rows_matched.
 
         Counted over :attr:`matched`, whose location filter reaches the scan
         below the inventory (the supplier nation), so only that location's
@@ -67,9 +79,9 @@ class StockAdjustment:
         return self.matched.agg(
             F.lit(self.op).alias("op"),
             F.lit(1).cast("bigint").alias("changes"),
-            F.lit(1).cast("bigint").alias("applied"),
+            (F.count(F.lit(1)) > 0).cast("bigint").alias("applied"),
             F.lit(0).cast("bigint").alias("superseded"),
-            F.lit(0).cast("bigint").alias("rejected"),
+            (F.count(F.lit(1)) == 0).cast("bigint").alias("rejected"),
             F.count(F.lit(1)).cast("bigint").alias("rows_matched"),
         )
 
@@ -78,7 +90,7 @@ def adjust_stock(
     t: Tables,
     category: int,
     location: int,
-    pct: float = 5,
+    pct: int | float | str | Decimal = 5,
     rounding: str = "floor",
     inventory: DataFrame | None = None,
 ) -> StockAdjustment:
@@ -88,6 +100,7 @@ def adjust_stock(
         fixture.product(t)
         .filter(F.col("category_id") == F.lit(category))
         .select(F.col("product_id").alias("_pid"), F.lit(True).alias("_in_cat"))
+        .distinct()  # a product listed twice must not double its stock rows
     )
     joined = inv.join(in_category, inv.product_id == in_category._pid, "left")
     hit = F.coalesce(F.col("_in_cat"), F.lit(False)) & (F.col("location_id") == F.lit(location))

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.broadcast import bounded_broadcast
 from ..sources import fixture
 from ..sources.tables import Tables
 from .changeset import HIT, ChangeSetResult, apply_changes
@@ -35,6 +36,7 @@ _METHOD = "_ship_method_id"
 def _memoised_size_check(t: Tables, key: str, result: ChangeSetResult) -> ChangeSetResult:
     """Run the change-set size check once per catalog for a change set derived
     from it (the same rows every time), as the dimension checks are."""
+    key = f"{key}:{result.broadcast_max_rows}"
     if key in t.bounded_cache:
         result.changes_small = t.bounded_cache[key]
     else:
@@ -65,15 +67,20 @@ def set_order_quantity(
 
 
 def set_ship_method(
-    t: Tables, changes: DataFrame | None = None, seq_column: str | None = None
+    t: Tables,
+    changes: DataFrame | None = None,
+    seq_column: str | None = None,
+    methods: DataFrame | None = None,
 ) -> ChangeSetResult:
     """U6 over ``orders``; changes: o_orderkey, new_value (method ID), seq.
 
+    ``methods``: the method dimension (ship_method_id, name); a method that no order uses
+    yet is then accepted too. By default the methods found in ``orders``.
     ``seq_column``: applied-seq column of ``orders`` (see ``apply_changes``)."""
     derived = changes is None
     changes = fixture.ship_method_changes(t) if derived else changes
     # The method list is a dimension of a handful of rows: checked, then broadcast.
-    methods = fixture.ship_method_dim(t)
+    methods = fixture.ship_method_dim(t) if methods is None else bounded_broadcast(methods)
     known_ids = methods.select(F.col("ship_method_id").alias("_known_id"), F.lit(True).alias("_known"))
     checked = changes.join(known_ids, changes.new_value == known_ids._known_id, "left")
     unknown = F.col("new_value").isNotNull() & F.col("_known").isNull()

@@ -187,9 +187,13 @@ class SnapshotStore:
         op: str,
         entry_id: str | None = None,
         hit_column: str | None = HIT,
+        expected_version: int | None = None,
     ) -> Commit:
         """Write ``df`` as the next version and record it in the ledger.
 
+        ``expected_version``: the version ``df`` was built from; the commit fails if
+        another one has become current since.
+
         If ``hit_column`` is a column of ``df`` it is counted (rows_matched)
         while writing and dropped from the stored table.
         """
@@ -197,6 +201,10 @@ class SnapshotStore:
             current = self.current_version()
             return Commit(current, self.version_path(current), op, entry_id, 0, 0, skipped=True)
         base_version = self.current_version()
+        if expected_version is not None and base_version != expected_version:
+            raise ConcurrentCommitError(
+                f"{self.root}: version {base_version} was committed since version {expected_version} was read"
+            )
         version = base_version + 1
         while self._exists(self.version_path(version)):  # orphan of a failed commit
             version += 1

@@ -25,15 +25,16 @@ def adjust_stock_once(
     category: int,
     location: int,
     adjustment_id: str,
-    pct: float = 5,
+    pct: int | float | str = 5,
     rounding: str = "floor",
 ) -> Commit:
     """U3 on the store's current inventory; skipped if ``adjustment_id`` is recorded."""
     if store.has_entry(adjustment_id):
         current = store.current_version()
         return Commit(current, store.version_path(current), "adjust_stock", adjustment_id, 0, 0, True)
-    adj = stock.adjust_stock(t, category, location, pct, rounding, inventory=store.read())
-    return store.commit(adj.table, adj.op, entry_id=adjustment_id)
+    version = store.current_version()
+    adj = stock.adjust_stock(t, category, location, pct, rounding, inventory=store.read(version))
+    return store.commit(adj.table, adj.op, entry_id=adjustment_id, expected_version=version)
 
 
 def commit_changes(
@@ -45,6 +46,7 @@ def commit_changes(
     entry_id: str | None = None,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
     seq_column: str | None = None,
+    before_commit: Callable[[ChangeSetResult], None] | None = None,
 ) -> tuple[Commit, ChangeSetResult | None]:
     """Apply ``changes`` to the current version and commit the next one.
 
@@ -53,6 +55,9 @@ def commit_changes(
     the seq last applied to each row, so that a later commit never applies an
     older change (see :func:`apply_changes`); it is for the plain kernel call,
     and a ``prepare`` function passes it to the update itself.
+    ``before_commit(result)`` runs before the new version is written (to store rejects:
+    a retry repeats it, while after the commit a retry is skipped).
+    The commit fails if another version has become current since this one was read.
     Returns the commit and the lazy result (for rejects).
     """
     if prepare is not None and seq_column is not None:
@@ -60,9 +65,12 @@ def commit_changes(
     if entry_id is not None and store.has_entry(entry_id):
         current = store.current_version()
         return Commit(current, store.version_path(current), op, entry_id, 0, 0, True), None
-    base = store.read()
+    version = store.current_version()
+    base = store.read(version)
     if prepare is not None:
         result = prepare(base, changes)
     else:
         result = apply_changes(base, changes, keys, column, op=op, seq_column=seq_column)
-    return store.commit(result.table, result.op, entry_id=entry_id), result
+    if before_commit is not None:
+        before_commit(result)
+    return store.commit(result.table, result.op, entry_id=entry_id, expected_version=version), result

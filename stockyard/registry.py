@@ -23,18 +23,10 @@ PCT = 5
 REGION = "AMERICA"
 
 
-_CATALOGS: dict[tuple[int, str], Tables] = {}
-
-
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """One catalog per (session, folder): tables are opened and the dimension
-    size checks run once, then every query of the session shares them."""
-    key = (id(spark), sf_dir)
-    t = _CATALOGS.get(key)
-    if t is None or t.spark is not spark or spark.sparkContext._jsc is None:
-        t = Tables.from_parquet(spark, sf_dir)
-        _CATALOGS[key] = t
-    return t
+    """A fresh catalog per query: it sees files added since the last one, and its
+    size checks hold for what it reads."""
+    return Tables.from_parquet(spark, sf_dir)
 
 
 def q_sales_by_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Exact line amount, as in fixture.line_amount.
 _AMOUNT = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
-_CATEGORY = "CAST(substr(p_brand, 7) AS INTEGER)"
+_CATEGORY = "TRY_CAST(substr(p_brand, 7) AS BIGINT)"
 
 
 
@@ -237,7 +229,7 @@ _QTY_CHANGES = """
 
 _METHOD_CHANGES = """
     methods AS (
-        SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS id,
+        SELECT TRY_CAST(regexp_extract(o_orderpriority, '^([0-9]+)', 1) AS INTEGER) AS id,
                min(o_orderpriority) AS name
         FROM orders GROUP BY 1
     ), ch AS (
@@ -282,7 +274,7 @@ def _lines_sql(source_sql: str, order_sql: str, parts: list[str]) -> str:
 
 
 _SALES_EXACT_SQL = f"""
-        SELECT CAST(SUM({_AMOUNT}) AS DECIMAL(18,4)) AS total_sales,
+        SELECT CAST(SUM({_AMOUNT}) AS DECIMAL(38,4)) AS total_sales,
                n.n_name AS territory, n.n_nationkey AS territory_id
         FROM lineitem l
         JOIN part p ON l.l_partkey = p.p_partkey
@@ -370,8 +362,9 @@ ORACLE: dict[str, str] = {
     "update_outcomes": f"""
         WITH {_INVENTORY}
         SELECT 'adjust_stock' AS op, CAST(1 AS BIGINT) AS changes,
-               CAST(1 AS BIGINT) AS applied, CAST(0 AS BIGINT) AS superseded,
-               CAST(0 AS BIGINT) AS rejected,
+               (SELECT CAST(COUNT(*) > 0 AS BIGINT) FROM hit WHERE is_hit) AS applied,
+               CAST(0 AS BIGINT) AS superseded,
+               (SELECT CAST(COUNT(*) = 0 AS BIGINT) FROM hit WHERE is_hit) AS rejected,
                (SELECT COUNT(*) FROM hit WHERE is_hit) AS rows_matched
         UNION ALL (
         WITH {_QTY_CHANGES}

@@ -6,7 +6,6 @@ helpers here are for tests, ``bench.py`` and local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -102,8 +101,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "No checkpoint folder: set spark.checkpoint.dir to a shared folder "
         "(HDFS/S3/ABFS) that every executor can reach."
     )
-
-
-def env_or(name: str, default: str | None = None) -> str | None:
-    value = os.environ.get(name)
-    return value if value else default

@@ -39,6 +39,7 @@ NORTH_AMERICA = "AMERICA"  # region name standing for "North America"
 EMAIL_DOMAIN = "@example.com"
 PRICE_TYPE = "decimal(12,2)"  # l_extendedprice carries cents
 RATE_TYPE = "decimal(4,2)"  # l_discount carries hundredths
+QUANTITY_TYPE = "decimal(28,6)"
 
 
 def per_catalog(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -60,9 +61,12 @@ def line_amount(price: str = "l_extendedprice", discount: str = "l_discount") ->
     return F.col(price).cast(PRICE_TYPE) * (F.lit(1) - F.col(discount).cast(RATE_TYPE))
 
 
-def category_of(brand: str = "p_brand") -> Column:
-    """``Brand#7`` -> 7."""
-    return F.substring(F.col(brand), 7, 10).cast("int")
+#: ``Brand#7`` -> 7; null where no number follows. Shared with the SQL table function.
+CATEGORY_SQL = "try_cast(substring(p_brand, 7) as bigint)"
+
+
+def category_of() -> Column:
+    return F.expr(CATEGORY_SQL)
 
 
 @per_catalog
@@ -154,13 +158,14 @@ def inventory(t: Tables) -> DataFrame:
             F.col("l_partkey").alias("product_id"),
             F.col("s_nationkey").alias("location_id"),
         )
-        .agg(F.sum("l_quantity").cast("bigint").alias("quantity"))
+        # Decimals add up alike in any order; stock counts whole units.
+        .agg(F.sum(F.col("l_quantity").cast(QUANTITY_TYPE)).cast("bigint").alias("quantity"))
     )
 
 
 @per_catalog
 def ship_methods(t: Tables) -> DataFrame:
-    """ship_method_id int, name string: one row per leading digit of the order
+    """ship_method_id int, name string: one row per leading number of the order
     priorities (5 rows). A partial aggregation over one column of ``orders``."""
     return (
         t["orders"]
@@ -179,7 +184,8 @@ def ship_method_dim(t: Tables) -> DataFrame:
 
 
 def ship_method_of(priority: str = "o_orderpriority") -> Column:
-    return F.substring(F.col(priority), 1, 1).cast("int")
+    """``12-NAME`` -> 12; null where no number leads."""
+    return F.regexp_extract(F.col(priority), "^([0-9]+)", 1).try_cast("int")
 
 
 @per_catalog

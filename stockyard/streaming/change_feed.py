@@ -51,15 +51,17 @@ def change_batch_writer(
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         entry_id = f"{name}:{batch_id}"
-        _, result = commit_changes(
-            store, batch, keys, column, op, entry_id, prepare, seq_column=seq_column
+
+        def write_rejects(result: ChangeSetResult) -> None:
+            # Before the commit, into the batch's own folder: a replay overwrites it.
+            result.rejects.write.mode("overwrite").parquet(f"{rejects_path}/feed={name}/batch_id={batch_id}")
+
+        commit_changes(
+            store, batch, keys, column, op, entry_id, prepare, seq_column=seq_column,
+            before_commit=write_rejects if rejects_path is not None else None,
         )
         if compact_every and (batch_id + 1) % compact_every == 0:
             store.compact_ledger()
-        if result is not None and rejects_path is not None:
-            result.rejects.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode(
-                "append"
-            ).parquet(rejects_path)
 
     return apply_batch
 
