@@ -14,7 +14,8 @@ of at most ``ORDER_SIZE`` frequent shingles; it decides on work, not on results.
 
 Groups of equal segments yield candidate pairs: all pairs of small groups; from
 large ones a star, and, once the links found so far are joined to components, those
-pairs of members still apart whose sketches are within the bound. These are
+pairs of members still apart whose sketches are within the bound: first each member's
+closest one of every other component, then, after joining again, all that are left. These are
 compared in blocks of at most ``CHUNK`` members against the streamed rest of the group, so
 no group has to fit a task. Candidates pass the Hamming bound on whole sketches, then
 the exact test on the sets. A group that may be hot by the order table is found by joins
@@ -362,18 +363,22 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     same_id = docs.filter("n > 0").join(classes.select("cls", "rep"), "cls").filter("doc <> rep").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
     edges = written(edges.unionByName(same_id).distinct(), "near-edges")
     roots = written(components(edges), "near-roots")
-    rest = _apart(members, classes, roots)
-    if not rest.isEmpty():
-        more = _verified(rest, classes, documents, doc_id, text)
-        roots = written(components(edges.unionByName(more)), "near-roots")
+    # First each member's closest one of every other component, then all that are left.
+    for closest in (True, False):
+        rest = _apart(members, classes, roots, closest)
+        if rest.isEmpty():
+            break
+        edges = written(edges.unionByName(_verified(rest, classes, documents, doc_id, text)), "near-edges")
+        roots = written(components(edges), "near-roots")
     out = docs.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles")).join(roots, F.col(doc_id) == F.col("node"), "left")
     same = F.when(F.col("n_shingles") > 0, F.coalesce("root", doc_id)).otherwise(F.col(doc_id))
     return out.select(doc_id, "n_shingles", same.alias("component_id"))
 
 
-def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame, closest: bool) -> DataFrame:
     """Pairs of members of a large group that are in different components so far and whose
-    sketches are within the bound."""
+    sketches are within the bound; with ``closest``, of a member and one component only
+    the pair with the nearest sketch in each batch."""
     of = classes.select("cls", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("root"))
     placed = members.join(of, "cls")
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
@@ -407,7 +412,7 @@ def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
                 if others is None:
                     cls, size, root, sketch = zip(*held)
                     others = (np.concatenate(cls), np.concatenate(size), np.concatenate(root), [x for part in sketch for x in part])
-                pairs = _near(others, rows)
+                pairs = _near(others, rows, closest)
                 if len(pairs):
                     yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -418,9 +423,9 @@ def _folded(sketches: list[bytes], words: int) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in sketches])
 
 
-def _near(x: tuple, y: tuple) -> np.ndarray:
+def _near(x: tuple, y: tuple, closest: bool) -> np.ndarray:
     """Pairs (class of x, class of y), smaller first, of different components and within
-    the bound."""
+    the bound; with ``closest``, one for each x and component of y."""
     words = min(map(len, [*x[3], *y[3]])) // 8
     xs, ys = _folded(x[3], words), _folded(y[3], words)
     step = max(1, (1 << 21) // (len(xs) * words))
@@ -430,6 +435,12 @@ def _near(x: tuple, y: tuple) -> np.ndarray:
         m, n = x[1][:, None].astype(np.int64), y[1][None, k : k + step].astype(np.int64)
         ok = (far <= bound(m, n)) & (4 * np.minimum(m, n) >= 3 * np.maximum(m, n)) & (x[2][:, None] != y[2][None, k : k + step])
         i, j = np.nonzero(ok)
+        if closest and len(i):
+            by = np.lexsort((far[i, j], y[2][k + j], i))
+            i, j = i[by], j[by]
+            root = y[2][k + j]
+            new = np.r_[True, (i[1:] != i[:-1]) | (root[1:] != root[:-1])]
+            i, j = i[new], j[new]
         out.append(np.stack([x[0][i], y[0][k + j]], axis=1))
     return np.sort(np.concatenate(out), axis=1)
 
