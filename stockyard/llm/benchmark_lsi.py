@@ -6,8 +6,8 @@ share their passages. Terms are the words of the
 benchmark that are not common in the corpus, weighted by TF-IDF over all passages.
 A randomised SVD gives the latent space: one pass over all blocks multiplies their
 Gram matrix with a random test matrix (sums per task, then per group of terms), and
-the Nystroem formula turns that into singular vectors on the driver. Passages and
-items are projected, each direction scaled by its singular value, and pairs of
+the Nystroem formula turns that into singular vectors on the driver (at most a third as many
+as there are terms, or blocks with terms). Passages and items are projected, each direction scaled by its singular value, and pairs of
 cosine ``min_cosine`` or more are candidates.
 
 A candidate counts as contaminated if the longest common subsequence of words covers
@@ -303,6 +303,10 @@ def contaminated(
     df, n = _frequencies(documents, bench, text)
     weight = _weights(bench, df, n, common, least)
     compact = written(_compact(documents, bench, weight, doc_id, text), "lsi-terms")
+    # With as many directions as terms or blocks, each block would be a direction of its own,
+    # and a reworded passage as far from its item as any other.
+    used = weight > 0
+    rank = min(rank, max(1, min(int(used.sum()), n, int(df[used].sum())) // 3))
     found = written(_candidates(compact, bench, weight, rank, extra, min_cosine), "lsi-candidates")
     # One row a document: which passages and items to look at.
     todo = found.groupBy("doc").agg(F.collect_list(F.struct("block", "item", "cosine")).alias("todo"))
