@@ -82,7 +82,9 @@ class ChangeSetResult:
         # result of the size check; set beforehand to reuse a known answer
         # (the updates memoise it per catalog for the change sets they derive)
         self.changes_small: bool | None = None
-        self.finish: Callable[[DataFrame], DataFrame] | None = None  # joined -> final + _hit
+        # (keys..., _new, ...) -> the same with _new as ``column`` stores it; for changes
+        # given by an ID, say, so the lookup meets the collapsed changes and not the base
+        self.resolve: Callable[[DataFrame], DataFrame] | None = None
 
     def is_small(self) -> bool:
         """Whether the keys with a valid change are few and narrow enough to broadcast.
@@ -127,6 +129,8 @@ class ChangeSetResult:
             F.col("_w.seq").alias("_wseq"),
             F.lit(True).alias(HIT),
         )
+        if self.resolve:
+            winners = self.resolve(winners)
         hit = F.coalesce(F.col(HIT), F.lit(False))
         if self.seq_column:
             # a winner no newer than what the row already holds does not apply
@@ -166,7 +170,7 @@ class ChangeSetResult:
     @property
     def table(self) -> DataFrame:
         """The new table plus the match marker ``_hit`` (for observed writes)."""
-        return self.finish(self.joined) if self.finish else self.joined
+        return self.joined
 
     @property
     def updated(self) -> DataFrame:
@@ -222,9 +226,14 @@ def apply_changes(
     column: str,
     op: str = "apply_changes",
     seq_column: str | None = None,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> ChangeSetResult:
     """Apply ``changes`` (keys..., new_value, seq[, reason]) to ``column`` of ``base``.
 
+    ``resolve``: maps the collapsed changes' ``_new`` from what the changes hold to what
+    ``column`` holds (by a join with a dimension, say); without it ``new_value`` is cast
+    to the type of ``column``.
+
     ``seq_column``: a column of ``base`` holding the ``seq`` last applied to
     each row (null = never changed). When given, a key's winner applies only
     if it is newer than that, and the column is set to the winner's ``seq``;
@@ -238,7 +247,6 @@ def apply_changes(
     if missing:
         raise ValueError(f"changes lack columns {missing}")
 
-    value_type = base.schema[column].dataType
     upstream = F.col("reason").cast("string") if "reason" in changes.columns else F.lit(None)
     reason = F.coalesce(
         upstream,
@@ -248,8 +256,10 @@ def apply_changes(
     )
     flagged = changes.select(
         *keys,
-        F.col("new_value").cast(value_type).alias("new_value"),
+        (F.col("new_value") if resolve else F.col("new_value").cast(base.schema[column].dataType)).alias("new_value"),
         "seq",
         reason.cast("string").alias("reason"),
     )
-    return ChangeSetResult(op, base, flagged, keys, column, seq_column)
+    result = ChangeSetResult(op, base, flagged, keys, column, seq_column)
+    result.resolve = resolve
+    return result

@@ -8,7 +8,8 @@ distributed job; the single-row case is a one-row change table.
   ``l_quantity``. No range check unless ``min_quantity`` is given.
 * U6 ``set_ship_method``: key order; the method ID is checked against the
   ship-method dimension first (unknown -> ``no_such_method``), then applied,
-  and the order's ``o_orderpriority`` becomes that method's name.
+  and the order's ``o_orderpriority`` becomes that method's name, which is looked up
+  for the collapsed changes only.
 * U7 ``set_email``: key person, column ``email``; latest (ts, event_id) wins.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..plans.broadcast import bounded_broadcast
 from ..sources import fixture
 from ..sources.tables import Tables
-from .changeset import HIT, ChangeSetResult, apply_changes
+from .changeset import ChangeSetResult, apply_changes
 
 # Reasons found before the kernel runs.
 NO_SUCH_METHOD = "no_such_method"
@@ -30,8 +31,6 @@ ORDER_LINE_KEYS = ["l_orderkey", "l_partkey"]
 ORDER_KEYS = ["o_orderkey"]
 PERSON_KEYS = ["person_id"]
 
-_METHOD = "_ship_method_id"
-
 
 def _memoised_size_check(t: Tables, key: str, result: ChangeSetResult) -> ChangeSetResult:
     """Run the change-set size check once per catalog for a change set derived
@@ -88,29 +87,16 @@ def set_ship_method(
         *ORDER_KEYS, "new_value", "seq", F.when(unknown, F.lit(NO_SUCH_METHOD)).alias("reason")
     )
 
-    orders = t["orders"]
-    base = orders.withColumn(_METHOD, fixture.ship_method_of())
-    names = methods.select(F.col("ship_method_id").alias(_METHOD), F.col("name").alias("_name"))
-    order_columns = list(orders.columns)
-
-    def finish(joined: DataFrame) -> DataFrame:
-        named = joined.join(names, _METHOD, "left")
-        return named.select(
-            *[
-                (
-                    F.when(F.col(HIT), F.col("_name")).otherwise(F.col(c)).alias(c)
-                    if c == "o_orderpriority"
-                    else F.col(c)
-                )
-                for c in order_columns
-            ],
-            HIT,
-        )
+    names = methods.select(F.col("ship_method_id").alias("_method"), F.col("name").alias("_name"))
+
+    def resolve(winners: DataFrame) -> DataFrame:
+        named = winners.join(names, winners._new == names._method, "left")
+        return named.withColumn("_new", F.col("_name")).drop("_method", "_name")
 
     result = apply_changes(
-        base, checked, ORDER_KEYS, _METHOD, op="set_ship_method", seq_column=seq_column
+        t["orders"], checked, ORDER_KEYS, "o_orderpriority", op="set_ship_method",
+        seq_column=seq_column, resolve=resolve,
     )
-    result.finish = finish
     if derived:
         _memoised_size_check(t, "changes:set_ship_method", result)
     return result

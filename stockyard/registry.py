@@ -10,17 +10,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from functools import reduce
 
 from .functions import report, table_functions
 from .operators import cross_territory, ranking, sales, stock, updates
+from .sources import fixture
 from .sources.tables import Tables
 
 CATEGORY = 7
 LOCATION = 8
 PCT = 5
 REGION = "AMERICA"
+NO_CATEGORY = 999_999  # no part has it
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -96,6 +99,44 @@ def q_update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, outcomes)
 
 
+def q_stock_adjusted_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stock.adjust_stock(_tables(spark, sf_dir), CATEGORY, LOCATION, PCT, "ceil").updated
+
+
+def _nulls_as_text(rejects: DataFrame) -> DataFrame:
+    """Keys and values as text, with ``null`` for nulls; seq and reason as they are."""
+    return rejects.select(*[c if c in ("seq", "reason") else report.as_text(F.col(c)).alias(c) for c in rejects.columns])
+
+
+def q_order_quantity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return _nulls_as_text(updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)).rejects)
+
+
+def q_email_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return _nulls_as_text(updates.set_email(t, fixture.mixed_email_changes(t)).rejects)
+
+
+def q_email_mixed_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return updates.set_email(t, fixture.mixed_email_changes(t)).updated
+
+
+def q_mixed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    outcomes = [
+        stock.adjust_stock(t, NO_CATEGORY, LOCATION, PCT).outcome,
+        updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)).outcome,
+        updates.set_email(t, fixture.mixed_email_changes(t)).outcome,
+    ]
+    return reduce(DataFrame.unionByName, outcomes)
+
+
+def q_cross_territory_order_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.cross_territory_report(_tables(spark, sf_dir), "order")
+
+
 def q_sales_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.sales_report(_tables(spark, sf_dir), CATEGORY)
 
@@ -149,6 +190,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_table_function": q_sales_table_function,
     "top_product_table_function": q_top_product_table_function,
     "cross_territory_table_function": q_cross_territory_table_function,
+    "stock_adjusted_ceil": q_stock_adjusted_ceil,
+    "order_quantity_rejects": q_order_quantity_rejects,
+    "email_rejects": q_email_rejects,
+    "email_mixed_updated": q_email_mixed_updated,
+    "mixed_outcomes": q_mixed_outcomes,
+    "cross_territory_order_report_lines": q_cross_territory_order_report_lines,
 }
 
 
@@ -421,3 +468,93 @@ ORACLE: dict[str, str] = {
 ORACLE["sales_table_function"] = ORACLE["sales_by_territory"]
 ORACLE["top_product_table_function"] = ORACLE["top_product_lines"]
 ORACLE["cross_territory_table_function"] = ORACLE["cross_territory_customers"]
+ORACLE["cross_territory_order_report_lines"] = _lines_sql(
+    _cross_territory_sql("o.o_orderkey"),
+    "id, order_territory, ship_territory",
+    ["' ID: '", "CAST(id AS VARCHAR)", "' TeritorioPedido:'", "order_territory", "' TerritorioMandado:'", "ship_territory"],
+)
+# ceil of q*5/100 = (q*5 + 99) // 100.
+ORACLE["stock_adjusted_ceil"] = f"""
+    WITH {_INVENTORY}
+    SELECT product_id, location_id,
+           CASE WHEN is_hit THEN quantity + (quantity * {PCT} + 99) // 100 ELSE quantity END AS quantity
+    FROM hit
+"""
+
+_MIXED_QTY = """
+    ch AS (
+        SELECT CASE WHEN e.event_id % 11 <> 0 THEN e.event_id END AS l_orderkey,
+               CASE WHEN e.event_id % 7 = 0 OR l.l_partkey IS NULL THEN 0 ELSE l.l_partkey END AS l_partkey,
+               CASE WHEN e.event_id % 13 <> 0 THEN CAST(1 + e.event_id % 50 AS DOUBLE) END AS new_value,
+               e.event_id AS seq
+        FROM events e LEFT JOIN lineitem l ON l.l_orderkey = e.event_id AND l.l_linenumber = 1
+        WHERE e.event_type = 'purchase'
+    ), judged AS (
+        SELECT *, CASE WHEN l_orderkey IS NULL THEN 'null_key' WHEN new_value IS NULL THEN 'null_value'
+                       WHEN NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = ch.l_orderkey
+                                                                   AND b.l_partkey = ch.l_partkey)
+                       THEN 'no_such_key' END AS reason
+        FROM ch
+    ), w AS (SELECT DISTINCT l_orderkey, l_partkey FROM judged WHERE reason IS NULL)"""
+
+_MIXED_EMAIL = """
+    ch AS (
+        SELECT CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN -user_id - 1
+                    ELSE user_id END AS person_id,
+               CASE WHEN event_id % 13 <> 0 THEN
+                   'u' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id AS VARCHAR) || '@example.com'
+               END AS new_value,
+               event_id AS seq
+        FROM events
+    ), judged AS (
+        SELECT *, CASE WHEN person_id IS NULL THEN 'null_key' WHEN new_value IS NULL THEN 'null_value'
+                       WHEN person_id NOT IN (SELECT c_custkey FROM customer) THEN 'no_such_key' END AS reason
+        FROM ch
+    ), w AS (
+        SELECT person_id, new_value FROM (
+            SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY seq DESC, new_value DESC) AS rn
+            FROM judged WHERE reason IS NULL) WHERE rn = 1
+    )"""
+
+
+
+def _rejects_sql(ctes: str, keys: list[str]) -> str:
+    texts = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'null') AS {c}" for c in [*keys, "new_value"])
+    return f"WITH {ctes} SELECT {texts}, seq, reason FROM judged WHERE reason IS NOT NULL"
+
+
+ORACLE["order_quantity_rejects"] = _rejects_sql(_MIXED_QTY, ["l_orderkey", "l_partkey"])
+ORACLE["email_rejects"] = _rejects_sql(_MIXED_EMAIL, ["person_id"])
+ORACLE["email_mixed_updated"] = f"""
+    WITH {_MIXED_EMAIL}
+    SELECT c.c_custkey AS person_id,
+           COALESCE(w.new_value, 'c' || CAST(c.c_custkey AS VARCHAR) || '@example.com') AS email
+    FROM customer c LEFT JOIN w ON c.c_custkey = w.person_id
+"""
+
+
+def _mixed_outcome_sql(op: str, ctes: str, matched: str) -> str:
+    return f"""
+        SELECT * FROM (
+            WITH {ctes}
+            SELECT '{op}' AS op, (SELECT COUNT(*) FROM ch) AS changes, (SELECT COUNT(*) FROM w) AS applied,
+                   (SELECT COUNT(*) FROM judged WHERE reason IS NULL) - (SELECT COUNT(*) FROM w) AS superseded,
+                   (SELECT COUNT(*) FROM judged WHERE reason IS NOT NULL) AS rejected,
+                   ({matched}) AS rows_matched)
+    """
+
+
+ORACLE["mixed_outcomes"] = " UNION ALL ".join(
+    [
+        "SELECT 'adjust_stock' AS op, 1::BIGINT AS changes, 0::BIGINT AS applied, 0::BIGINT AS superseded,"
+        " 1::BIGINT AS rejected, 0::BIGINT AS rows_matched",
+        _mixed_outcome_sql(
+            "set_order_quantity", _MIXED_QTY,
+            "SELECT COUNT(*) FROM lineitem l WHERE EXISTS (SELECT 1 FROM w WHERE w.l_orderkey = l.l_orderkey"
+            " AND w.l_partkey = l.l_partkey)",
+        ),
+        _mixed_outcome_sql(
+            "set_email", _MIXED_EMAIL, "SELECT COUNT(*) FROM customer WHERE c_custkey IN (SELECT person_id FROM w)"
+        ),
+    ]
+)

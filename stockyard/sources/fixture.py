@@ -265,3 +265,40 @@ def email_changes(t: Tables) -> DataFrame:
             F.struct(F.col("ts"), F.col("event_id")).alias("seq"),
         )
     )
+
+
+# -- change tables with every reason a change is set aside ---------------------
+
+
+def _unless(divisor: int, value: Column) -> Column:
+    """``value``, but null where the event's ID is divisible by ``divisor``."""
+    return F.when(F.col("event_id") % divisor != 0, value)
+
+
+@per_catalog
+def mixed_quantity_changes(t: Tables) -> DataFrame:
+    """U5 changes from every ``purchase`` event, also those whose order is unknown; with
+    null orders (IDs divisible by 11), unknown parts (7) and null quantities (13)."""
+    events = t["events"].filter(F.col("event_type") == "purchase").select("event_id")
+    first_lines = t["lineitem"].filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey")
+    part = F.coalesce(_unless(7, F.col("l_partkey")), F.lit(0))
+    return events.join(first_lines, events.event_id == first_lines.l_orderkey, "left").select(
+        _unless(11, F.col("event_id")).alias("l_orderkey"),
+        part.cast("bigint").alias("l_partkey"),
+        _unless(13, (F.lit(1) + F.col("event_id") % 50).cast("double")).alias("new_value"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+@per_catalog
+def mixed_email_changes(t: Tables) -> DataFrame:
+    """U7 changes from every event, so persons repeat; with null persons (event IDs
+    divisible by 11), unknown ones (7: the negated ID) and null addresses (13)."""
+    user = F.col("user_id")
+    person = F.when(F.col("event_id") % 7 == 0, -user - 1).otherwise(user)
+    email = F.concat(F.lit("u"), user.cast("string"), F.lit("."), F.col("event_id").cast("string"), F.lit(EMAIL_DOMAIN))
+    return t["events"].select(
+        _unless(11, person).cast("bigint").alias("person_id"),
+        _unless(13, email).alias("new_value"),
+        F.col("event_id").alias("seq"),
+    )

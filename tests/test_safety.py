@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockyard import registry
 from stockyard.functions import report, table_functions
-from stockyard.operators import stock
+from stockyard.operators import stock, updates
 from stockyard.operators.changeset import apply_changes
 from stockyard.plans.snapshots import ConcurrentCommitError, SnapshotStore
 from stockyard.plans.versioned import commit_changes
@@ -118,3 +118,17 @@ def test_table_functions_of_two_catalogs(spark):
     b = _total(table_functions.call(spark, "sales_by_territory", 7, prefix="b_"))
     assert b == pytest.approx(2 * a) and spark.table("orders").count() == 3
     spark.catalog.dropTempView("orders")
+
+
+def test_ship_method_update_reads_orders_once_and_takes_unused_methods(spark, small_tables):
+    methods = spark.createDataFrame([(1, "1-URGENT"), (42, "42-NEW")], "ship_method_id int, name string")
+    orders = small_tables["orders"]
+    first, second = [r[0] for r in orders.select("o_orderkey").orderBy("o_orderkey").limit(2).collect()]
+    changes = spark.createDataFrame([(first, 42, 1), (second, 7, 1)], "o_orderkey long, new_value int, seq long")
+    result = updates.set_ship_method(small_tables, changes, methods=methods)
+    got = {r.o_orderkey: r.o_orderpriority for r in result.updated.collect()}
+    old = {r.o_orderkey: r.o_orderpriority for r in orders.collect()}
+    assert got == old | {first: "42-NEW"}
+    assert [(r.o_orderkey, r.new_value, r.reason) for r in result.rejects.collect()] == [(second, 7, "no_such_method")]
+    leaves = result.updated._jdf.queryExecution().optimizedPlan().collectLeaves().toString()
+    assert leaves.count("o_orderpriority#") == 1
