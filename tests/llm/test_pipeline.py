@@ -7,11 +7,12 @@ import os
 
 import corpus_pipeline
 import pytest
-from test_operators import LOWER, SPACE, brute_components, sha
 
 from stockyard.llm import benchmark_lsi, registry
 from stockyard.llm.common import held_out, table
 
+from .test_operators import LOWER, SPACE, brute_components, sha
+
 SF = "/root/testdata/sf0.001"
 
 
