@@ -337,7 +337,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, doc_id
                 ok.append(100 * shared >= 75 * (len(s) + len(t) - shared))
             yield pa.record_batch([b.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a_id", "b_id")], names=["u", "v"])
 
-    return both.select("a_id", "b_id", "x", "y").mapInArrow(exact, "u long, v long").distinct()
+    return both.select("a_id", "b_id", "x", "y").mapInArrow(exact, "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -361,15 +361,16 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     edges = _verified(pairs, classes, documents, doc_id, text)
     # Copies join the smallest document of their class.
     same_id = docs.filter("n > 0").join(classes.select("cls", "rep"), "cls").filter("doc <> rep").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
-    edges = written(edges.unionByName(same_id).distinct(), "near-edges")
-    roots = written(components(edges), "near-roots")
+    roots = written(components(written(edges.unionByName(same_id), "near-edges")), "near-roots")
     # First each member's closest one of every other component, then all that are left.
     for closest in (True, False):
         rest = _apart(members, classes, roots, closest)
         if rest.isEmpty():
             break
-        edges = written(edges.unionByName(_verified(rest, classes, documents, doc_id, text)), "near-edges")
-        roots = written(components(edges), "near-roots")
+        more = written(_verified(rest, classes, documents, doc_id, text), "near-edges")
+        # The components so far stand for the links that made them.
+        known = roots.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = written(components(known.unionByName(more)), "near-roots")
     out = docs.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles")).join(roots, F.col(doc_id) == F.col("node"), "left")
     same = F.when(F.col("n_shingles") > 0, F.coalesce("root", doc_id)).otherwise(F.col(doc_id))
     return out.select(doc_id, "n_shingles", same.alias("component_id"))
