@@ -10,6 +10,13 @@ the Nystroem formula turns that into singular vectors on the driver (at most a t
 as there are terms, or blocks with terms). Passages and items are projected, each direction scaled by its singular value, and pairs of
 cosine ``min_cosine`` or more are candidates.
 
+The cosine decides nothing alone: a text that is itself frequent has a weak direction, so
+its copies may lie far from it. Hence every region that could count is a candidate too,
+whatever its cosine. An item's *probe* is its rarest words, so many that a region with
+the least share of the item that counts has ``MARGIN`` of the item's words in the probe
+at least; regions with so many words of a probe are found by counting. The pairs
+found are those of a search of every region for every item.
+
 A candidate counts as contaminated if the longest common subsequence of words covers
 ``copied`` of the item, or ``reworded`` of it while the item's answer (its last
 sentence) occurs too. Words are compared lower-cased, without marks at their ends.
@@ -25,7 +32,9 @@ shown; an empty table gives an empty result; other columns don't take part.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +49,7 @@ from stockyard.llm.common import partitions, text_slices, written
 MARKS = ".,;:!?\"'()[]{}«»¿¡…|#$%&*"
 BLOCK = 16
 RANK, EXTRA = 320, 16
+MARGIN = 0.2
 _SENTENCE = re.compile(r"[.!?:\n]+")
 
 
@@ -124,9 +134,85 @@ def _weights(bench: Benchmark, df: np.ndarray, n: int, common: float, least: int
     return np.where(use, np.log((1 + n) / (1 + df)) + 1, 0.0)
 
 
-def _compact(documents: DataFrame, bench: Benchmark, weight: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """(doc, block, term) arrays of each document that has weighted terms."""
-    used = np.flatnonzero(weight)
+@dataclass
+class Probes:
+    """Which words of each item are counted, and how many a region that counts has."""
+
+    start: np.ndarray  # by term: its entries in item and words
+    item: np.ndarray
+    words: np.ndarray  # how often the item has the term
+    need: np.ndarray  # by item
+
+    @staticmethod
+    def of(bench: Benchmark, df: np.ndarray, least_share: float) -> Probes:
+        at = {w: k for k, w in enumerate(bench.terms)}
+        entries, need = [], []
+        for k, item in enumerate(bench.items):
+            n = len(item.words)
+            least = max(1, math.ceil(least_share * n - 1e-9))
+            margin = min(least, max(1, math.ceil(MARGIN * n)))
+            times = Counter(at[w] for w in item.words)
+            probed = 0
+            for t in sorted(times, key=lambda t: (df[t], t)):
+                if probed >= n - least + margin:
+                    break
+                entries.append((t, k, times[t]))
+                probed += times[t]
+            need.append(probed - (n - least))
+        term, of, words = (np.array(x, np.int64) for x in zip(*sorted(entries)))
+        start = np.searchsorted(term, np.arange(len(bench.terms) + 1))
+        return Probes(start, of, words, np.array(need))
+
+    def take(self, terms: np.ndarray) -> Probes:
+        """For terms numbered by their place in ``terms``, which has all that are probed."""
+        size = np.diff(self.start)[terms]
+        entry = np.repeat(self.start[terms] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return Probes(np.r_[0, np.cumsum(size)], self.item[entry], self.words[entry], self.need)
+
+    def _entries(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``term`` and entry, of all entries of these terms."""
+        size = self.start[term + 1] - self.start[term]
+        of = np.repeat(np.arange(len(term)), size)
+        return of, self.start[term][of] + np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+
+    def regions(self, row: np.ndarray, block: np.ndarray, term: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, block and item of the passages whose regions (a block more on each side)
+        may have as many probed words as the item needs, from the rows' hits."""
+        none = np.zeros(0, np.int64)
+        n_terms, n_items = len(self.start) - 1, len(self.need)
+        # By whole texts first; only few have enough of an item.
+        seen = np.unique(row.astype(np.int64) * n_terms + term)
+        of, entry = self._entries(seen % n_terms)
+        pair = (seen // n_terms)[of] * n_items + self.item[entry]
+        if not len(pair):
+            return none, none, none
+        count = np.bincount(pair, self.words[entry])
+        enough = count >= np.tile(self.need, -(-len(count) // n_items))[: len(count)]
+        rows = np.unique(np.flatnonzero(enough) // n_items)
+        if not len(rows):
+            return none, none, none
+        some = np.isin(row, rows)
+        high = int(block.max()) + 1
+        seen = np.unique((row[some].astype(np.int64) * high + block[some]) * n_terms + term[some])
+        of, entry = self._entries(seen % n_terms)
+        cell = (seen // n_terms)[of]
+        good = enough[(cell // high) * n_items + self.item[entry]]
+        cell, item, words = cell[good], self.item[entry[good]], self.words[entry[good]]
+        # The hit counts for passages from ``span`` blocks before to one after it.
+        size = spans[item] + 2
+        hit = np.repeat(np.arange(len(cell)), size)
+        begin = (cell % high)[hit] + 1 - (np.arange(len(hit)) - np.repeat(np.cumsum(size) - size, size))
+        ok = begin >= 0
+        hit, begin = hit[ok], begin[ok]
+        code = ((cell // high)[hit] * n_items + item[hit]) * (high + 1) + begin
+        code, back = np.unique(code, return_inverse=True)
+        item, begin = code // (high + 1) % n_items, code % (high + 1)
+        hot = np.bincount(back, words[hit]) >= self.need[item]
+        return (code // (high + 1) // n_items)[hot], begin[hot], item[hot]
+
+
+def _compact(documents: DataFrame, bench: Benchmark, used: np.ndarray, doc_id: str, text: str) -> DataFrame:
+    """(doc, block, term) arrays of each document that has used terms."""
     box = documents.sparkSession.sparkContext.broadcast((pa.array([bench.terms[k] for k in used], pa.string()), bench.block))
     kind = documents.schema[doc_id].dataType.simpleString()
 
@@ -145,13 +231,19 @@ def _compact(documents: DataFrame, bench: Benchmark, weight: np.ndarray, doc_id:
     return documents.select(doc_id, text).mapInArrow(run, f"doc {kind}, block array<int>, term array<int>")
 
 
-def _cells(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Non-empty blocks of a batch: row and number of each; and per hit its block's place
-    and its term."""
+def _rows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, block and term of each hit of a batch."""
     lists = b.column("block")
     row = np.repeat(np.arange(b.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     block = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    term = b.column("term").flatten().to_numpy(zero_copy_only=False)
+    return row, block, b.column("term").flatten().to_numpy(zero_copy_only=False)
+
+
+def _cells(row: np.ndarray, block: np.ndarray, term: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks with hits of the first ``n_terms`` terms: row and number of each; and per
+    hit its block's place and its term."""
+    weighted = term < n_terms
+    row, block, term = row[weighted], block[weighted], term[weighted]
     new = np.r_[True, (row[1:] != row[:-1]) | (block[1:] != block[:-1])][: len(row)]
     return row[new], block[new], np.cumsum(new) - 1, term
 
@@ -172,7 +264,7 @@ def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np
         weighted = omega * weight[:, None]
         for b in batches:
             for k in range(0, b.num_rows, 512):
-                _, _, cell, term = _cells(b.slice(k, 512))
+                _, _, cell, term = _cells(*_rows(b.slice(k, 512)), n_terms)
                 if not len(cell):
                     continue
                 y = np.add.reduceat(weighted[term], np.flatnonzero(np.r_[True, np.diff(cell) > 0]), axis=0)
@@ -207,8 +299,9 @@ def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np
     return (u / np.maximum(s / s.max(), 1e-6)).astype(np.float32)
 
 
-def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, rank: int, extra: int, min_cosine: float) -> DataFrame:
-    """(doc, block, item, cosine): passages that begin at ``block`` near an item."""
+def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes: Probes, rank: int, extra: int, min_cosine: float) -> DataFrame:
+    """(doc, block, item, cosine): passages that begin at ``block`` near an item, or
+    with enough of its probe."""
     at = {bench.terms[k]: j for j, k in enumerate(np.flatnonzero(weight))}
     own = weight[weight > 0]
     basis = _latent(compact, own, rank, extra) * own[:, None].astype(np.float32)
@@ -218,35 +311,47 @@ def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, rank:
     by_span = {int(m): np.flatnonzero(spans == m) for m in np.unique(spans)}
     # A passage shares few terms with an item if it has few at all.
     floor = min(3, *(len({w for w in i.words if w in at}) for i in bench.items)) if len(bench.items) > 1 else 1
-    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), by_span, floor))
+    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, floor, probes))
     kind = compact.schema["doc"].dataType.simpleString()
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, queries, by_span, floor = box.value
+        basis, queries, spans, by_span, floor, probes = box.value
         widest = max(by_span)
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 b = whole.slice(k, 256)
-                row, block, cell, term = _cells(b)
-                if not len(row):
+                hits = _rows(b)
+                if not len(hits[0]):
                     continue
+                sure_row, sure_block, sure_item = probes.regions(*hits, spans)
                 # All blocks of a text from 0 to its last hit, and empty ones between texts.
                 last = np.zeros(b.num_rows, np.int64)
-                np.maximum.at(last, row, block + 1)
+                np.maximum.at(last, hits[0], hits[1] + 1)
+                row, block, cell, term = _cells(*hits, len(basis))
                 size = last + widest
                 base = np.cumsum(size) - size
                 first = np.flatnonzero(np.r_[True, np.diff(cell) > 0])
                 v = np.zeros((int(size.sum()), basis.shape[1]), np.float32)
-                v[base[row] + block] = np.add.reduceat(basis[term], first, axis=0)
-                hits = np.zeros(len(v), np.int64)
-                hits[base[row] + block] = np.diff(np.r_[first, len(cell)])
+                n_hits = np.zeros(len(v), np.int64)
+                if len(row):
+                    v[base[row] + block] = np.add.reduceat(basis[term], first, axis=0)
+                    n_hits[base[row] + block] = np.diff(np.r_[first, len(cell)])
                 of = np.repeat(np.arange(b.num_rows), size)
-                sums, count, wide = v.copy(), hits.copy(), 1
+                sums, count, wide = v.copy(), n_hits.copy(), 1
                 for m in sorted(by_span):
                     for d in range(wide, m):
                         sums[:-d] += v[d:]
-                        count[:-d] += hits[d:]
+                        count[:-d] += n_hits[d:]
                     wide = m
+                    mine = np.flatnonzero(spans[sure_item] == m)
+                    for j in range(0, len(mine), 8192):
+                        x = mine[j : j + 8192]
+                        p = sums[base[sure_row[x]] + sure_block[x]]
+                        cos = (p * queries[sure_item[x]]).sum(1) / np.maximum(np.linalg.norm(p, axis=1), 1e-12)
+                        yield pa.record_batch(
+                            [b.column("doc").take(pa.array(sure_row[x])), pa.array(sure_block[x].astype(np.int32)), pa.array(sure_item[x].astype(np.int32)), pa.array(cos.astype(np.float64))],
+                            names=["doc", "block", "item", "cosine"],
+                        )
                     some = np.flatnonzero(count >= floor)
                     for j in range(0, len(some), 8192):
                         at = some[j : j + 8192]
@@ -302,12 +407,15 @@ def contaminated(
         return spark.createDataFrame([], f"{doc_id} {kind}, {item_id} {item_kind}, cosine double, coverage double")
     df, n = _frequencies(documents, bench, text)
     weight = _weights(bench, df, n, common, least)
-    compact = written(_compact(documents, bench, weight, doc_id, text), "lsi-terms")
+    probes = Probes.of(bench, df, min(copied, reworded))
+    used = weight > 0
+    # Terms that are only probed come last.
+    terms = np.r_[np.flatnonzero(used), np.flatnonzero(~used & (np.diff(probes.start) > 0))]
+    compact = written(_compact(documents, bench, terms, doc_id, text), "lsi-terms")
     # With as many directions as terms or blocks, each block would be a direction of its own,
     # and a reworded passage as far from its item as any other.
-    used = weight > 0
     rank = min(rank, max(1, min(int(used.sum()), n, int(df[used].sum())) // 3))
-    found = written(_candidates(compact, bench, weight, rank, extra, min_cosine), "lsi-candidates")
+    found = written(_candidates(compact, bench, weight, probes.take(terms), rank, extra, min_cosine), "lsi-candidates")
     # One row a document: which passages and items to look at.
     todo = found.groupBy("doc").agg(F.collect_list(F.struct("block", "item", "cosine")).alias("todo"))
     joined = documents.select(doc_id, text).join(todo, F.col(doc_id).eqNullSafe(F.col("doc"))).select(doc_id, text, "todo")
@@ -319,15 +427,19 @@ def contaminated(
             docs, items, cosines, shares = [], [], [], []
             for d, t, todo in zip(b.column(doc_id).to_pylist(), b.column(text).to_pylist(), b.column("todo").to_pylist()):
                 raw = [x.strip(MARKS).lower() for x in (t or "").split()]
+                best: dict[tuple[int, int], float] = {}  # found by cosine, by probe, or both
                 for x in todo:
-                    item = bench.items[x["item"]]
-                    start = max(0, (x["block"] - 1) * bench.block)
-                    region = raw[start : (x["block"] + bench.span(item) + 1) * bench.block]
+                    at = x["block"], x["item"]
+                    best[at] = max(x["cosine"], best.get(at, -1.0))
+                for (block, k), cosine in best.items():
+                    item = bench.items[k]
+                    start = max(0, (block - 1) * bench.block)
+                    region = raw[start : (block + bench.span(item) + 1) * bench.block]
                     share = matches(item, region, copied, reworded)
                     if share:
                         docs.append(d)
                         items.append(item.item_id)
-                        cosines.append(x["cosine"])
+                        cosines.append(cosine)
                         shares.append(share)
             kinds = [b.schema.field(doc_id).type, pa.int64(), pa.float64(), pa.float64()]
             yield pa.record_batch([pa.array(v, k) for v, k in zip((docs, items, cosines, shares), kinds)], names=["doc", "item", "cosine", "coverage"])

@@ -257,6 +257,34 @@ def test_benchmark_lsi(spark, docs_of, corpus):
     assert benchmark_lsi.contaminated(docs_of(rows), bench.limit(0)).count() == 0
 
 
+def test_benchmark_item_in_a_third_of_all_documents(spark, docs_of):
+    """Copies count however frequent the item is and whatever lies beside it; all pairs
+    that a search of every region for every item finds are there."""
+    r = np.random.default_rng(6)
+    items = [" ".join(f"i{k}x{j}" for j in range(24)) + ". yes it is." for k in range(40)]
+    noise = lambda n: [f"n{x}" for x in r.integers(0, 400, n)]
+    rows = []
+    for k in range(240):
+        beside = [f"i{r.integers(1, 40)}x{r.integers(0, 24)}" for _ in range(10)]
+        words = noise(30) + beside + (items[0].split() if k % 3 == 0 else []) + beside[::-1] + noise(30)
+        if k % 40 == 7:  # most of another item, among other words
+            words[20:20] = [w for j, w in enumerate(items[k // 40 + 1].split()) if j % 5 != 2]
+        rows.append((k, " ".join(words)))
+    rows += [(900, None), (901, "")]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    cut = benchmark_lsi.Benchmark.of(bench.select("item_id", "text").collect())
+    want = set()
+    for doc, t in rows:
+        words = benchmark_lsi.words_of(t)
+        for item in cut.items:
+            for b in range(-(-len(words) // cut.block)):
+                if benchmark_lsi.matches(item, words[max(0, b - 1) * cut.block : (b + cut.span(item) + 1) * cut.block], 0.75, 0.6):
+                    want.add((doc, item.item_id))
+    assert sum(k == 0 for _, k in want) == 80 and len(want) > 80
+    got = {(x.doc_id, x.item_id) for x in benchmark_lsi.contaminated(docs_of(rows), bench).collect()}
+    assert got == want
+
+
 def test_common_subsequence():
     r = np.random.default_rng(4)
     for _ in range(100):
