@@ -11,8 +11,15 @@ earlier loses its bytes. Windows are told apart bucket by bucket:
   shuffle and again after it; the others are repeats as a whole. So a bucket has one
   run per distinct context, however many copies of a text there are. Buckets with
   one context are done; the contexts of the others are fetched from the texts.
-* A bucket's windows are sorted one block of buckets at a time, so memory is bounded by
-  the block: by the fingerprints of their first and last 32 bytes, and, where these
+* A bucket with more contexts than a block holds (a line of less than 100 bytes that many
+  texts have between different neighbours) is split: its windows are dealt one by one, by
+  two fingerprints of their 100 bytes, the anchor and its distance, which equal windows
+  share. Equal ones collapse in each task before that shuffle; after it they come in
+  order, each compared with the first of its kind. In the first shuffle too, runs of an
+  anchor with ``SPLIT`` or more contexts in one slice of texts are dealt by anchor and
+  context; runs of an anchor with fewer in a slice go by the anchor (34 bytes a run).
+* The other buckets' windows are sorted one block of buckets at a time, so memory is
+  bounded by the block: by the fingerprints of their first and last 32 bytes, and, where these
   tie, by the ranks of a difference-cover sample. The cover has 6 of every 31
   positions and holds, for any two windows, places at the same distance behind
   both; the ranks of the 68 bytes from there decide. Only the sample is ranked. A
@@ -45,6 +52,9 @@ WINDOW, GRAM = 100, 32
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 SAMPLE_LENGTH = 68
 BLOCK_BYTES = 4 << 20
+#: Bytes of a context and its columns in a block, at most.
+CONTEXT_BYTES = 256
+SPLIT, _SPLIT_BIT = 8, 128
 _NO_ID = -(2**63)
 _RUN = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("tag", "<i4"), ("lo", "<i4"), ("runs", "u1"), ("off", "u1")])
 _SPAN = "doc long, tag int, start int, stop int"
@@ -111,6 +121,14 @@ def _earliest(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rec[new], rec[~same]
 
 
+def _many(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted keys: which occur ``SPLIT`` times or more, and the first place of each
+    of these."""
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    n = np.diff(np.r_[first, len(key)])
+    return np.repeat(n >= SPLIT, n), first[n >= SPLIT]
+
+
 def _span_batches(doc, tag, start, stop, size: int = 200_000) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(doc), size):
         s = slice(k, k + size)
@@ -138,7 +156,14 @@ def _runs(documents: DataFrame) -> DataFrame:
             rec["tag"] = b.column("tag").to_numpy()[text]
             rec["lo"], rec["runs"], rec["off"] = lo - off[text], count, away
             first, later = _earliest(rec)
-            yield from blobs(first, (first["key"] % np.uint64(buckets)).astype(np.int64), False)
+            many, heads = _many(first["key"])
+            first["off"][many] |= _SPLIT_BIT
+            with np.errstate(over="ignore"):
+                deal = np.where(many, mix64(first["key"] * np.uint64(3) + first["ctx"]), first["key"])
+            # The rest of such a key, from other slices, must learn that it has several contexts.
+            sign = first[heads]
+            sign["runs"] = 0
+            yield from blobs(np.concatenate([first, sign]), (np.r_[deal, sign["key"]] % np.uint64(buckets)).astype(np.int64), False)
             # Decided already, these only pass through, dealt out by document.
             yield from blobs(later, (mix64(later["doc"].copy().view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
 
@@ -147,10 +172,13 @@ def _runs(documents: DataFrame) -> DataFrame:
         for b in batches:
             for done, blob in zip(b.column("hot").to_pylist(), b.column("blob").to_pylist()):
                 (passing if done else got).append(np.frombuffer(blob, _RUN))
-        rec, later = _earliest(np.concatenate(got))
+        rec = np.concatenate(got)
+        signs = np.unique(rec["key"][rec["runs"] == 0])
+        rec, later = _earliest(rec[rec["runs"] > 0])
         later = np.concatenate([*passing, later])
         key = rec["key"]
-        several = np.zeros(len(rec), bool)
+        several = (rec["off"] >= _SPLIT_BIT) | np.isin(key, signs)
+        rec["off"] &= _SPLIT_BIT - 1
         if len(rec) > 1:
             same = key[1:] == key[:-1]
             several[1:] |= same
@@ -171,9 +199,39 @@ def _runs(documents: DataFrame) -> DataFrame:
     return found.mapInArrow(meet, "ask boolean, key long, doc long, tag int, lo int, runs int, off int")
 
 
+_CONTEXT, _WINDOW, _DONE = range(3)
+
+
+def _split(asked: DataFrame) -> DataFrame:
+    """The asked runs; ``split`` where the bucket has more contexts than a block holds."""
+    large = asked.groupBy("key").count().filter(F.col("count") > max(1, BLOCK_BYTES // CONTEXT_BYTES)).select("key", F.lit(True).alias("split"))
+    return asked.join(large, "key", "left").withColumn("split", F.coalesce("split", F.lit(False)))
+
+
+def _windows(contexts: list[bytes], key, lo, runs, off) -> tuple[np.ndarray, ...]:
+    """Of each window of these runs: its run, its place in the text, and two fingerprints of
+    its bytes, its anchor and the anchor's distance."""
+    size = runs - 1 + WINDOW
+    h = grams(np.frombuffer(b"".join(contexts), np.uint8))
+    of = np.repeat(np.arange(len(runs)), runs)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(runs) - runs, runs)
+    begin = lo[of] + nth
+    at = (np.cumsum(size) - size)[of] + nth
+    out = []
+    with np.errstate(over="ignore"):
+        for odd in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)):
+            x = mix64(key.view(np.uint64)[of] * odd + (off[of] - nth).astype(np.uint64))
+            for k in (*range(0, WINDOW - GRAM, GRAM), WINDOW - GRAM):
+                x = mix64(x * odd + h[at + k])
+            out.append(x.view(np.int64))
+    return of, begin, *out
+
+
 def _fetched(asked: DataFrame, documents: DataFrame) -> DataFrame:
-    """The asked runs with their contexts' bytes."""
-    run = F.struct("key", "lo", "runs", "off")
+    """The asked runs with their contexts' bytes; of split buckets the windows, with their
+    fingerprints as key and sub, and those that are repeats already."""
+    asked = _split(asked)
+    run = F.struct("key", "lo", "runs", "off", "split")
     per_doc = asked.groupBy("doc", "tag").agg(F.collect_list(run).alias("asked"))
     joined = documents.join(per_doc, ["doc", "tag"])
 
@@ -182,17 +240,51 @@ def _fetched(asked: DataFrame, documents: DataFrame) -> DataFrame:
             lists = b.column("asked")
             n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
             flat = lists.flatten()
-            key, lo, runs, off = (flat.field(k) for k in range(4))
+            key, lo, runs, off, split = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(5))
             row = np.repeat(np.arange(b.num_rows), n)
+            doc, tag = b.column("doc").to_numpy()[row], b.column("tag").to_numpy()[row]
             texts = [t.encode() for t in b.column("text").to_pylist()]
-            bytes_ = [texts[r][a : a + c - 1 + WINDOW] for r, a, c in zip(row.tolist(), lo.to_pylist(), runs.to_pylist())]
-            of = pa.array(row)
-            yield pa.record_batch(
-                [key, b.column("doc").take(of), b.column("tag").take(of), lo, runs, off, pa.array(bytes_, pa.binary())],
-                names=["key", "doc", "tag", "lo", "runs", "off", "ctx"],
-            )
+            bytes_ = lambda w: [texts[r][a : a + c - 1 + WINDOW] for r, a, c in zip(row[w].tolist(), lo[w].tolist(), runs[w].tolist())]  # noqa: E731, B023
+            w = np.flatnonzero(~split)
+            yield rows(_CONTEXT, key[w], np.zeros(len(w), np.int64), doc[w], tag[w], lo[w], runs[w], off[w], pa.array(bytes_(w), pa.binary()))
+            large = np.flatnonzero(split)
+            for k in range(0, len(large), 4096):
+                w = large[k : k + 4096]
+                of, begin, key_, sub = _windows(bytes_(w), key[w], lo[w], runs[w], off[w])
+                doc_, tag_ = doc[w][of], tag[w][of]
+                by = np.lexsort((begin, doc_, sub, key_))
+                repeat = np.zeros(len(by), bool)
+                repeat[by], _ = _behind(key_[by], sub[by], doc_[by], begin[by], None)
+                x, hit = np.flatnonzero(~repeat), np.flatnonzero(repeat)
+                one, zero = np.ones(len(x), np.int64), np.zeros(len(x), np.int64)
+                yield rows(_WINDOW, key_[x], sub[x], doc_[x], tag_[x], begin[x], one, zero, pa.nulls(len(x), pa.binary()))
+                # Decided already, these only pass through, dealt out by document.
+                new = np.flatnonzero(np.r_[True, (np.diff(hit) != 1) | (np.diff(of[hit]) != 0)][: len(hit)])
+                x, n = hit[new], np.diff(np.r_[new, len(hit)])
+                yield rows(_DONE, mix64(doc_[x].view(np.uint64)).view(np.int64), sub[x], doc_[x], tag_[x], begin[x], n, np.zeros(len(x), np.int64), pa.nulls(len(x), pa.binary()))
+
+    def rows(kind, key, sub, doc, tag, lo, runs, off, ctx) -> pa.RecordBatch:
+        ints = [pa.array(x.astype(np.int32)) for x in (tag, lo, runs, off)]
+        return pa.record_batch(
+            [pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(sub), pa.array(doc), *ints, ctx],
+            names=["kind", "key", "sub", "doc", "tag", "lo", "runs", "off", "ctx"],
+        )
+
+    kept = "kind int, key long, sub long, doc long, tag int, lo int, runs int, off int, ctx binary"
+    return joined.select("doc", "tag", "text", "asked").mapInArrow(cut, kept)
+
 
-    return joined.select("doc", "tag", "text", "asked").mapInArrow(cut, "key long, doc long, tag int, lo int, runs int, off int, ctx binary")
+def _behind(key, sub, doc, begin, head: tuple | None) -> tuple[np.ndarray, tuple | None]:
+    """Which of the sorted windows are not the first of their kind (a repeated row is no
+    repeat), and the first of the last kind; ``head`` is that of the rows before."""
+    if not len(key):
+        return np.zeros(0, bool), head
+    new = np.r_[True, (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    first_doc, first_begin = doc[first], begin[first]
+    if head and head[:2] == (key[0], sub[0]):
+        first_doc[first == 0], first_begin[first == 0] = head[2:]
+    return (doc != first_doc) | (begin != first_begin), (key[-1], sub[-1], first_doc[-1], first_begin[-1])
 
 
 _DELTA = np.array(
@@ -264,8 +356,17 @@ def _bucket_spans(contexts: DataFrame) -> DataFrame:
             yield from _span_batches(doc[rec[first]], tag[rec[first]], begin[first], begin[last] + WINDOW)
 
     def sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:  # in order of the keys
+        held, size, head = [], 0, None
+        for b in batches:  # in order of the kinds and keys
+            kind = b.column("kind").to_numpy()
+            split = b.slice(int(np.searchsorted(kind, _WINDOW)))
+            b = b.slice(0, b.num_rows - split.num_rows)
+            if split.num_rows:
+                key, sub, doc, tag, lo, runs = (split.column(c).to_numpy() for c in ("key", "sub", "doc", "tag", "lo", "runs"))
+                n = int(np.searchsorted(kind, _DONE)) - b.num_rows
+                repeat, head = _behind(key[:n], sub[:n], doc[:n], lo[:n], head)
+                hit = np.r_[np.flatnonzero(repeat), np.arange(n, len(key))]
+                yield from _span_batches(doc[hit], tag[hit], lo[hit], lo[hit] + runs[hit] - 1 + WINDOW)
             if not b.num_rows:
                 continue
             key = b.column("key").to_numpy()
@@ -284,7 +385,7 @@ def _bucket_spans(contexts: DataFrame) -> DataFrame:
         if held:
             yield from spans(pa.concat_tables(held))
 
-    dealt = contexts.repartition(parts, "key").sortWithinPartitions("key")
+    dealt = contexts.repartition(parts, "key").sortWithinPartitions("kind", "key", "sub", "doc", "lo")
     return dealt.mapInArrow(sort_blocks, _SPAN)
 
 

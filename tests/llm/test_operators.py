@@ -134,6 +134,32 @@ def test_suffix_dedup(docs_of, corpus):
     assert sum(r.n_spans for r in out) > 20
 
 
+def test_suffix_bucket_of_a_common_line_is_split(docs_of, monkeypatch):
+    """One line between distinct neighbours in all documents: no bucket has more contexts
+    than a block, and the result is that of brute force."""
+    r = np.random.default_rng(8)
+    text = lambda n: "".join(r.choice(list("abcdefghij"), n))
+    line, common = text(60), text(130)
+    rows = [(k, text(120) + (common if k % 3 == 0 else line) + text(120)) for k in range(300)]
+    rows += [(300 + k, rows[k][1][60:240] + text(90)) for k in range(0, 60, 7)] + [(5, rows[5][1]), (None, rows[9][1])]
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 1 << 13)
+    seen, sort = [], suffix_dedup._bucket_spans
+    monkeypatch.setattr(suffix_dedup, "_bucket_spans", lambda contexts: seen.append(contexts) or sort(contexts))
+    out = suffix_dedup.remove_repeats(docs_of(rows)).collect()
+    assert max(x["count"] for x in seen[0].filter("ctx is not null").groupBy("key").count().collect()) <= (1 << 13) // 128
+    known, want = set(), collections.Counter()
+    for i, t in sorted(set(rows), key=lambda x: (x[0] is not None, x[0] or 0)):
+        mark = bytearray(len(t))
+        for k in range(len(t) - 99):
+            if t[k : k + 100] in known:
+                mark[k : k + 100] = b"\1" * 100
+            known.add(t[k : k + 100])
+        n = 2 if i == 5 else 1
+        want[(i, sum(mark), sha("".join(c for c, m in zip(t, mark) if not m)))] += n
+    assert collections.Counter((x.doc_id, x.n_removed, sha(bytes(x.kept))) for x in out) == want
+    assert sum(n for _, n, _ in want) > 10000
+
+
 def test_difference_cover_decides_any_pair():
     for a in range(suffix_dedup.PERIOD):
         for b in range(suffix_dedup.PERIOD):
