@@ -26,6 +26,8 @@ from .tables import TABLE_NAMES, Tables
 
 USER_ENV = "STOCKYARD_JDBC_USER"
 PASSWORD_ENV = "STOCKYARD_JDBC_PASSWORD"
+#: Tables that don't grow with the data; only these are read through one connection.
+FIXED_TABLES = ("region", "nation")
 
 
 @dataclass(frozen=True)
@@ -101,12 +103,18 @@ def jdbc_tables(
     properties: Mapping[str, str] | None = None,
     table_names: Mapping[str, str] | None = None,
 ) -> Tables:
-    """:class:`Tables` read over JDBC; ``table_names`` maps logical -> database names."""
+    """:class:`Tables` read over JDBC; ``table_names`` maps logical -> database names.
+
+    Loading a table that grows without ``partitioning`` for it is refused, since one task
+    would read all of it.
+    """
     partitioning = dict(partitioning or {})
     table_names = dict(table_names or {})
     props = dict(properties) if properties is not None else connection_properties()
 
     def load(session: SparkSession, name: str) -> DataFrame:
+        if name not in partitioning and name not in FIXED_TABLES:
+            raise ValueError(f"{name} grows with the data: give its Partitioning")
         return read_table(session, url, table_names.get(name, name), partitioning.get(name), props)
 
     return Tables.from_loaders(spark, {n: load for n in names})

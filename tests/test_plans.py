@@ -361,6 +361,17 @@ def test_no_driver_collect_in_library():
     assert offenders == []
 
 
+def test_jdbc_refuses_a_growing_table_without_partitioning(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(jdbc, "read_table", lambda s, url, table, partitioning, props: read.append((table, partitioning)) or s.range(1))
+    ranges = jdbc.Partitioning("o_orderkey", 0, 1000, 8)
+    t = jdbc.jdbc_tables(spark, "jdbc:example://db", partitioning={"orders": ranges}, properties={})
+    t["nation"], t["orders"]
+    with pytest.raises(ValueError, match="lineitem"):
+        t["lineitem"]
+    assert read == [("nation", None), ("orders", ranges)]
+
+
 #: The collects of the corpus operators, by file and line; each is bounded by a parameter,
 #: the benchmark, the sample or the model.
 LLM_COLLECTS = [
