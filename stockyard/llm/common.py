@@ -38,6 +38,21 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, what: str) -> tuple[DataFrame, str]:
+    """``written`` with the folder's name, for steps that ``discard`` it when its last reader
+    is done."""
+    path = shared_path(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove folders that ``stored`` wrote."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -96,6 +111,14 @@ def binary_parts(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], raw
 
 
+def fixed_binary(values: np.ndarray) -> pa.Array:
+    """The rows of an array as binary values of one size."""
+    size = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    offsets = np.arange(len(values) + 1, dtype=np.int64) * size
+    data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(values), [None, pa.py_buffer(offsets), data]).cast(pa.binary())
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (uint64 in and out)."""
     x = x.astype(np.uint64, copy=True)

@@ -10,14 +10,18 @@ import functools
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockyard.llm import benchmark_lsi, chat_tree, hilbert_shards, language_ppm, line_dedup, parity_join, quality_rules, sentencepiece_bpe, suffix_dedup, toxicity
+from stockyard.llm import (
+    benchmark_lsi, centroid_ns, chat_tree, hilbert_shards, language_ppm, line_dedup, parity_join, phrases_cqf, quality_ftrl,
+    quality_rules, sentencepiece_bpe, suffix_dedup, toxicity,
+)
 from stockyard.llm.common import held_out, ship, table
 
 #: Where the vocabulary of operator 1 is read; another file may be named here.
-PIECE_MODEL = os.environ.get("STOCKYARD_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+PIECE_MODEL = os.environ.get("STOCKYARD_PIECE_MODEL") or str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +93,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_centroid_ns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_ns.with_totals(centroid_ns.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_phrases_cqf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases_cqf.phrases(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), "quality")
+    train = documents.join(labels, F.col("doc_id") == F.col("__id")).filter(~held_out())
+    model = quality_ftrl.fit(train.select("doc_id", "text", "quality"))
+    return quality_ftrl.score(documents.withColumn("held_out", held_out()), model).drop("text")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +131,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_parity_join,
         op9_chat_tree,
         op10_line_dedup,
+        op11_centroid_ns,
+        op12_phrases_cqf,
+        op13_quality_ftrl,
     )
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+
+
+def _kmeans_sql(k: int = 8, rounds: int = 10) -> str:
+    """k-means by comparing every vector with every centroid in each round."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v.c[i] - m.c[i]) * (v.c[i] - m.c[i])))"
+    steps = [
+        f"""v AS MATERIALIZED (
+            SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), m0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, c) - 1 AS k, c FROM v QUALIFY k < {k}
+        )"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+            SELECT rid, min(struct_pack(d := d, k := k)) AS near FROM (SELECT v.rid, m.k, {square} AS d FROM v, m{r} m) GROUP BY rid
+        )""")
+        if r < rounds:
+            steps.append(f"""m{r + 1} AS MATERIALIZED (
+            SELECT m.k, coalesce(n.c, m.c) AS c FROM m{r} m LEFT JOIN (
+                SELECT k, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY i) AS c FROM (
+                    SELECT a.near.k AS k, t.i, sum(CAST(v.c[t.i] AS HUGEINT)) AS s, count(*) AS n
+                    FROM v JOIN a{r} a USING (rid), (SELECT unnest(range(1, 65)) AS i) t GROUP BY 1, 2
+                ) GROUP BY k
+            ) n USING (k)
+        )""")
+    return "WITH " + ", ".join(steps) + f"""
+        SELECT v.vec_id, CAST(a.near.k AS INTEGER) AS cluster, CAST(a.near.d AS BIGINT) AS distance,
+               CAST(sum(a.near.d) OVER (PARTITION BY a.near.k) AS BIGINT) AS cluster_inertia,
+               CAST(sum(a.near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.c, ',')) AS centroid_sha256
+        FROM v JOIN a{rounds} a USING (rid) JOIN m{rounds} m ON m.k = a.near.k
+    """
+
+
 # Plain SQL for the queries it can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
     "op8_parity_join": f"""
@@ -180,4 +238,41 @@ ORACLE: dict[str, str] = {
         FROM k LEFT JOIN hot ON k.key = hot.key
         GROUP BY k.rid, k.doc_id
     """,
+    "op11_centroid_ns": _kmeans_sql(),
+    "op12_phrases_cqf": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p
+        ), g AS (
+            SELECT lang, k.n, unnest(list_transform(range(1, len(ws) - k.n + 2), lambda i: array_to_string(ws[i:i + k.n - 1], ' '))) AS phrase
+            FROM w, (SELECT unnest([1, 2, 3, 4]) AS n) k
+        ), f AS MATERIALIZED (
+            SELECT lang, n, phrase, count(*) AS f FROM g GROUP BY ALL
+        ), c AS MATERIALIZED (
+            SELECT lang, n, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE n > 1 AND f >= 30
+        ), inside AS (
+            SELECT lang, array_to_string(ws[i.i:i.i + m.m - 1], ' ') AS phrase, max(f) AS longer
+            FROM c, (SELECT unnest([1, 2, 3]) AS i) i, (SELECT unnest([2, 3]) AS m) m
+            WHERE m.m < n AND i.i + m.m - 1 <= n GROUP BY ALL
+        ), parts AS MATERIALIZED (
+            SELECT lang, phrase, f AS a, k.k, array_to_string(ws[:k.k], ' ') AS one, array_to_string(ws[k.k + 1:], ' ') AS two
+            FROM c JOIN (SELECT unnest([1, 2, 3]) AS k) k ON k.k < c.n
+        ), ones AS MATERIALIZED (
+            SELECT parts.*, f.f AS l FROM parts JOIN f ON f.lang = parts.lang AND f.phrase = parts.one
+        ), cut AS (
+            SELECT ones.lang, ones.phrase, a, k, l, f.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (CAST(l AS HUGEINT) + f.f) AS BIGINT) AS score
+            FROM ones JOIN f ON f.lang = ones.lang AND f.phrase = ones.two
+        ), best AS (
+            SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), left_ AS (
+            SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE inside.longer IS NULL OR 100 * inside.longer < 80 * best.a
+        ), n AS (
+            SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE f.n = 1 GROUP BY lang
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n.n, score
+        FROM left_ JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
 }
