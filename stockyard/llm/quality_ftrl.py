@@ -41,8 +41,8 @@ from stockyard.llm.common import discard, keep_fraction, mix64, stored, text_sli
 BITS = 18
 MAX_ROWS = 40_000
 SHARDS = 4
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.5
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 8.0, 0.1, 0.05, 0.001
 THRESHOLD = 0.3
 _KIND = np.full(256, 2, np.uint8)  # 0: white space, 1: letters and digits, 2: marks
 _KIND[[0x20, *range(0x09, 0x0E)]] = 0
