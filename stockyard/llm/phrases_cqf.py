@@ -41,14 +41,25 @@ from stockyard.llm.quotient_filter import Packing, QuotientFilter
 
 LONGEST = 4
 BUCKET_BITS = 10
-HELD = 1 << 20  # entries of a task's filter before it is handed on
+HELD = 1 << 18  # entries of a task's filter before it is handed on
 BITMAP = 1 << 26  # bits
+SLICE = 2 << 20  # bytes of text at a time
 IDS = tuple(f"w{j}" for j in range(1, LONGEST + 1))
 _KIND = np.full(256, 2, np.uint8)  # 0: between words, 1: ends a piece, 2: word
 _KIND[[0x20, 0x09]] = 0
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
 
 
+def _coded(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the index of each: ``np.unique`` without a sort
+    where the values are dense enough for a table."""
+    if below > 8 * len(values) + 1024:
+        return np.unique(values, return_inverse=True)
+    seen = np.zeros(below, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
+
+
 class Words:
     """The words of a run of rows: ``index`` by place into ``ids``, ``names`` and ``langs``
     (distinct pairs of language and word), and whether the next word follows in one piece."""
@@ -59,7 +70,7 @@ class Words:
         langs = coded.dictionary.to_pylist()
         row_lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         pair = row_lang[runs.row] * max(1, len(runs.words)) + runs.word
-        known, self.index = np.unique(pair, return_inverse=True)
+        known, self.index = _coded(pair, len(langs) * max(1, len(runs.words)))
         self.word, self.lang = known % max(1, len(runs.words)), known // max(1, len(runs.words))
         self.words, self.langs = runs.words, langs
         by_word = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in runs.words), np.uint64, len(runs.words))
@@ -87,17 +98,24 @@ def _single(w: Words, bitmap: None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield w.ids[:, None], np.bincount(w.index, minlength=len(w.ids))
 
 
+def _neighbours(w: Words, bitmap: np.ndarray) -> np.ndarray:
+    """The places where two words of the bitmap follow each other in a piece."""
+    often = _has(bitmap, w.ids[:, None])[w.index]
+    return np.flatnonzero(w.follows[:-1] & often[:-1] & often[1:]) if len(often) > 1 else np.zeros(0, np.int64)
+
+
 def _pairs(w: Words, bitmap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    often = _has(bitmap, w.ids[:, None])
-    i = np.flatnonzero(w.follows[:-1] & often[w.index[:-1]] & often[w.index[1:]]) if len(w.index) > 1 else np.zeros(0, np.int64)
+    i = _neighbours(w, bitmap)
     m = max(1, len(w.ids))
     pair, n = np.unique(w.index[i] * m + w.index[i + 1], return_counts=True)
     yield np.stack([w.ids[pair // m], w.ids[pair % m]], axis=1), n
 
 
-def _longer(w: Words, bitmap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Triples and quadruples all of whose pairs are in the bitmap."""
-    i = np.flatnonzero(w.follows[:-1]) if len(w.index) > 1 else np.zeros(0, np.int64)
+def _longer(w: Words, bitmaps: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Triples and quadruples all of whose pairs are in the second bitmap (the first is that of
+    the words)."""
+    words, bitmap = bitmaps
+    i = _neighbours(w, words)
     m = max(1, len(w.ids))
     pair, coded = np.unique(w.index[i] * m + w.index[i + 1], return_inverse=True)
     two = np.stack([w.ids[pair // m], w.ids[pair % m]], axis=1)
@@ -130,7 +148,7 @@ def count_grams(documents: DataFrame, text: str, lang: str, min_count: int, size
                 yield pa.record_batch([pa.array([n] * len(bucket), pa.int32()), pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], names=["n", "bucket", "filter"])
 
         for b in batches:
-            for part in text_slices([b], text):
+            for part in text_slices([b], text, SLICE):
                 for ids, n in take(Words(part, text, lang, seed, bits), box.value):
                     if len(ids):
                         mine = held[ids.shape[1]]
@@ -198,7 +216,7 @@ def lexicon(documents: DataFrame, text: str, lang: str, bitmap: np.ndarray, seed
     box = documents.sparkSession.sparkContext.broadcast(bitmap)
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, text):
+        for b in text_slices(batches, text, SLICE):
             w = Words(b, text, lang, seed, bits)
             n = np.bincount(w.index, minlength=len(w.ids))
             some = np.flatnonzero(_has(box.value, w.ids[:, None]))
@@ -235,7 +253,7 @@ def frequent_phrases(documents: DataFrame, text: str, lang: str, min_count: int)
     else:
         raise RuntimeError("word ids of 64 bits met under each of 98 seeds")
     pairs, pairs_path = stored(count_grams(documents, *how, (2,), _pairs, words_map, seed, bits), "cqf-pairs")
-    longer, longer_path = stored(count_grams(documents, *how, (3, 4), _longer, bitmap_of(pairs, 2), seed, bits), "cqf-longer")
+    longer, longer_path = stored(count_grams(documents, *how, (3, 4), _longer, (words_map, bitmap_of(pairs, 2)), seed, bits), "cqf-longer")
     grams = single.unionByName(pairs).unionByName(longer)
     return grams, words, [single_path, words_path, pairs_path, longer_path]
 
