@@ -93,11 +93,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
     if configured:
         sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockyard-ckpt-"))
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "No checkpoint folder: set spark.checkpoint.dir to a shared folder "
-        "(HDFS/S3/ABFS) that every executor can reach."
-    )
+    else:
+        raise RuntimeError(
+            "No checkpoint folder: set spark.checkpoint.dir to a shared folder "
+            "(HDFS/S3/ABFS) that every executor can reach."
+        )
+    # Spark makes a folder of this application's own in it, which goes with the application.
+    own = sc.getCheckpointDir() or configured
+    place = sc._jvm.org.apache.hadoop.fs.Path(own)
+    if own != configured:
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return own
