@@ -14,6 +14,9 @@ Reports are written as numbered text lines with ``--out`` (or the first
 store is started from the data folder the first time), write the next version
 and print the outcome counts. ``--changes`` is a parquet folder of changes
 (keys, new_value, seq); without it the changes are derived from ``events``.
+Instead of ``--data DIR``, ``--jdbc URL`` names a database instance (user and password come from
+the environment); ``--jdbc-split TABLE:COLUMN:PARTS[:THEN_BY]`` says how a table that grows is
+read in parallel, in reads of about equal size.
 Use ``spark-submit`` on a cluster, or ``--local N`` for a local session.
 """
 
@@ -25,11 +28,12 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions import report
-from .operators import updates
+from .operators import stock, updates
 from .plans.snapshots import SnapshotStore
 from .plans.versioned import adjust_stock_once, commit_changes
+from .plans.scratch import Scratch
 from .session import BASE_CONF, local_session
-from .sources import fixture
+from .sources import fixture, jdbc
 from .sources.tables import Tables
 
 
@@ -42,9 +46,20 @@ def _session(args: argparse.Namespace) -> SparkSession:
     return builder.getOrCreate()
 
 
-def _emit(lines: DataFrame, args: argparse.Namespace) -> None:
+def _instance(spark: SparkSession, args: argparse.Namespace) -> Tables:
+    """S2: the tables of the instance that was named."""
+    if args.data:
+        return Tables.from_parquet(spark, args.data)
+    splits = {}
+    for said in args.jdbc_split:
+        table, column, parts, *then_by = said.split(":")
+        splits[table] = jdbc.EvenPartitioning(column, int(parts), then_by[0] if then_by else None)
+    return jdbc.jdbc_tables(spark, args.jdbc, partitioning=splits, properties=jdbc.connection_properties(args.jdbc_driver))
+
+
+def _emit(lines: DataFrame, args: argparse.Namespace, scratch: Scratch) -> None:
     if args.out:
-        report.write_report(lines, args.out, mode="overwrite" if args.overwrite else "errorifexists")
+        report.write_report(lines, args.out, mode="overwrite" if args.overwrite else "errorifexists", scratch=scratch)
         print(f"written to {args.out}")
     else:
         rows = lines.orderBy("n").select("line").take(args.show + 1)
@@ -75,7 +90,11 @@ def _print_commit(commit, outcome: DataFrame | None) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="stockyard", description=__doc__.split("\n\n")[0])
-    parser.add_argument("--data", required=True, help="folder with <table>.parquet")
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--data", help="folder with <table>.parquet")
+    source.add_argument("--jdbc", metavar="URL", help="a database instance with the tables")
+    parser.add_argument("--jdbc-driver", help="class of the JDBC driver")
+    parser.add_argument("--jdbc-split", action="append", default=[], metavar="TABLE:COLUMN:PARTS[:THEN_BY]")
     parser.add_argument("--local", help="run on local[N] instead of the submitted master")
     sub = parser.add_subparsers(dest="op", required=True)
 
@@ -114,20 +133,21 @@ def main(argv: list[str] | None = None) -> int:
 
     args = parser.parse_args(argv)
     spark = _session(args)
-    t = Tables.from_parquet(spark, args.data)
+    t = _instance(spark, args)
 
+    scratch = Scratch(spark)
     if args.op == "sales":
-        _emit(report.sales_report(t, args.category), args)
+        _emit(report.sales_report(t, args.category, scratch), args, scratch)
     elif args.op == "top-product":
-        _emit(report.top_product_report(t, region=args.region, measure=args.measure, per=args.per), args)
+        _emit(report.top_product_report(t, scratch, region=args.region, measure=args.measure, per=args.per), args, scratch)
     elif args.op == "cross-territory":
-        _emit(report.cross_territory_report(t, args.grain), args)
+        _emit(report.cross_territory_report(t, args.grain, scratch), args, scratch)
     elif args.op == "adjust-stock":
         store = _store(spark, args.store, fixture.inventory(t))
         commit = adjust_stock_once(
             store, t, args.category, args.location, args.adjustment_id, args.pct, args.rounding
         )
-        _print_commit(commit, None)
+        _print_commit(commit, None if commit.skipped else stock.outcome_row(spark, commit.op, commit.rows_matched))
     elif args.op == "set-quantity":
         store = _store(spark, args.store, t["lineitem"])
         changes = _changes(spark, args, fixture.quantity_changes(t))

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cross_territory, ranking, sales
-from ..plans.numbering import number_rows, number_small
+from ..plans.numbering import number, number_rows
+from ..plans.scratch import Scratch
 from ..sources.tables import Tables
 
 # The report line labels, exactly as the original client prints
@@ -51,9 +52,9 @@ def render(numbered: DataFrame, labels: tuple[str, str, str], n: str = "n") -> D
     return numbered.select(F.col(n), F.concat(*parts).alias("line"))
 
 
-def sales_report(t: Tables, category: int) -> DataFrame:
-    """U1 as lines, numbered by territory_id. At most one row per territory,
-    a dimension whose size is checked, so one window task is fine here."""
+def sales_report(t: Tables, category: int, scratch: Scratch | None = None) -> DataFrame:
+    """U1 as lines, numbered by territory_id. At most one row per territory: if that
+    dimension has passed its size check, in one window task, else distributed."""
     exact = sales.sales_by_territory_exact(t, category).withColumn(
         "total_sales", F.col("total_sales").cast(MONEY_TEXT)
     )
@@ -65,14 +66,15 @@ def sales_report(t: Tables, category: int) -> DataFrame:
         F.col("territory").alias("v2"),
         as_text(F.col("territory_id")).alias("v3"),
     )
-    return render(number_small(strings, ["territory_id"]), SALES_LABELS)
+    bounded = t.bounded_cache.get("territory", False)
+    return render(number(strings, ["territory_id"], bounded, scratch=scratch), SALES_LABELS)
 
 
-def top_product_report(t: Tables, **kwargs) -> DataFrame:
+def top_product_report(t: Tables, scratch: Scratch | None = None, **kwargs) -> DataFrame:
     """U2 as lines, numbered by (region, product_id); distributed, since the
     number of tied winners is not bounded."""
     top = ranking.top_requested_product(t, **kwargs)
-    numbered = number_rows(top, ["region", "product_id"])
+    numbered = number_rows(top, ["region", "product_id"], scratch=scratch)
     strings = numbered.select(
         "n",
         as_text(F.col("product")).alias("v1"),
@@ -82,10 +84,10 @@ def top_product_report(t: Tables, **kwargs) -> DataFrame:
     return render(strings, PRODUCT_LABELS)
 
 
-def cross_territory_report(t: Tables, grain: str = "customer") -> DataFrame:
+def cross_territory_report(t: Tables, grain: str = "customer", scratch: Scratch | None = None) -> DataFrame:
     """U4 as lines, numbered by (id, order_territory, ship_territory), distributed."""
     rows = cross_territory.cross_territory(t, grain)
-    numbered = number_rows(rows, ["id", "order_territory", "ship_territory"])
+    numbered = number_rows(rows, ["id", "order_territory", "ship_territory"], scratch=scratch)
     strings = numbered.select(
         "n",
         as_text(F.col("id")).alias("v1"),
@@ -95,7 +97,9 @@ def cross_territory_report(t: Tables, grain: str = "customer") -> DataFrame:
     return render(strings, CROSS_TERRITORY_LABELS)
 
 
-def write_report(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_report(lines: DataFrame, path: str, mode: str = "errorifexists", scratch: Scratch | None = None) -> None:
     """Emit the lines as text files, in ordinal order within and across files: the
-    numbering leaves its partitions in that order, so nothing is sorted again."""
+    numbering leaves its partitions in that order, so nothing is sorted again. What the report kept in ``scratch`` is removed."""
     lines.select("line").write.mode(mode).text(path)
+    if scratch is not None:
+        scratch.release()

@@ -6,6 +6,8 @@ The original client calls server-side procedures (``{call name(?)}`` with
 
     SELECT * FROM sales_by_territory(7)
     SELECT * FROM top_requested_product('AMERICA')
+    SELECT * FROM top_requested_product('AMERICA', 'units', 'territory')
+    SELECT * FROM cross_territory('order')
     SELECT * FROM cross_territory_customers()
 
 and Catalyst plans the body like any other query (pushdown, pruning, AQE).
@@ -58,60 +60,100 @@ FUNCTIONS = {
         FROM per_nation pn JOIN nation n ON pn.c_nationkey = n.n_nationkey
     """,
     # U2 without a window: a window over the region would gather all its
-    # candidate products in one task. The best count is a global aggregate
-    # (exactly one row, so broadcasting it is bounded) matched by equality;
-    # every tie is kept.
-    "top_requested_product": """
-        CREATE OR REPLACE TEMPORARY FUNCTION top_requested_product(region_name STRING)
+    # candidate products in one task. The best count per group is a small
+    # aggregate matched by equality; every tie is kept. measure and per are
+    # literals in a call, so the branches not asked for fold away.
+    "top_requested_product": f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION top_requested_product(
+            region_name STRING, measure STRING DEFAULT 'lines', per STRING DEFAULT 'region')
         RETURNS TABLE (product STRING, requests BIGINT, region STRING, product_id BIGINT)
         RETURN
         WITH region_nations AS (
-            SELECT /*+ DIMS(r) */ n.n_nationkey
+            SELECT /*+ DIMS(r) */ n.n_nationkey,
+                   CASE top_requested_product.per WHEN 'region' THEN r.r_name WHEN 'territory' THEN n.n_name
+                        ELSE raise_error('per must be region or territory') END AS grp
             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
             WHERE r.r_name = top_requested_product.region_name
         ), region_orders AS (
-            SELECT o.o_orderkey
+            SELECT o.o_orderkey, rc.grp
             FROM orders o
-            LEFT SEMI JOIN (
-                SELECT /*+ DIMS(rn) */ c.c_custkey
-                FROM customer c LEFT SEMI JOIN region_nations rn ON c.c_nationkey = rn.n_nationkey
+            JOIN (
+                SELECT /*+ DIMS(rn) */ c.c_custkey, rn.grp
+                FROM customer c JOIN region_nations rn ON c.c_nationkey = rn.n_nationkey
             ) rc ON o.o_custkey = rc.c_custkey
         ), counts AS (
-            SELECT l.l_partkey AS pid, COUNT(*) AS requests
+            SELECT ro.grp, l.l_partkey AS pid,
+                   CASE top_requested_product.measure
+                       WHEN 'lines' THEN CAST(COUNT(*) AS DECIMAL(38,6))
+                       WHEN 'units' THEN CAST(SUM(CAST(l.l_quantity AS {fixture.QUANTITY_TYPE})) AS DECIMAL(38,6))
+                       WHEN 'orders' THEN CAST(COUNT(DISTINCT l.l_orderkey) AS DECIMAL(38,6))
+                       ELSE raise_error('measure must be lines, units or orders') END AS requests
             FROM lineitem l JOIN region_orders ro ON l.l_orderkey = ro.o_orderkey
-            GROUP BY l.l_partkey
+            GROUP BY ro.grp, l.l_partkey
         ), best AS (
-            SELECT MAX(requests) AS best FROM counts
+            SELECT grp, MAX(requests) AS best FROM counts GROUP BY grp
         )
-        SELECT /*+ BROADCAST(b) */ p.p_name, w.requests, top_requested_product.region_name, w.pid
+        SELECT /*+ DIMS(b) */ p.p_name, CAST(w.requests AS BIGINT), w.grp, w.pid
         FROM counts w
-        JOIN best b ON w.requests = b.best
+        LEFT SEMI JOIN best b ON w.grp = b.grp AND w.requests = b.best
         LEFT JOIN part p ON p.p_partkey = w.pid
     """,
-    # U4: lines reduced to one row per order with the set of its supplier
-    # nations (partial in each map task), joined to the order's own nation.
+    "cross_territory": """
+        CREATE OR REPLACE TEMPORARY FUNCTION cross_territory(grain STRING DEFAULT 'customer')
+        RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING)
+        RETURN {cross}
+    """,
     "cross_territory_customers": """
         CREATE OR REPLACE TEMPORARY FUNCTION cross_territory_customers()
         RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING)
-        RETURN
-        WITH ship AS (
-            SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts
-            FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-            GROUP BY l.l_orderkey
-        ), origin AS (
-            SELECT o.o_orderkey AS order_id, o.o_custkey AS id, c.c_nationkey AS ot
-            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-        ), k AS (
+        RETURN {cross}
+    """,
+}
+
+
+def _cross_territory_body(words: int | None, grain: str) -> str:
+    """U4: lines reduced to one row per order with the set of its supplier nations (as
+    bits where the territory keys allow it, see ``fixture.territory_words``), joined to the
+    order's own nation, or-ed per (id, own nation) and spread out. ``grain``: an
+    expression; as a literal of a call it folds away."""
+    origin = f"""
+        SELECT o.o_orderkey AS order_id, c.c_nationkey AS ot,
+               CASE {grain} WHEN 'customer' THEN o.o_custkey WHEN 'order' THEN o.o_orderkey
+                    ELSE raise_error('grain must be customer or order') END AS id
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    """
+    lines = "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_orderkey"
+    if words is None:
+        keys = f"""
             SELECT DISTINCT origin.id, origin.ot, e.st
-            FROM ship JOIN origin ON ship.order_id = origin.order_id
+            FROM (SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts {lines}) ship
+            JOIN origin ON ship.order_id = origin.order_id
             LATERAL VIEW explode(array_remove(ship.sts, origin.ot)) e AS st
+        """
+    else:
+        names = [f"w{w}" for w in range(words)]
+        sets = ", ".join(
+            f"coalesce(bit_or(CASE WHEN s.s_nationkey div 64 = {w} THEN shiftleft(1L, CAST(s.s_nationkey AS INT) & 63) END), 0L) AS w{w}" for w in range(words)
         )
+        others = fixture.BITS_SQL.format(last=64 * words - 1, words=", ".join(names), without="ot")
+        keys = f"""
+            SELECT m.id, m.ot, e.st
+            FROM (
+                SELECT origin.id, origin.ot, {", ".join(f"bit_or(ship.{w}) AS {w}" for w in names)}
+                FROM (SELECT l.l_orderkey AS order_id, {sets} {lines}) ship
+                JOIN origin ON ship.order_id = origin.order_id
+                GROUP BY origin.id, origin.ot
+            ) m
+            LATERAL VIEW explode({others}) e AS st
+        """
+    return f"""
+        WITH origin AS ({origin}), k AS ({keys})
         SELECT /*+ DIMS(no, ns) */ k.id, no.n_name, ns.n_name
         FROM k
         JOIN nation no ON k.ot = no.n_nationkey
         JOIN nation ns ON k.st = ns.n_nationkey
-    """,
-}
+    """
+
 
 VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -148,7 +190,10 @@ def register(t: Tables, prefix: str = "") -> None:
     t.register_views(VIEWS, own)
     fixture.territory_dim(t)  # runs (or reuses) the bounded checks of nation and region
     small = t.bounded_cache.get("territory", False) and t.bounded_cache.get("region", False)
+    words = fixture.territory_words(t)
     for name, ddl in FUNCTIONS.items():
+        grain = "'customer'" if name == "cross_territory_customers" else "cross_territory.grain"
+        ddl = ddl.replace("{cross}", _cross_territory_body(words, grain))
         ddl = _VIEW.sub(rf"\1 {own}\2", with_dimension_hints(ddl, small))
         t.spark.sql(re.sub(rf"\b{name}\b", prefix + name, ddl))
 

@@ -11,14 +11,16 @@ Output ``id bigint, order_territory string, ship_territory string``, distinct.
   on either side never counts as different.
 
 This is the one result that grows with the data, so it stays distributed to
-the end. Lines are first reduced to one row per order carrying the set of its
-supplier nations (a partial aggregation: an order with a third of all lines
-collapses map-side to one row per task); that aggregate's partitioning on the
-order key serves the join to the order's own territory without another
-exchange. The distinct then shuffles three integers per row (partial
-aggregation first, so a customer with a third of all orders collapses
-map-side to at most 25 x 25 rows per task), and names come from the 25-row
-dimension by broadcast.
+the end. Lines are first reduced to one row per order with the set of its
+supplier nations as bits (``bit_or``, a hash aggregate, partial in each map task: an order
+with a third of all lines collapses to one row per task); that aggregate's
+partitioning on the order key serves the join to the order's own territory
+without another exchange. The sets are or-ed again per (id, own territory), which
+makes the rows distinct before they are spread out: what crosses that shuffle is at most
+one row per id and task, and for the order grain nothing does. The own
+territory's bit is taken out, the others become rows, and names come from the
+dimension by broadcast. Territory keys that don't fit 512 bits are
+held as ``collect_set`` arrays instead and made distinct after they are spread.
 """
 
 from __future__ import annotations
@@ -38,17 +40,19 @@ def cross_territory_keys(t: Tables, grain: str = "customer") -> DataFrame:
         raise ValueError(f"grain must be one of {GRAINS}, got {grain!r}")
     ship = fixture.order_ship_territories(t)
     origin = fixture.order_territory(t)
-    id_col = "customer_id" if grain == "customer" else "order_id"
-    # array_remove drops the order's own territory; with a null origin it
-    # returns null and explode yields nothing, so a null never counts as different.
-    pairs = ship.join(origin, "order_id").select(
-        F.col(id_col).alias("id"),
-        F.col("territory_id").alias("order_territory_id"),
-        F.explode(F.array_remove("ship_territory_ids", F.col("territory_id"))).alias(
-            "ship_territory_id"
-        ),
-    )
-    return pairs.distinct()
+    id_col = F.col("customer_id" if grain == "customer" else "order_id").alias("id")
+    words = fixture.territory_words(t)
+    if words is None:
+        # array_remove drops the order's own territory; with a null origin it
+        # returns null and explode yields nothing, so a null never counts as different.
+        others = F.explode(F.array_remove("ship_territory_ids", F.col("territory_id"))).alias("ship_territory_id")
+        return ship.join(origin, "order_id").select(id_col, F.col("territory_id").alias("order_territory_id"), others).distinct()
+    bits = [f"w{w}" for w in range(words)]
+    # The id goes by the join's key for the order grain, so its partitioning is kept.
+    rows = ship.join(origin, "order_id").select(id_col, F.col("territory_id").alias("order_territory_id"), *bits)
+    sets = rows.groupBy("id", "order_territory_id").agg(*[F.bit_or(w).alias(w) for w in bits])
+    others = F.explode(fixture.keys_of_bits(words, without="order_territory_id")).alias("ship_territory_id")
+    return sets.select("id", "order_territory_id", others)
 
 
 def cross_territory(t: Tables, grain: str = "customer") -> DataFrame:

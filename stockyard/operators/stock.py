@@ -25,12 +25,12 @@ from dataclasses import dataclass
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import fixture
 from ..sources.tables import Tables
-from .changeset import HIT
+from .changeset import HIT, OUTCOME_COLUMNS
 
 ROUNDING = ("floor", "ceil", "half_up")
 
@@ -86,6 +86,13 @@ class StockAdjustment:
         )
 
 
+def outcome_row(spark: SparkSession, op: str, rows_matched: int) -> DataFrame:
+    """The outcome of one adjustment from the rows that its write has counted."""
+    applied = int(rows_matched > 0)
+    kinds = "op string, " + ", ".join(f"{c} bigint" for c in OUTCOME_COLUMNS[1:])
+    return spark.createDataFrame([(op, 1, applied, 0, 1 - applied, rows_matched)], kinds)
+
+
 def adjust_stock(
     t: Tables,
     category: int,

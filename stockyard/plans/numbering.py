@@ -1,6 +1,6 @@
 """S5: number result rows from 1 in a stated order.
 
-Two forms:
+Two forms (:func:`number` takes the one that a checked bound allows):
 
 * :func:`number_small` - ``row_number()`` over a global window. The window puts
   every row in one task, so it is only for results whose size is bounded by a
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from .scratch import Scratch
 
 _PID = "_pid"
 _MID = "_mid"
@@ -50,24 +50,23 @@ def number_rows(
     order_by: list[str | Column],
     name: str = "n",
     num_partitions: int | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Distributed ``row_number()`` over ``order_by`` (which should be a total order).
 
     Runs one job eagerly (the checkpoint of the sorted, tagged rows) and
-    returns a lazy DataFrame with the column ``name`` added.
+    returns a lazy DataFrame with the column ``name`` added. The checkpoint is removed
+    with ``scratch`` (without one, when the application ends).
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)  # a shared folder must be configured (or local mode)
+    scratch = scratch or Scratch(df.sparkSession)
     cols = _cols(order_by)
     if num_partitions:
         ordered = df.repartitionByRange(num_partitions, *cols).sortWithinPartitions(*cols)
     else:
         ordered = df.orderBy(*cols)
-    tagged = ordered.select(
-        "*",
-        F.spark_partition_id().alias(_PID),
-        F.monotonically_increasing_id().alias(_MID),
-    ).checkpoint(eager=True)
+    tagged = scratch.checkpointed(
+        ordered.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
+    )
 
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: a global window here is bounded by the partition count.
@@ -81,3 +80,11 @@ def number_rows(
         .withColumn(name, (F.col(_OFF) + position + F.lit(1)).cast("bigint"))
         .drop(_PID, _MID, _OFF)
     )
+
+
+def number(
+    df: DataFrame, order_by: list[str | Column], bounded: bool, name: str = "n", scratch: Scratch | None = None
+) -> DataFrame:
+    """:func:`number_small` where a check has proven the result ``bounded``, else
+    :func:`number_rows`."""
+    return number_small(df, order_by, name) if bounded else number_rows(df, order_by, name, scratch=scratch)

@@ -16,7 +16,9 @@ from functools import reduce
 
 from .functions import report, table_functions
 from .operators import cross_territory, ranking, sales, stock, updates
+from .plans.scratch import Scratch
 from .sources import fixture
+from .sources.bucketed import store_bucketed
 from .sources.tables import Tables
 
 CATEGORY = 7
@@ -168,6 +170,50 @@ def q_cross_territory_table_function(spark: SparkSession, sf_dir: str) -> DataFr
     return table_functions.call(spark, "cross_territory_customers")
 
 
+def q_top_product_function_by_territory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "top_requested_product", REGION, "units", "territory")
+
+
+def q_top_product_function_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "top_requested_product", REGION, "orders")
+
+
+def q_cross_territory_function_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _with_functions(spark, sf_dir)
+    return table_functions.call(spark, "cross_territory", "order")
+
+
+#: What the reports read of the two large tables, to be stored bucketed.
+_REPORT_COLUMNS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"],
+    "orders": ["o_orderkey", "o_custkey"],
+}
+
+
+def _bucketed_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return store_bucketed(_tables(spark, sf_dir), Scratch(spark).path("bucketed"), columns=_REPORT_COLUMNS)
+
+
+def q_sales_by_territory_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales.sales_by_territory(_bucketed_tables(spark, sf_dir), CATEGORY)
+
+
+def q_cross_territory_orders_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_territory.cross_territory(_bucketed_tables(spark, sf_dir), "order")
+
+
+def q_written_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new tables of U5 and U7 stored, with the counts taken from those writes."""
+    t, scratch = _tables(spark, sf_dir), Scratch(spark)
+    changes = [
+        updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)),
+        updates.set_email(t, fixture.mixed_email_changes(t)),
+    ]
+    return reduce(DataFrame.unionByName, [c.write(scratch.path(c.op)) for c in changes])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_by_territory": q_sales_by_territory,
     "top_product_lines": q_top_product_lines,
@@ -196,6 +242,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "email_mixed_updated": q_email_mixed_updated,
     "mixed_outcomes": q_mixed_outcomes,
     "cross_territory_order_report_lines": q_cross_territory_order_report_lines,
+    "top_product_function_by_territory": q_top_product_function_by_territory,
+    "top_product_function_orders": q_top_product_function_orders,
+    "cross_territory_function_orders": q_cross_territory_function_orders,
+    "sales_by_territory_bucketed": q_sales_by_territory_bucketed,
+    "cross_territory_orders_bucketed": q_cross_territory_orders_bucketed,
+    "written_outcomes": q_written_outcomes,
 }
 
 
@@ -544,10 +596,8 @@ def _mixed_outcome_sql(op: str, ctes: str, matched: str) -> str:
     """
 
 
-ORACLE["mixed_outcomes"] = " UNION ALL ".join(
+ORACLE["written_outcomes"] = " UNION ALL ".join(
     [
-        "SELECT 'adjust_stock' AS op, 1::BIGINT AS changes, 0::BIGINT AS applied, 0::BIGINT AS superseded,"
-        " 1::BIGINT AS rejected, 0::BIGINT AS rows_matched",
         _mixed_outcome_sql(
             "set_order_quantity", _MIXED_QTY,
             "SELECT COUNT(*) FROM lineitem l WHERE EXISTS (SELECT 1 FROM w WHERE w.l_orderkey = l.l_orderkey"
@@ -558,3 +608,12 @@ ORACLE["mixed_outcomes"] = " UNION ALL ".join(
         ),
     ]
 )
+ORACLE["mixed_outcomes"] = (
+    "SELECT 'adjust_stock' AS op, 1::BIGINT AS changes, 0::BIGINT AS applied, 0::BIGINT AS superseded,"
+    " 1::BIGINT AS rejected, 0::BIGINT AS rows_matched UNION ALL " + ORACLE["written_outcomes"]
+)
+ORACLE["top_product_function_by_territory"] = ORACLE["top_product_by_territory"]
+ORACLE["top_product_function_orders"] = ORACLE["top_product_orders"]
+ORACLE["cross_territory_function_orders"] = ORACLE["cross_territory_orders"]
+ORACLE["sales_by_territory_bucketed"] = ORACLE["sales_by_territory"]
+ORACLE["cross_territory_orders_bucketed"] = ORACLE["cross_territory_orders"]

@@ -127,19 +127,54 @@ def line_ship_territory(t: Tables) -> DataFrame:
     )
 
 
+#: Territory keys from 0 up to this are held as bits of words; beyond, as a set.
+MOST_BITS = 512
+
+
+def territory_words(t: Tables) -> int | None:
+    """How many 64-bit words hold one bit for each territory key; None if the keys of the
+    territory dimension don't lie in 0 .. MOST_BITS - 1 (one row, once per catalog)."""
+    if "territory_words" not in t.facts:
+        low, high = t["nation"].agg(F.min("n_nationkey"), F.max("n_nationkey")).first()
+        fits = low is None or (low >= 0 and high < MOST_BITS)
+        t.facts["territory_words"] = (0 if high is None else high // 64) + 1 if fits else None
+    return t.facts["territory_words"]
+
+
+def bit_words(key: str, words: int) -> list[Column]:
+    """The set of the keys in a group as ``words`` 64-bit words: ``bit_or`` has a buffer of one
+    long, so the aggregate stays a hash aggregate of fixed width (a ``collect_set`` is an
+    object aggregate, which falls back to sorting past a few groups)."""
+    bit = F.expr(f"shiftleft(1L, cast({key} as int) & 63)")
+    return [F.coalesce(F.bit_or(F.when(F.floor(F.col(key) / 64) == w, bit)), F.lit(0).cast("bigint")).alias(f"w{w}") for w in range(words)]
+
+
+#: The keys of the bits of some words, without one key; shared with the SQL table functions.
+BITS_SQL = (
+    "CASE WHEN {without} IS NOT NULL THEN filter(sequence(0, {last}), k -> "
+    "(shiftright(element_at(array({words}), CAST(k div 64 AS INT) + 1), CAST(k AS INT) & 63) & 1) = 1 AND k <> {without}) END"
+)
+
+
+def keys_of_bits(words: int, without: str) -> Column:
+    """The keys whose bits are set in ``w0``, ``w1``, ..., except the key in column ``without``
+    (null there: none at all), as an array."""
+    return F.expr(BITS_SQL.format(last=64 * words - 1, words=", ".join(f"w{w}" for w in range(words)), without=without))
+
+
 @per_catalog
 def order_ship_territories(t: Tables) -> DataFrame:
-    """order_id, ship_territory_ids array<int>: the distinct supplier nations of
-    each order's lines (nulls dropped).
+    """order_id and the distinct supplier nations of each order's lines (nulls dropped): as
+    bits of ``w0``, ``w1``, ... (see :func:`territory_words`), else as array
+    ``ship_territory_ids``.
 
-    ``collect_set`` aggregates partially in each map task, so an order with a
-    third of all lines leaves every task as one row of at most 25 nations, and
-    the result comes out hash-partitioned on ``order_id``, ready for a join on
-    that key without another exchange.
+    Either aggregates partially in each map task, so an order with a third of all lines
+    leaves every task as one row, and the result comes out hash-partitioned on
+    ``order_id``, ready for a join on that key without another exchange.
     """
-    return line_ship_territory(t).groupBy("order_id").agg(
-        F.collect_set("ship_territory_id").alias("ship_territory_ids")
-    )
+    words = territory_words(t)
+    sets = [F.collect_set("ship_territory_id").alias("ship_territory_ids")] if words is None else bit_words("ship_territory_id", words)
+    return line_ship_territory(t).groupBy("order_id").agg(*sets)
 
 
 @per_catalog

@@ -40,6 +40,7 @@ class Tables(Mapping[str, DataFrame]):
         self._frames: dict[str, DataFrame] = {}
         self._derived: dict[str, DataFrame] = {}
         self.bounded_cache: dict[str, bool] = {}
+        self.facts: dict[str, object] = {}  # small figures about the tables, found once
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
