@@ -10,9 +10,10 @@ features that share a place cancel rather than add up. One more place, with valu
 Training: each labelled row in turn gets a prediction and one update of the sums z and
 squares n of its places; weights follow from them in closed form, zero while |z| <= l1.
 About ``max_rows`` labelled rows are used (a documented bound; a hash of the id decides). They
-are dealt to ``shards`` by a hash of id and text; each epoch runs the updates of every shard in its
-own task, starting from one common state, and the states are averaged (weighted by rows) on the
-driver: ``shards`` times two arrays of ``2 ** BITS`` numbers. Scoring is a sparse dot
+are dealt to ``shards`` files by a hash of id and text, as places and counts (255 at most);
+each epoch runs the updates of every file in its own task, starting from one common state, and
+the states are averaged (weighted by rows) on the driver: two arrays of ``2 ** BITS`` numbers
+a task. Scoring is a sparse dot
 product of each text's features with the weights, in the same pass that hashes them.
 
 Defined results: null and empty texts have the bias only and get its score; repeated rows
@@ -28,7 +29,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,7 +39,7 @@ from stockyard.llm.byte_runs import Runs
 from stockyard.llm.common import discard, keep_fraction, mix64, stored, text_slices
 
 BITS = 18
-MAX_ROWS = 40_000
+MAX_ROWS = 20_000
 SHARDS = 4
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 8.0, 0.1, 0.05, 0.001
@@ -49,23 +49,32 @@ _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, place, value) of the hashed n-grams of all texts, by row and place; without the
-    bias."""
+def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signed place, count) of the hashed n-grams of all texts, by row and place; the
+    last bit of a signed place is its sign."""
     runs = Runs(texts, _KIND, words=(1, 2))
     code = np.fromiter(map(xxhash.xxh3_64_intdigest, runs.words), np.uint64, len(runs.words))[runs.word] if runs.words else np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         pair = mix64(code[:-1] * np.uint64(3) + code[1:])[runs.row[1:] == runs.row[:-1]]
     row = np.r_[runs.row, runs.row[1:][runs.row[1:] == runs.row[:-1]]]
     both = np.r_[code, pair]
-    place = (both >> np.uint64(64 - BITS - 1)).astype(np.int64)  # the last bit is the sign
+    place = (both >> np.uint64(64 - BITS - 1)).astype(np.int64)
     key, count = np.unique(row * (2 << BITS) + place, return_counts=True)
-    row, place = key // (2 << BITS), key % (2 << BITS)
-    value = np.log1p(count) * np.where(place & 1, 1.0, -1.0)
+    return key // (2 << BITS), key % (2 << BITS), count
+
+
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, value) of all texts, without the bias."""
+    row, place, count = counted(texts)
+    value = _values(place, count)
     norm = np.sqrt(np.bincount(row, value * value, minlength=len(texts)))
     return row, place >> 1, value / norm[row]
 
 
+def _values(place: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return np.log1p(count) * np.where(place & 1, 1.0, -1.0)
+
+
 @dataclass
 class State:
     """The sums of the leader: ``z`` and ``n`` for each place, the bias last."""
@@ -108,29 +117,36 @@ def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
     rows = rows.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
     fraction = max_rows / max(1, rows.count())
     mixed = F.xxhash64("id", "text", "label")
-    dealt = rows.filter(keep_fraction("id", fraction)).select("text", "label", F.pmod(mixed, F.lit(shards)).cast("int").alias("shard"), mixed.alias("turn"))
+    dealt = rows.filter(keep_fraction("id", fraction)).select("text", "label", mixed.alias("turn"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, "text"):
-            row, place, value = features(b.column("text"))
+            row, place, count = counted(b.column("text"))
             cuts = np.searchsorted(row, np.arange(b.num_rows + 1)).tolist()
-            at, v = place.astype(np.int32).tobytes(), value.astype(np.float32).tobytes()
-            cut = lambda data: pa.array([data[4 * i : 4 * j] for i, j in zip(cuts, cuts[1:])], pa.binary())
-            yield pa.record_batch([b.column("shard"), b.column("turn"), b.column("label"), cut(at), cut(v)], names=["shard", "turn", "label", "place", "value"])
+            at, n = place.astype(np.int32).tobytes(), np.minimum(count, 255).astype(np.uint8).tobytes()
+            cut = lambda data, size: pa.array([data[size * i : size * j] for i, j in zip(cuts, cuts[1:])], pa.binary())
+            yield pa.record_batch([b.column("turn"), b.column("label"), cut(at, 4), cut(n, 1)], names=["turn", "label", "place", "count"])
 
-    train, path = stored(dealt.mapInArrow(hashed, "shard int, turn long, label int, place binary, value binary"), "ftrl-rows")
+    # Dealt and ordered once; each epoch reads the files as they are, without a shuffle.
+    rows_of = dealt.mapInArrow(hashed, "turn long, label int, place binary, count binary")
+    train, path = stored(rows_of.repartition(shards, "turn").sortWithinPartitions("turn", "place", "label"), "ftrl-rows")
     state = State.new()
     for _ in range(epochs):
         box = spark.sparkContext.broadcast((state.z, state.n))
 
-        def run(part: pd.DataFrame) -> pd.DataFrame:
-            own = State(*(x.copy() for x in box.value))
-            for place, value, y in part.sort_values(["turn"], kind="stable")[["place", "value", "label"]].itertuples(index=False):
-                at = np.r_[np.frombuffer(place, np.int32), 1 << BITS]
-                own.learn(at, np.r_[np.frombuffer(value, np.float32), 1.0], y)
-            return pd.DataFrame({"rows": [len(part)], "z": [own.z.tobytes()], "n": [own.n.tobytes()]})
-
-        done = train.groupBy("shard").applyInPandas(run, "rows long, z binary, n binary").collect()  # one state for each shard
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, rows = State(*(x.copy() for x in box.value)), 0
+            for b in batches:
+                for place, count, y in zip(*(b.column(c).to_pylist() for c in ("place", "count", "label"))):
+                    place, value = np.frombuffer(place, np.int32), np.frombuffer(count, np.uint8)
+                    value = _values(place, value)
+                    value /= max(1e-9, np.sqrt(value @ value))
+                    own.learn(np.r_[place >> 1, 1 << BITS], np.r_[value, 1.0], y)
+                    rows += 1
+            if rows:
+                yield pa.record_batch([pa.array([rows]), pa.array([own.z.tobytes()]), pa.array([own.n.tobytes()])], names=["rows", "z", "n"])
+
+        done = train.mapInArrow(run, "rows long, z binary, n binary").collect()  # one state for each task of a bounded table
         if not done:
             break
         share = np.array([r.rows for r in done], float) / sum(r.rows for r in done)
