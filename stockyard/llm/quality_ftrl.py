@@ -11,9 +11,9 @@ Training: each labelled row in turn gets a prediction and one update of the sums
 squares n of its places; weights follow from them in closed form, zero while |z| <= l1.
 About ``max_rows`` labelled rows are used (a documented bound; a hash of the id decides). They
 are dealt to ``shards`` files by a hash of id and text, as places and counts (255 at most);
-each epoch runs the updates of every file in its own task, starting from one common state, and
-the states are averaged (weighted by rows) on the driver: two arrays of ``2 ** BITS`` numbers
-a task. Scoring is a sparse dot
+each epoch runs the updates of every shard in its own task, starting from one common state, and
+the states are averaged (weighted by rows) on the driver: ``shards`` times two arrays of
+``2 ** BITS`` numbers. Scoring is a sparse dot
 product of each text's features with the weights, in the same pass that hashes them.
 
 Defined results: null and empty texts have the bias only and get its score; repeated rows
@@ -146,7 +146,7 @@ def fit(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
             if rows:
                 yield pa.record_batch([pa.array([rows]), pa.array([own.z.tobytes()]), pa.array([own.n.tobytes()])], names=["rows", "z", "n"])
 
-        done = train.mapInArrow(run, "rows long, z binary, n binary").collect()  # one state for each task of a bounded table
+        done = train.coalesce(shards).mapInArrow(run, "rows long, z binary, n binary").collect()  # one state a shard
         if not done:
             break
         share = np.array([r.rows for r in done], float) / sum(r.rows for r in done)
