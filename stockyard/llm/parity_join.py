@@ -12,14 +12,17 @@ Segments of rare shingles come first in that order, empty ones last; so passages
 that many documents share seldom bring documents together. The order rests on a table
 of at most ``ORDER_SIZE`` frequent shingles; it decides on work, not on results.
 
-Groups of equal segments yield candidate pairs: all pairs of small groups; from
-large ones a star, and, once the links found so far are joined to components, those
-pairs of members still apart whose sketches are within the bound: first each member's
-closest one of every other component, then, after joining again, all that are left. These are
-compared in blocks of at most ``CHUNK`` members against the streamed rest of the group, so
-no group has to fit a task. Candidates pass the Hamming bound on whole sketches, then
-the exact test on the sets. A group that may be hot by the order table is found by joins
-and aggregations that split it.
+Groups of equal segments yield candidate pairs: all pairs of groups of at most
+``SMALL_GROUP`` members, from larger ones a star: everyone with the smallest class of the group,
+its head. These pass the Hamming bound on whole sketches, then the exact test on the sets, and
+the links join classes to components. What a star leaves apart is settled within blocks, a block
+being the members of all groups with one head (every pair of a group is in the block of its
+head). A block whose members are in several components is compared in chunks against its
+streamed rest, twice: by sketches, which names the members that have another within the bound
+in some other component; then, for these, by their whole sets, which go with them. A task
+verifies its pairs itself and puts out only those links that join two trees of its own
+union-find, so a group of m members yields at most m - 1 rows a chunk, however many of its pairs
+come close to the threshold. No group has to fit a task.
 
 Equal sets are one class; a class shows its segments once per task. Classes and
 shingles are told apart by 64-bit hashes.
@@ -27,8 +30,9 @@ shingles are told apart by 64-bit hashes.
 Defined results: words are runs of other characters than space, tab, \\n, \\v, \\f,
 \\r, with A-Z lower-cased; fewer than five words are one shingle; a null text or one
 without words has the empty set, linked with nothing and its own component; rows
-with one id and several texts join their classes; a null id is passed on as its own
-component (null); other columns don't take part; an empty table gives an empty result.
+that share an id have a row each, with the component of their own text; a null id is passed on,
+links like any other, and its component is the smallest id that is not null (null if there is
+none); other columns don't take part; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,8 +52,8 @@ from stockyard.llm.components import components
 WORDS = 5
 ORDER_SIZE = 1 << 17
 HOT = 4096  # a segment whose rarest shingle is that frequent goes the way of hot groups
-SMALL_GROUP = 16
-CHUNK = 4096
+SMALL_GROUP = 4
+CHUNK_BYTES = 8 << 20  # of the sketches or sets that a task holds against the rest of a block
 MAX_BROADCAST_IDS = 500_000
 _COEF = mix64(np.arange(1, WORDS + 2, dtype=np.uint64)) | np.uint64(1)
 _RECORD = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4")])
@@ -76,7 +80,7 @@ class Sets:
         with np.errstate(over="ignore"):
             rolled = np.zeros(max(0, len(word) - WORDS + 1), np.uint64)
             for k in range(WORDS):
-                rolled += word[k : len(word) - WORDS + 1 + k] * _COEF[k]
+                rolled += word[k : k + len(rolled)] * _COEF[k]
             rolled = mix64(rolled)
             for a, b in zip(start.tolist(), start[1:].tolist()):
                 if b - a >= WORDS:
@@ -201,8 +205,8 @@ def _band(x: Sets, rows: np.ndarray, level: np.ndarray, show: np.ndarray, order:
 
 
 def _scan(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of two kinds: documents (doc, cls, n, sketch), and shingles that three or more
-    documents of a run have (cls: the shingle, n: how many)."""
+    """Rows of two kinds: documents (doc, text_hash, cls, n, sketch), and shingles that three or
+    more documents of a run have (cls: the shingle, n: how many)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, text, 8 << 20):
@@ -215,14 +219,55 @@ def _scan(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
                 [
                     pa.array([True] * k + [False] * len(seen)),
                     pa.array(ids + [None] * len(seen), pa.int64()),
+                    pa.array(b.column("__hash").to_pylist() + [None] * len(seen), pa.int64()),
                     pa.array(np.r_[x.cls, seen.view(np.int64)]),
                     pa.array(np.r_[x.size, n].astype(np.int64)),
                     pa.array(x.sketches() + [None] * len(seen), pa.binary()),
                 ],
-                names=["is_doc", "doc", "cls", "n", "sketch"],
+                names=["is_doc", "doc", "text_hash", "cls", "n", "sketch"],
             )
 
-    return documents.select(doc_id, text).mapInArrow(run, "is_doc boolean, doc long, cls long, n long, sketch binary")
+    rows = documents.select(doc_id, text, F.xxhash64(text).alias("__hash"))
+    return rows.mapInArrow(run, "is_doc boolean, doc long, text_hash long, cls long, n long, sketch binary")
+
+
+def _member_rows(members: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(members), 100_000):
+        m = members[k : k + 100_000]
+        yield pa.record_batch(
+            [pa.array(m["key"].copy().view(np.int64)), pa.array(m["cls"].copy()), pa.nulls(len(m), pa.int64()), pa.array(m["n"].astype(np.int64))],
+            names=["key", "a", "b", "n"],
+        )
+
+
+def _met(got: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the small groups and members of the large ones of a bucket's records."""
+    if not got:
+        return
+    rec = np.concatenate(got)
+    rec = rec[np.lexsort((rec["cls"], rec["key"]))]
+    same = (rec["key"][1:] == rec["key"][:-1]) & (rec["cls"][1:] == rec["cls"][:-1])
+    rec = rec[np.r_[True, ~same]]  # one class from several tasks
+    first = np.flatnonzero(np.r_[True, rec["key"][1:] != rec["key"][:-1]])
+    sizes = np.diff(np.r_[first, len(rec)])
+    group = np.repeat(np.arange(len(first)), sizes)
+    rec, group = rec[sizes[group] > 1], group[sizes[group] > 1]
+    large = sizes[group] > SMALL_GROUP
+    pairs = []
+    for d in range(1, SMALL_GROUP):
+        i = np.flatnonzero((group[:-d] == group[d:]) & ~large[:-d])
+        if not len(i):
+            break
+        small, big = np.minimum(rec["n"][i], rec["n"][i + d]), np.maximum(rec["n"][i], rec["n"][i + d])
+        i = i[4 * small.astype(np.int64) >= 3 * big.astype(np.int64)]
+        pairs.append(np.stack([rec["cls"][i], rec["cls"][i + d]], axis=1))
+    if pairs:
+        both = np.unique(np.concatenate(pairs), axis=0)
+        for k in range(0, len(both), 100_000):
+            p = both[k : k + 100_000]
+            none = pa.nulls(len(p), pa.int64())
+            yield pa.record_batch([none, pa.array(p[:, 0]), pa.array(p[:, 1]), none], names=["key", "a", "b", "n"])
+    yield from _member_rows(rec[large])
 
 
 def _candidates(documents: DataFrame, text: str, order: Order) -> DataFrame:
@@ -251,203 +296,281 @@ def _candidates(documents: DataFrame, text: str, order: Order) -> DataFrame:
                 yield from blobs(rec[hot], (mix64(rec["cls"][hot].copy().view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got, hot = [np.empty(0, _RECORD)], [np.empty(0, _RECORD)]
+        at, got = None, []  # one bucket at a time
         for b in batches:
-            for is_hot, blob in zip(b.column("hot").to_pylist(), b.column("blob").to_pylist()):
-                (hot if is_hot else got).append(np.frombuffer(blob, _RECORD))
-        rec, members = np.concatenate(got), np.concatenate(hot)
-        del got, hot
-        rec = rec[np.lexsort((rec["cls"], rec["key"]))]
-        same = (rec["key"][1:] == rec["key"][:-1]) & (rec["cls"][1:] == rec["cls"][:-1])
-        rec = rec[np.r_[True, ~same][: len(rec)]]  # one class from several tasks
-        first = np.flatnonzero(np.r_[True, rec["key"][1:] != rec["key"][:-1]][: len(rec)])
-        sizes = np.diff(np.r_[first, len(rec)])
-        group = np.repeat(np.arange(len(first)), sizes)
-        lone = sizes[group] == 1 if len(rec) else np.zeros(0, bool)
-        rec, group = rec[~lone], group[~lone]
-        large = sizes[group] > SMALL_GROUP if len(rec) else np.zeros(0, bool)
-        pairs = []
-
-        def add(i: np.ndarray, j: np.ndarray) -> None:
-            small, big = np.minimum(rec["n"][i], rec["n"][j]), np.maximum(rec["n"][i], rec["n"][j])
-            ok = (4 * small.astype(np.int64) >= 3 * big.astype(np.int64)) & (i != j)
-            pairs.append(np.stack([rec["cls"][i[ok]], rec["cls"][j[ok]]], axis=1))
-
-        for d in range(1, SMALL_GROUP):
-            i = np.flatnonzero((group[:-d] == group[d:]) & ~large[:-d]) if len(rec) > d else np.zeros(0, np.int64)
-            if not len(i):
-                break
-            add(i, i + d)
-        many = np.flatnonzero(large)
-        if len(many):
-            add(np.searchsorted(group, group[many]), many)
-            members = np.concatenate([members, rec[many]])
-        if pairs:
-            both = np.concatenate(pairs)
-            both = np.unique(np.sort(both, axis=1), axis=0)
-            for k in range(0, len(both), 100_000):
-                p = both[k : k + 100_000]
-                none = pa.nulls(len(p), pa.int64())
-                yield pa.record_batch([none, pa.array(p[:, 0]), pa.array(p[:, 1]), none], names=["key", "a", "b", "n"])
-        for k in range(0, len(members), 100_000):
-            m = members[k : k + 100_000]
-            yield pa.record_batch(
-                [pa.array(m["key"].copy().view(np.int64)), pa.array(m["cls"].copy()), pa.nulls(len(m), pa.int64()), pa.array(m["n"].astype(np.int64))],
-                names=["key", "a", "b", "n"],
-            )
+            for bucket, is_hot, blob in zip(*(b.column(c).to_pylist() for c in ("bucket", "hot", "blob"))):
+                rec = np.frombuffer(blob, _RECORD)
+                if is_hot:
+                    yield from _member_rows(rec)
+                    continue
+                if bucket != at:
+                    yield from _met(got)
+                    at, got = bucket, []
+                got.append(rec)
+        yield from _met(got)
 
     shown = documents.select(text).mapInArrow(show, "bucket int, hot boolean, blob binary")
-    return shown.repartition(parts, "bucket").mapInArrow(meet, "key long, a long, b long, n long")
+    dealt = shown.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(meet, "key long, a long, b long, n long")
+
+
+def _sets(classes: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(cls, items): the whole sets of ``classes`` (cls, rep), one row each. Texts are found by
+    the smallest id of the class; classes without an id among all rows that have none."""
+    needed = written(classes.select(F.col("rep").alias("__id")).distinct(), "near-ids")
+    some = needed.filter("__id is not null")
+    if some.count() <= MAX_BROADCAST_IDS:  # 8 bytes each; more are joined
+        some = F.broadcast(some)
+    rows = documents.select(doc_id, text)
+    found = rows.join(some, F.col(doc_id) == F.col("__id")).select(text)
+    if not needed.filter("__id is null").isEmpty():
+        found = found.unionByName(rows.filter(F.col(doc_id).isNull()).select(text))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
+        for b in text_slices(batches, text):
+            x = Sets(b.column(text))
+            raw, at = x.flat.tobytes(), (x.start * 8).tolist()
+            fresh = [k for k, c in enumerate(x.cls.tolist()) if x.size[k] and not (c in done or done.add(c))]
+            items = [raw[at[k] : at[k + 1]] for k in fresh]
+            yield pa.record_batch([pa.array(x.cls[fresh]), pa.array(items, pa.binary())], names=["cls", "items"])
+
+    whole = found.mapInArrow(sets, "cls long, items binary").join(classes.select("cls"), "cls", "left_semi")
+    return whole.groupBy("cls").agg(F.first("items").alias("items"))  # a row that repeats, from several tasks
+
+
+def _similar(s: bytes, t: bytes) -> bool:
+    s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+    shared = len(np.intersect1d(s, t, assume_unique=True))
+    return 100 * shared >= 75 * (len(s) + len(t) - shared)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Of the pairs (a, b) of classes those that are similar, as (u, v) of their smallest
-    documents."""
-    side = lambda s: classes.select(F.col("cls").alias(s), F.col("rep").alias(f"{s}_id"), F.col("n").alias(f"{s}_n"), F.col("sketch").alias(f"{s}_sketch"))
+    """Of the pairs (a, b) of classes those that are similar, as (u, v)."""
+    side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"{s}_n"), F.col("sketch").alias(f"{s}_sketch"))
     known = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [b.column(c).to_pylist() for c in ("a_sketch", "b_sketch", "a_n", "b_n")]
             ok = [4 * min(m, n) >= 3 * max(m, n) and distance(s, t) <= bound(m, n) for s, t, m, n in zip(*cols)]
-            yield pa.record_batch([b.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b", "a_id", "b_id")], names=["a", "b", "a_id", "b_id"])
-
-    left = written(known.mapInArrow(near, "a long, b long, a_id long, b_id long"), "near-pairs")
-    needed = left.select(F.col("a_id").alias("__id")).unionByName(left.select(F.col("b_id").alias("__id"))).distinct()
-    needed = written(needed, "near-ids")
-    if needed.count() <= MAX_BROADCAST_IDS:  # 8 bytes each; more are joined
-        needed = F.broadcast(needed)
-    some = documents.select(doc_id, text).join(needed, F.col(doc_id) == F.col("__id")).select(text)
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, text):
-            x = Sets(b.column(text))
-            raw, at = x.flat.tobytes(), (x.start * 8).tolist()
-            yield pa.record_batch([pa.array(x.cls), pa.array([raw[i:j] for i, j in zip(at, at[1:])], pa.binary())], names=["cls", "items"])
+            yield pa.record_batch([b.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
-    whole = some.mapInArrow(sets, "cls long, items binary")
+    left = written(known.mapInArrow(near, "a long, b long"), "near-pairs")
+    ends = left.select(F.col("a").alias("cls")).unionByName(left.select(F.col("b").alias("cls"))).distinct()
+    whole = written(_sets(classes.join(ends, "cls", "left_semi").select("cls", "rep"), documents, doc_id, text), "near-sets")
     both = left.join(whole.select(F.col("cls").alias("a"), F.col("items").alias("x")), "a").join(whole.select(F.col("cls").alias("b"), F.col("items").alias("y")), "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = []
-            for s, t in zip(b.column("x").to_pylist(), b.column("y").to_pylist()):
-                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-                shared = len(np.intersect1d(s, t, assume_unique=True))
-                ok.append(100 * shared >= 75 * (len(s) + len(t) - shared))
-            yield pa.record_batch([b.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a_id", "b_id")], names=["u", "v"])
+            ok = [_similar(s, t) for s, t in zip(b.column("x").to_pylist(), b.column("y").to_pylist())]
+            yield pa.record_batch([b.column(c).filter(pa.array(ok, pa.bool_())) for c in ("a", "b")], names=["u", "v"])
 
-    return both.select("a_id", "b_id", "x", "y").mapInArrow(exact, "u long, v long")
+    return both.select("a", "b", "x", "y").mapInArrow(exact, "u long, v long")
 
 
-def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that
-    links lead to)."""
-    spark = documents.sparkSession
+def _linked(documents: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents (doc, text_hash, cls, n), and (node, root): the component of every class
+    that has a link."""
     scan = written(_scan(documents, doc_id, text), "shingle-sets")
-    docs = scan.filter("is_doc").select("doc", "cls", "n", "sketch")
+    docs = scan.filter("is_doc").select("doc", "text_hash", "cls", "n", "sketch")
     frequent = scan.filter("not is_doc").groupBy("cls").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "cls").limit(ORDER_SIZE)
     rows = frequent.toArrow()  # at most ORDER_SIZE rows
     order = Order(rows.column("cls").to_numpy().view(np.uint64), rows.column("n").to_numpy())
-    # A class is known by its smallest document; sizes and sketches follow from the class.
-    classes = docs.filter("n > 0 and doc is not null").groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    # A class's text is found by its smallest document; sizes and sketches follow from the class.
+    classes = docs.filter("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     classes = written(classes, "classes")
     found = written(_candidates(documents, text, order), "candidates")
     members = found.filter("b is null").select("key", F.col("a").alias("cls"), "n")
-    # Hot groups: everyone with the smallest class of the group.
-    heads = members.groupBy("key").agg(F.min("cls").alias("a"))
-    star = members.join(heads, "key").filter("cls <> a").select("a", F.col("cls").alias("b"))
+    # Large groups: everyone with the smallest class of the group, once for all groups it heads.
+    heads = members.groupBy("key").agg(F.min("cls").alias("head"))
+    blocks = written(members.join(heads, "key").select("head", "cls").distinct(), "near-blocks")
+    star = blocks.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))
     pairs = found.filter("b is not null").select("a", "b").unionByName(star).distinct()
     edges = _verified(pairs, classes, documents, doc_id, text)
-    # Copies join the smallest document of their class.
-    same_id = docs.filter("n > 0").join(classes.select("cls", "rep"), "cls").filter("doc <> rep").select(F.col("doc").alias("u"), F.col("rep").alias("v"))
-    roots = written(components(written(edges.unionByName(same_id), "near-edges")), "near-roots")
-    # First each member's closest one of every other component, then all that are left.
-    for closest in (True, False):
-        rest = _apart(members, classes, roots, closest)
-        if rest.isEmpty():
-            break
-        more = written(_verified(rest, classes, documents, doc_id, text), "near-edges")
-        # The components so far stand for the links that made them.
-        known = roots.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = written(components(known.unionByName(more)), "near-roots")
-    out = docs.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles")).join(roots, F.col(doc_id) == F.col("node"), "left")
-    same = F.when(F.col("n_shingles") > 0, F.coalesce("root", doc_id)).otherwise(F.col(doc_id))
-    return out.select(doc_id, "n_shingles", same.alias("component_id"))
-
-
-def _apart(members: DataFrame, classes: DataFrame, roots: DataFrame, closest: bool) -> DataFrame:
-    """Pairs of members of a large group that are in different components so far and whose
-    sketches are within the bound; with ``closest``, of a member and one component only
-    the pair with the nearest sketch in each batch."""
-    of = classes.select("cls", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("cls", F.coalesce("root", "rep").alias("root"))
-    placed = members.join(of, "cls")
-    split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed = written(placed.join(split, "key", "left_semi"), "near-apart")
-    # The largest component of a group is compared with the others only.
-    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    per_key = sizes.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), (F.sum("m") - F.max("m")).alias("others"))
-    rows = placed.join(per_key, "key").join(classes.select("cls", "sketch"), "cls")
-    chunks = F.ceil(F.col("others") / CHUNK).cast("int")
-    own = rows.filter("root <> main").select("key", F.pmod(F.xxhash64("cls"), chunks).cast("int").alias("chunk"), F.lit(0).alias("side"), "cls", "n", "root", "sketch")
-    all_ = rows.select("key", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(1).alias("side"), "cls", "n", "root", "sketch")
-    n = partitions(members.sparkSession)
-    dealt = own.unionByName(all_).repartition(n, "key", "chunk").sortWithinPartitions("key", "chunk", "side")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # the members of the chunk at hand
-        at, others = None, None
-        for b in batches:
-            key, chunk, side = (b.column(c).to_numpy() for c in ("key", "chunk", "side"))
-            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]) | (side[1:] != side[:-1])])
-            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)]):
+    roots = written(components(written(edges, "near-edges")), "near-roots")
+    rest = _apart(blocks, classes, roots, "sketch", CHUNK_BYTES, _has_near)
+    if rest is not None:
+        rest = written(rest.distinct(), "near-rest")  # (head, cls)
+        ends = classes.join(rest.select("cls").distinct(), "cls", "left_semi")
+        whole = written(_sets(ends.select("cls", "rep"), documents, doc_id, text), "near-sets")
+        sized = classes.select("cls", "n").join(whole, "cls")
+        more = _apart(rest, sized, roots, "items", CHUNK_BYTES, _joining)
+        if more is not None:
+            # The components so far stand for the links that made them.
+            known = roots.filter("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+            more = written(more.select(F.col("head").alias("u"), F.col("cls").alias("v")), "near-edges")
+            roots = written(components(known.unionByName(more)), "near-roots")
+    return docs.drop("sketch"), roots
+
+
+def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that
+    links lead to)."""
+    docs, roots = _linked(documents, doc_id, text)
+    placed = docs.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+    least = placed.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
+    out = placed.join(least, "root", "left")
+    return out.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+
+
+def _apart(blocks: DataFrame, classes: DataFrame, roots: DataFrame, load: str, chunk_bytes: int, compare) -> DataFrame | None:
+    """What ``compare`` finds, as (head, cls), in the blocks (head, cls) with members of several
+    components: for each chunk, members outside the block's largest component (whose ``load``s
+    have ``chunk_bytes`` together) against all. None if there is no such block."""
+    of = classes.select("cls").join(roots, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("root", "cls").alias("root"))
+    placed = blocks.join(of, "cls")
+    split = placed.groupBy("head").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("head")
+    placed = placed.join(split, "head", "left_semi").join(classes.select("cls", "n", F.octet_length(load).alias("size")), "cls")
+    placed = written(placed, "near-apart")
+    if placed.isEmpty():
+        return None
+    sizes = placed.groupBy("head", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("size"))
+    most = F.max(F.struct("m", "root", "size"))
+    per = sizes.groupBy("head").agg(most.alias("main"), F.sum("size").alias("all"))
+    per = per.select("head", F.col("main.root").alias("main"), F.ceil((F.col("all") - F.col("main.size")) / chunk_bytes).cast("int").alias("chunks"))
+    rows = placed.join(per, "head").join(classes.select("cls", load), "cls")
+    own = rows.filter("root <> main").select("head", F.pmod(F.xxhash64("cls"), "chunks").cast("int").alias("chunk"), F.lit(0).alias("side"), "cls", "n", "root", load)
+    all_ = rows.select("head", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("side"), "cls", "n", "root", load)
+    dealt = own.unionByName(all_).repartition(partitions(blocks.sparkSession), "head", "chunk").sortWithinPartitions("head", "chunk", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, work = None, [], None
+        for b in text_slices(batches, load):
+            head, chunk, side = (b.column(c).to_numpy() for c in ("head", "chunk", "side"))
+            cuts = np.flatnonzero(np.r_[True, (head[1:] != head[:-1]) | (chunk[1:] != chunk[:-1]) | (side[1:] != side[:-1])])
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(head)]):
+                if at != (head[i], chunk[i]):
+                    if work is not None:
+                        yield from _found(at[0], work.end())
+                    at, held, work = (head[i], chunk[i]), [], None
                 part = [b.column(c).slice(i, j - i) for c in ("cls", "n", "root")]
-                rows = (*(x.to_numpy() for x in part), b.column("sketch").slice(i, j - i).to_pylist())
-                if at != (key[i], chunk[i]):
-                    at, held, others = (key[i], chunk[i]), [], None
+                rows = (*(x.to_numpy() for x in part), b.column(load).slice(i, j - i).to_pylist())
                 if side[i] == 0:
                     held.append(rows)
-                    continue
-                if not held:  # a chunk that no member was dealt to
-                    continue
-                if others is None:
-                    cls, size, root, sketch = zip(*held)
-                    others = (np.concatenate(cls), np.concatenate(size), np.concatenate(root), [x for part in sketch for x in part])
-                pairs = _near(others, rows, closest)
-                if len(pairs):
-                    yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                elif held:  # else no member was dealt to this chunk
+                    if work is None:
+                        work = compare(_side(held))
+                    yield from _found(at[0], work.against(_side([rows])))
+        if work is not None:
+            yield from _found(at[0], work.end())
 
-    return written(dealt.mapInArrow(compare, "a long, b long").distinct(), "near-rest")
+    return dealt.mapInArrow(run, "head long, cls long")
 
 
-def _folded(sketches: list[bytes], words: int) -> np.ndarray:
-    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in sketches])
+def _found(head: int, pairs: list[tuple[int | None, int]]) -> Iterator[pa.RecordBatch]:
+    if pairs:
+        first = [head if a is None else a for a, _ in pairs]
+        yield pa.record_batch([pa.array(first, pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["head", "cls"])
+
+
+def _side(parts: list[tuple]) -> tuple:
+    cls, n, root, load = zip(*parts)
+    return np.concatenate(cls), np.concatenate(n).astype(np.int64), np.concatenate(root), [x for part in load for x in part]
+
+
+def _near(x: tuple, y: tuple, sx: np.ndarray, sy: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(index in x, index in y, distance) of pairs of different components whose sketches are
+    within the bound, some at a time."""
+    step = max(1, (1 << 21) // max(1, sx.size))
+    for k in range(0, len(sy), step):
+        far = np.bitwise_count(sx[:, None, :] ^ sy[None, k : k + step, :]).sum(axis=2, dtype=np.int64)
+        m, n = x[1][:, None], y[1][None, k : k + step]
+        i, j = np.nonzero((far <= bound(m, n)) & (4 * np.minimum(m, n) >= 3 * np.maximum(m, n)) & (x[2][:, None] != y[2][None, k : k + step]))
+        yield i, k + j, far[i, j]
+
+
+class _has_near:
+    """Names the members of a chunk and of the rest that come within the bound of a member of
+    another component, by their sketches."""
+
+    def __init__(self, held: tuple):
+        self.held, self.near = held, set()
+        self.words = min(map(len, held[3])) // 8
+        self.sketch = _folded(held[3], self.words)
 
+    def against(self, rest: tuple) -> list[tuple[None, int]]:
+        words = min(self.words, min(map(len, rest[3])) // 8)
+        sx = self.sketch if words == self.words else _folded(self.held[3], words)
+        found: set[int] = set()
+        for i, j, _ in _near(self.held, rest, sx, _folded(rest[3], words)):
+            self.near.update(self.held[0][np.unique(i)].tolist())
+            found.update(rest[0][np.unique(j)].tolist())
+        return [(None, c) for c in found]
 
-def _near(x: tuple, y: tuple, closest: bool) -> np.ndarray:
-    """Pairs (class of x, class of y), smaller first, of different components and within
-    the bound; with ``closest``, one for each x and component of y."""
-    words = min(map(len, [*x[3], *y[3]])) // 8
-    xs, ys = _folded(x[3], words), _folded(y[3], words)
-    step = max(1, (1 << 21) // (len(xs) * words))
-    out = []
-    for k in range(0, len(ys), step):
-        far = np.bitwise_count(xs[:, None, :] ^ ys[None, k : k + step, :]).sum(axis=2, dtype=np.int64)
-        m, n = x[1][:, None].astype(np.int64), y[1][None, k : k + step].astype(np.int64)
-        ok = (far <= bound(m, n)) & (4 * np.minimum(m, n) >= 3 * np.maximum(m, n)) & (x[2][:, None] != y[2][None, k : k + step])
-        i, j = np.nonzero(ok)
-        if closest and len(i):
-            by = np.lexsort((far[i, j], y[2][k + j], i))
-            i, j = i[by], j[by]
-            root = y[2][k + j]
-            new = np.r_[True, (i[1:] != i[:-1]) | (root[1:] != root[:-1])]
-            i, j = i[new], j[new]
-        out.append(np.stack([x[0][i], y[0][k + j]], axis=1))
-    return np.sort(np.concatenate(out), axis=1)
+    def end(self) -> list[tuple[None, int]]:
+        return [(None, c) for c in self.near]
+
+
+class _joining:
+    """Links between members of a chunk and the rest that join two trees, verified on whole
+    sets. Sketches of 16 bits a shingle, made for the chunk at hand, come before the sets."""
+
+    def __init__(self, held: tuple):
+        self.held, self.parent = held, {}
+        self.level = _level(held[1])
+
+    def root(self, x: int) -> int:
+        while self.parent.setdefault(x, x) != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def against(self, rest: tuple) -> list[tuple[int, int]]:
+        out = []
+        levels = _level(rest[1])
+        for level in np.unique(self.level).tolist():
+            mine, theirs = np.flatnonzero(self.level == level), np.flatnonzero(abs(levels - level) <= 1)
+            if not len(theirs):
+                continue
+            x, y = _picked(self.held, mine), _picked(rest, theirs)
+            bits = 16 << (2 * (level + 1))
+            for i, j, far in _near(x, y, _fine(x[3], bits), _fine(y[3], bits)):
+                for k in np.argsort(far, kind="stable").tolist():  # the closest first: they join most
+                    a, b = int(i[k]), int(j[k])
+                    u, v = self.root(int(x[2][a])), self.root(int(y[2][b]))
+                    if u != v and _similar(x[3][a], y[3][b]):
+                        self.parent[max(u, v)] = min(u, v)
+                        out.append((int(x[0][a]), int(y[0][b])))
+        return out
+
+    def end(self) -> list[tuple[int, int]]:
+        return []
+
+
+def _picked(side: tuple, at: np.ndarray) -> tuple:
+    return side[0][at], side[1][at], side[2][at], [side[3][k] for k in at.tolist()]
+
+
+def _fine(sets: list[bytes], bits: int) -> np.ndarray:
+    """Parity sketches of ``bits`` bits of whole sets."""
+    out = np.zeros((len(sets), bits // 64), np.uint64)
+    for k, items in enumerate(sets):
+        place = np.frombuffer(items, np.uint64) & np.uint64(bits - 1)
+        np.bitwise_xor.at(out[k], (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out
+
+
+def _folded(sketches: list[bytes], words: int) -> np.ndarray:
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in sketches])
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the smallest id of their component (null ids stay)."""
-    gone = near_duplicates(documents, doc_id, text).filter(F.col(doc_id) != F.col("component_id"))
-    gone = gone.select(F.col(doc_id).alias("__id")).distinct()
-    return documents.join(gone, F.col(doc_id) == F.col("__id"), "left_anti")
+    """One row of each group of near duplicates: that of the smallest id (null ids last; then by
+    a hash of the text), decided by id and text together, so another text under the same id has
+    its own fate. Of rows that repeat both, one stays. Rows without words stay."""
+    docs, roots = _linked(documents, doc_id, text)
+    placed = docs.filter("n > 0").join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+    rows = written(placed.groupBy("root", "doc", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "near-rows")
+    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash")
+    best = rows.groupBy("root").agg(F.min(first).alias("best")).select("root", F.col("best.doc").alias("best_doc"), F.col("best.text_hash").alias("best_hash"))
+    judged = rows.join(best, "root").withColumn("stays", F.col("doc").eqNullSafe(F.col("best_doc")) & (F.col("text_hash") == F.col("best_hash")))
+    same = lambda df: [F.col(doc_id).eqNullSafe(F.col("__id")), F.xxhash64(text) == F.col("__hash")]
+    named = judged.select(F.col("doc").alias("__id"), F.col("text_hash").alias("__hash"), "stays", "rows")
+    gone = written(named.filter(~F.col("stays")).select("__id", "__hash"), "near-gone")
+    kept = documents.join(gone, same(gone), "left_anti")
+    again = written(named.filter(F.col("stays") & (F.col("rows") > 1)).select("__id", "__hash"), "near-again")
+    if again.isEmpty():
+        return kept
+    repeated = kept.join(again, same(again), "left_semi").withColumn("__hash", F.xxhash64(text)).dropDuplicates([doc_id, "__hash"])
+    return kept.join(again, same(again), "left_anti").unionByName(repeated.drop("__hash"))

@@ -95,11 +95,11 @@ def brute_components(rows):
     return sorted([(i, len(s), find(i) if i is not None else None) for i, s in sets], key=str)
 
 
-@pytest.mark.parametrize("small,hot,chunk", [(16, 4096, 4096), (2, 4096, 3), (2, 3, 2)])
+@pytest.mark.parametrize("small,hot,chunk", [(4, 4096, 8 << 20), (2, 4096, 300), (2, 3, 100)])
 def test_parity_join(docs_of, corpus, monkeypatch, small, hot, chunk):
     monkeypatch.setattr(parity_join, "SMALL_GROUP", small)
     monkeypatch.setattr(parity_join, "HOT", hot)
-    monkeypatch.setattr(parity_join, "CHUNK", chunk)
+    monkeypatch.setattr(parity_join, "CHUNK_BYTES", chunk)
     out = parity_join.near_duplicates(docs_of(corpus))
     assert sorted([tuple(r) for r in out.collect()], key=str) == brute_components(corpus)
 
