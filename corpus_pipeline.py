@@ -5,7 +5,9 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 stage's rows as Parquet to the shared checkpoint folder and rereads them as the next
 one's docs, so a lost executor never costs more than the current stage. All stages
 but the last keep the columns of ``documents``; the last adds the digests of the
-SentencePiece round trip. Null texts pass every filter; rows that repeat count each.
+SentencePiece round trip. Null texts pass every filter. Rows are judged by their text, also
+where ids are null or repeat; of rows that repeat id and text, and of near duplicates whatever
+their ids, one stays.
 """
 
 from __future__ import annotations
@@ -36,10 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a benchmark item (operator 2)."""
-    found = benchmark_lsi.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    leaked = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """Drop the documents that hold a benchmark item (operator 2), each by its own text: the
+    operator is asked by a hash of it, so rows without an id or with a repeated one are told apart."""
+    rows = docs.select(F.xxhash64("text").alias("__hash"), "text")
+    found = benchmark_lsi.contaminated(rows, table(spark, sf_dir, "benchmark"), doc_id="__hash")
+    leaked = found.select("__hash").distinct()
+    return docs.join(leaked, F.xxhash64("text") == F.col("__hash"), "left_anti")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

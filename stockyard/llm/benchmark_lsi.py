@@ -10,12 +10,17 @@ the Nystroem formula turns that into singular vectors on the driver (at most a t
 as there are terms, or blocks with terms). Passages and items are projected, each direction scaled by its singular value, and pairs of
 cosine ``min_cosine`` or more are candidates.
 
-The cosine decides nothing alone: a text that is itself frequent has a weak direction, so
-its copies may lie far from it. Hence every region that could count is a candidate too,
-whatever its cosine. An item's *probe* is its rarest words, so many that a region with
+The cosine is the search. One kind of item it can't be trusted with: a text that is itself
+frequent has a weak direction, and its words weigh little, so its copies may lie far from it.
+Which items these are is known from the words' frequencies (even the item's ``least`` rarest
+words are in more than ``FREQUENT`` of all blocks); for them alone, regions are found by
+counting as well. The *probe* of such an item is its rarest words, so many that a region with
 the least share of the item that counts has ``MARGIN`` of the item's words in the probe
-at least; regions with so many words of a probe are found by counting. The pairs
-found are those of a search of every region for every item.
+at least.
+
+Before any product, a passage is compared only with items of which it can hold the least share
+that counts: it needs as many weighted words as that share leaves when all the item's
+unweighted words are there.
 
 A candidate counts as contaminated if the longest common subsequence of words covers
 ``copied`` of the item, or ``reworded`` of it while the item's answer (its last
@@ -50,6 +55,8 @@ MARKS = ".,;:!?\"'()[]{}«»¿¡…|#$%&*"
 BLOCK = 16
 RANK, EXTRA = 320, 16
 MARGIN = 0.2
+FREQUENT = 0.00025  # of all blocks, and 20 at least
+_NEVER = 1 << 40
 _SENTENCE = re.compile(r"[.!?:\n]+")
 
 
@@ -59,7 +66,7 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class Item:
-    item_id: int | None
+    item_id: object
     words: list[str]
     answer: list[str]
 
@@ -144,11 +151,16 @@ class Probes:
     need: np.ndarray  # by item
 
     @staticmethod
-    def of(bench: Benchmark, df: np.ndarray, least_share: float) -> Probes:
+    def of(bench: Benchmark, df: np.ndarray, least_share: float, above: float, rarest: int) -> Probes:
+        """Probes of the items whose ``rarest`` rarest words are in more than ``above`` blocks."""
         at = {w: k for k, w in enumerate(bench.terms)}
         entries, need = [], []
         for k, item in enumerate(bench.items):
             n = len(item.words)
+            own = sorted(df[at[w]] for w in set(item.words))[:rarest]
+            if own[-1] <= above:
+                need.append(_NEVER)
+                continue
             least = max(1, math.ceil(least_share * n - 1e-9))
             margin = min(least, max(1, math.ceil(MARGIN * n)))
             times = Counter(at[w] for w in item.words)
@@ -159,7 +171,7 @@ class Probes:
                 entries.append((t, k, times[t]))
                 probed += times[t]
             need.append(probed - (n - least))
-        term, of, words = (np.array(x, np.int64) for x in zip(*sorted(entries)))
+        term, of, words = np.array(sorted(entries), np.int64).reshape(-1, 3).T
         start = np.searchsorted(term, np.arange(len(bench.terms) + 1))
         return Probes(start, of, words, np.array(need))
 
@@ -299,7 +311,17 @@ def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np
     return (u / np.maximum(s / s.max(), 1e-6)).astype(np.float32)
 
 
-def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes: Probes, rank: int, extra: int, min_cosine: float) -> DataFrame:
+def _floor(words: int) -> int:
+    """Items are searched in groups of alike floors: 1, 2, 4, 6, 9, 13, ... words."""
+    steps = [1, 2, 4]
+    while steps[-1] < words:
+        steps.append(steps[-1] * 3 // 2)
+    return max(x for x in steps if x <= words)
+
+
+def _candidates(
+    compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes: Probes, rank: int, extra: int, min_cosine: float, least_share: float
+) -> DataFrame:
     """(doc, block, item, cosine): passages that begin at ``block`` near an item, or
     with enough of its probe."""
     at = {bench.terms[k]: j for j, k in enumerate(np.flatnonzero(weight))}
@@ -308,14 +330,17 @@ def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes
     queries = np.stack([basis[[at[w] for w in i.words if w in at]].sum(0) for i in bench.items])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
     spans = np.array([bench.span(i) for i in bench.items])
-    by_span = {int(m): np.flatnonzero(spans == m) for m in np.unique(spans)}
-    # A passage shares few terms with an item if it has few at all.
-    floor = min(3, *(len({w for w in i.words if w in at}) for i in bench.items)) if len(bench.items) > 1 else 1
-    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, floor, probes))
+    # How many weighted words a passage with the least share of an item has.
+    floors = np.array([max(1, sum(w in at for w in i.words) - math.floor((1 - least_share) * len(i.words) + 1e-9)) for i in bench.items])
+    groups = sorted({(int(m), _floor(int(f))) for m, f in zip(spans, floors)})
+    by_span: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for m, f in groups:
+        by_span.setdefault(m, []).append((f, np.flatnonzero((spans == m) & (np.array([_floor(int(x)) for x in floors]) == f))))
+    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, probes))
     kind = compact.schema["doc"].dataType.simpleString()
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, queries, spans, by_span, floor, probes = box.value
+        basis, queries, spans, by_span, probes = box.value
         widest = max(by_span)
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
@@ -352,17 +377,18 @@ def _candidates(compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes
                             [b.column("doc").take(pa.array(sure_row[x])), pa.array(sure_block[x].astype(np.int32)), pa.array(sure_item[x].astype(np.int32)), pa.array(cos.astype(np.float64))],
                             names=["doc", "block", "item", "cosine"],
                         )
-                    some = np.flatnonzero(count >= floor)
-                    for j in range(0, len(some), 8192):
-                        at = some[j : j + 8192]
-                        p = sums[at]
-                        cos = (p @ queries[by_span[m]].T) / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
-                        x, q = np.nonzero(cos >= min_cosine)
-                        if len(x):
-                            yield pa.record_batch(
-                                [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(by_span[m][q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
-                                names=["doc", "block", "item", "cosine"],
-                            )
+                    for floor, items in by_span[m]:
+                        some = np.flatnonzero(count >= floor)
+                        for j in range(0, len(some), 8192):
+                            at = some[j : j + 8192]
+                            p = sums[at]
+                            cos = (p @ queries[items].T) / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
+                            x, q = np.nonzero(cos >= min_cosine)
+                            if len(x):
+                                yield pa.record_batch(
+                                    [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
+                                    names=["doc", "block", "item", "cosine"],
+                                )
 
     return compact.mapInArrow(near, f"doc {kind}, block int, item int, cosine double")
 
@@ -396,9 +422,10 @@ def matches(item: Item, region: list[str], copied: float, reworded: float) -> fl
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", common: float = 0.002, least: int = 8, rank: int = RANK, extra: int = EXTRA,
-    min_cosine: float = 0.45, copied: float = 0.75, reworded: float = 0.6,
+    min_cosine: float = 0.45, copied: float = 0.75, reworded: float = 0.6, frequent: float = FREQUENT,
 ) -> DataFrame:
-    """doc_id, item_id, cosine and coverage of every contaminated pair."""
+    """doc_id, item_id, cosine and coverage of every contaminated pair. ``frequent``: above which
+    share of blocks an item's words have it counted too; 1 for the cosine alone."""
     spark = documents.sparkSession
     rows = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).collect()  # the query set
     bench = Benchmark.of(rows)
@@ -407,7 +434,8 @@ def contaminated(
         return spark.createDataFrame([], f"{doc_id} {kind}, {item_id} {item_kind}, cosine double, coverage double")
     df, n = _frequencies(documents, bench, text)
     weight = _weights(bench, df, n, common, least)
-    probes = Probes.of(bench, df, min(copied, reworded))
+    least_share = min(copied, reworded)
+    probes = Probes.of(bench, df, least_share, max(20, frequent * n) if frequent < 1 else n, least)
     used = weight > 0
     # Terms that are only probed come last.
     terms = np.r_[np.flatnonzero(used), np.flatnonzero(~used & (np.diff(probes.start) > 0))]
@@ -415,7 +443,7 @@ def contaminated(
     # With as many directions as terms or blocks, each block would be a direction of its own,
     # and a reworded passage as far from its item as any other.
     rank = min(rank, max(1, min(int(used.sum()), n, int(df[used].sum())) // 3))
-    found = written(_candidates(compact, bench, weight, probes.take(terms), rank, extra, min_cosine), "lsi-candidates")
+    found = written(_candidates(compact, bench, weight, probes.take(terms), rank, extra, min_cosine, least_share), "lsi-candidates")
     # One row a document: which passages and items to look at.
     todo = found.groupBy("doc").agg(F.collect_list(F.struct("block", "item", "cosine")).alias("todo"))
     joined = documents.select(doc_id, text).join(todo, F.col(doc_id).eqNullSafe(F.col("doc"))).select(doc_id, text, "todo")
@@ -438,12 +466,14 @@ def contaminated(
                     share = matches(item, region, copied, reworded)
                     if share:
                         docs.append(d)
-                        items.append(item.item_id)
+                        items.append(k)
                         cosines.append(cosine)
                         shares.append(share)
-            kinds = [b.schema.field(doc_id).type, pa.int64(), pa.float64(), pa.float64()]
+            kinds = [b.schema.field(doc_id).type, pa.int32(), pa.float64(), pa.float64()]
             yield pa.record_batch([pa.array(v, k) for v, k in zip((docs, items, cosines, shares), kinds)], names=["doc", "item", "cosine", "coverage"])
 
-    good = joined.mapInArrow(check, f"doc {kind}, item long, cosine double, coverage double")
-    best = good.groupBy("doc", "item").agg(F.max("cosine").alias("cosine"), F.max("coverage").alias("coverage"))
-    return best.select(F.col("doc").alias(doc_id), F.col("item").cast(item_kind).alias(item_id), "cosine", "coverage")
+    good = joined.mapInArrow(check, f"doc {kind}, item int, cosine double, coverage double")
+    names = spark.createDataFrame([(k, i.item_id) for k, i in enumerate(bench.items)], f"item int, name {item_kind}")
+    named = good.join(F.broadcast(names), "item")  # one row an item of the query set, which the tasks hold anyway
+    best = named.groupBy("doc", "name").agg(F.max("cosine").alias("cosine"), F.max("coverage").alias("coverage"))
+    return best.select(F.col("doc").alias(doc_id), F.col("name").alias(item_id), "cosine", "coverage")
