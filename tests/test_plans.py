@@ -348,7 +348,7 @@ def test_scans_are_pruned_and_filters_pushed(spark, small_tables):
 
 
 def test_no_driver_collect_in_library():
-    pattern = re.compile(r"\.(collect|toPandas|toLocalIterator)\(")
+    pattern = re.compile(r"\.(collect|toPandas|toLocalIterator|toArrow)\(")
     offenders = []
     for dirpath, dirs, files in os.walk(os.path.join(ROOT, "stockyard")):
         # The corpus operators collect tables of stated bounds (models, filters).
@@ -372,39 +372,6 @@ def test_jdbc_refuses_a_growing_table_without_partitioning(spark, monkeypatch):
     assert read == [("nation", None), ("orders", ranges)]
 
 
-#: The collects of the corpus operators, by file and line; each is bounded by a parameter,
-#: the benchmark, the sample or the model.
-LLM_COLLECTS = [
-    ("benchmark_lsi.py", 'rows = documents.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()'),
-    ("benchmark_lsi.py", 'for r in sums.collect():  # terms x width in all, bounded by the benchmark'),
-    ("benchmark_lsi.py", 'rows = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).collect()  # the query set'),
-    ("language_ppm.py", 'known = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one row a language'),
-    ("language_ppm.py", 'for r in count_grams(some, lang, text).filter(F.col("n") > 1).toLocalIterator():'),
-    ("line_dedup.py", 'for c, t in merged.collect():  # at most 2 * max_bits / 8 bytes in all'),
-    ("line_dedup.py", 'rows = keys.select("h1", "h2", "first.doc", "first.line").collect()  # bounded just above'),
-    ("quality_rules.py", 'rows = [(tuple(r[s] for s in STATISTICS), r["__y"] == 0, r["__p"], r["__n"]) for r in counted.collect()]  # at most max_rows'),
-    ("toxicity.py", 'n = {int(r[0]): r[1] for r in rows.groupBy(label).count().collect()}'),
-    ("toxicity.py", 'names = sorted({r.name for r in chosen.collect()} | set(_PEERS))'),
-    ("toxicity.py", 'sample = some.select(text, "__y").mapInArrow(vectors, "y int, n_words long, f array<long>, c array<long>, swaps array<string>").collect()'),
-]
-
-
-def _collects(folder):
-    pattern = re.compile(r"\.(collect|toPandas|toLocalIterator)\(")
-    found = []
-    for f in sorted(os.listdir(folder)):
-        if f.endswith(".py"):
-            with open(os.path.join(folder, f)) as lines:
-                found += [(f, line.strip()) for line in lines if pattern.search(line)]
-    return found
-
-
-def test_driver_collects_of_the_corpus_operators_are_listed(tmp_path):
-    assert _collects(os.path.join(ROOT, "stockyard", "llm")) == LLM_COLLECTS
-    (tmp_path / "new.py").write_text("rows = documents.collect()\n")
-    assert _collects(tmp_path) == [("new.py", "rows = documents.collect()")]
-
-
 def test_parquet_tables_load_at_every_size(spark):
     for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
         t = Tables.from_parquet(spark, sf)
