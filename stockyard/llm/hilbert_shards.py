@@ -1,7 +1,8 @@
 """Operator 5 [native]: shards along a Hilbert curve over several metadata dimensions.
 
-Each dimension is quantised into ``2**bits`` cells by its own quantiles (strings
-by their order), the cell coordinates give an index on the Hilbert curve, rows
+Each dimension is quantised into ``2**bits`` cells by its own quantiles (strings by
+their order as whole values: distinct values with their counts, sorted, and the share of rows
+before each of them), the cell coordinates give an index on the Hilbert curve, rows
 are sorted by that index, and the sorted order is cut into runs of equal row
 counts. Rows of one shard are then close in every dimension, so the min/max
 statistics of its files prune filters on any of them.
@@ -13,7 +14,7 @@ DataFrame functions only.
 
 Defined results: law ``rows``, shard sizes differ by one at most; a null
 dimension counts as its smallest value; a null text has size 8 and the crc32 of
-the empty text; rows that agree in index and id are ordered by text hash, size
+the empty text; ``write_shards`` writes every row once, whatever its id; rows that agree in index and id are ordered by text hash, size
 and crc32; repeated rows get a slot each; columns of the input other than the
 named ones don't take part; an empty table gives an empty result.
 """
@@ -86,28 +87,54 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
     return F.aggregate(F.array(*octants), start, step, lambda acc: acc["index"])
 
 
+def _is_number(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.NumericType, T.DateType, T.TimestampType))
+
+
 def _number(df: DataFrame, name: str) -> Column:
-    """A dimension as a number in its own order; a string by its first six bytes."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, (T.DateType, T.TimestampType)):
-        return F.col(name).cast("timestamp").cast("double")
-    first = F.rpad(F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 6)), 12, "0")
-    return F.conv(first, 16, 10).cast("double")
+    """A number, date or time as a double in its own order."""
+    c = F.col(name)
+    return (c if isinstance(df.schema[name].dataType, T.NumericType) else c.cast("timestamp")).cast("double")
+
+
+def string_borders(df: DataFrame, name: str, bits: int) -> list[str]:
+    """The values at which the cells 1, 2, ... of a string dimension begin, ascending (less than
+    ``2**bits``): a value's cell is the share of rows with a smaller one, in ``2**bits``ths."""
+    spark = df.sparkSession
+    value = F.col(name).cast("string")
+    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    # Distinct values may be many: sorted by ranges, and summed within each range first.
+    ranges = counts.repartitionByRange(partitions(spark), F.col("value").asc_nulls_first()).sortWithinPartitions(F.col("value").asc_nulls_first())
+    placed = written(ranges.withColumn("part", F.spark_partition_id()), "hilbert-values")
+    sums = placed.groupBy("part").agg(F.sum("n").alias("n"))
+    before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    within = Window.partitionBy("part").orderBy(F.col("value").asc_nulls_first())  # no larger than a range of the sort
+    smaller = placed.withColumn("smaller", F.sum("n").over(within) - F.col("n")).join(F.broadcast(before), "part")  # one row a range
+    cell = F.expr(f"((before + smaller) * {1 << bits}L) div total")
+    cells = smaller.select("value", cell.alias("cell")).groupBy("cell").agg(F.min("value").alias("first"))
+    return [r.first for r in cells.filter("cell > 0 and first is not null").orderBy("cell").select("first").collect()]  # below 2 ** bits
 
 
 def ordered(df: DataFrame, dims: list[str], by: list[str], bits: int = 5, accuracy: int = 10_000) -> DataFrame:
     """``df`` with ``curve`` (Hilbert index over ``dims``) and ``position`` (from 0, without
     gaps) in the order of the index, then of the columns ``by``."""
     spark = df.sparkSession
-    numbers = {d: F.coalesce(_number(df, d), F.lit(float("-inf"))) for d in dims}
+    numbers = {d: F.coalesce(_number(df, d), F.lit(float("-inf"))) for d in dims if _is_number(df, d)}
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    borders = df.select(*(F.percentile_approx(x, shares, accuracy).alias(str(k)) for k, x in enumerate(numbers.values()))).first()
+    cuts = {}
+    if numbers:
+        found = df.select(*(F.percentile_approx(x, shares, accuracy).alias(f"__{k}") for k, x in enumerate(numbers.values()))).first()
+        cuts = {d: sorted(set(found[k] or [])) for k, d in enumerate(numbers)}
     cells = []
-    for k, x in enumerate(numbers.values()):
-        steps = F.array(*(F.lit(float(b)) for b in sorted(set(borders[k] or []))))
-        cells.append(F.size(F.filter(steps, lambda b, x=x: b < x)) if borders[k] else F.lit(0))
+    for d in dims:
+        if d in numbers:
+            steps = F.array(*(F.lit(float(b)) for b in cuts[d]))
+            cells.append(F.size(F.filter(steps, lambda b, x=numbers[d]: b < x)) if cuts[d] else F.lit(0))
+        else:
+            borders = string_borders(df, d, bits)
+            x = F.col(d).cast("string")
+            cells.append(F.size(F.filter(F.array(*map(F.lit, borders)), lambda b, x=x: b <= x)) if borders else F.lit(0))
+        cells[-1] = F.when(F.col(d).isNull(), F.lit(0)).otherwise(cells[-1])
     keyed = df.withColumn("curve", hilbert_index(cells, bits))
     n = partitions(spark)
     spread = keyed.repartitionByRange(n, "curve", *by).sortWithinPartitions("curve", *by)
@@ -145,9 +172,16 @@ def hilbert_shards(
     return cut(ordered(rows, list(dims), [doc_id, "__text", "size", "text_crc32"], bits), n_shards).drop("__text")
 
 
-def write_shards(documents: DataFrame, shards: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """Write the documents (unique ids) as one sorted run of files per shard."""
-    places = shards.select(F.col(doc_id).alias("__id"), "shard", "slot")
-    whole = documents.join(places, documents[doc_id] == F.col("__id")).drop("__id")
-    runs = whole.repartitionByRange(partitions(documents.sparkSession), "shard", "slot")
-    runs.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(
+    documents: DataFrame, path: str, n_shards: int = 24, dims: tuple[str, ...] = ("source", "lang", "n_chars"), bits: int = 5,
+    doc_id: str = "doc_id", text: str = "text",
+) -> None:
+    """Write the documents, all their columns with them, as one sorted run of files per shard."""
+    row = F.struct(*(F.col(c) for c in documents.columns)).alias("__row")
+    keys = documents.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__text"), *(F.col(d).alias(f"__{d}") for d in dims), row)
+    placed = cut(ordered(keys, [f"__{d}" for d in dims], ["__id", "__text"], bits), n_shards)
+    # Columns of the documents keep their names; a shard column of their own gives way.
+    names = [c if c not in documents.columns else f"__{c}" for c in ("shard", "slot")]
+    whole = placed.select(*(F.col("__row")[c].alias(c) for c in documents.columns), *(F.col(c).alias(n) for c, n in zip(("shard", "slot"), names)))
+    runs = whole.repartitionByRange(partitions(documents.sparkSession), *names)
+    runs.sortWithinPartitions(*names).write.partitionBy(names[0]).parquet(path)

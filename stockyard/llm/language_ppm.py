@@ -152,11 +152,11 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "
     for name, n in known.items():
         share = F.when(F.col(lang) == name, keep_fraction(doc_id, max_docs / n)).otherwise(share)
     some = rows.filter(share)
-    counts: dict[str, list] = {name: [] for name in known}
-    for r in count_grams(some, lang, text).filter(F.col("n") > 1).toLocalIterator():
-        counts[r.lang].append((r.gram, r.n))
-    arrays = {k: np.array(v, np.int64).reshape(-1, 2) for k, v in counts.items()}
-    return Model({k: (v[:, 0], v[:, 1]) for k, v in arrays.items()})
+    # All counts of the sample, also those of one: the lower orders are their sums.
+    grams = count_grams(some, lang, text).toArrow()  # bounded by the sample
+    coded = grams.column("lang").combine_chunks().dictionary_encode()
+    of, gram, n = coded.indices.to_numpy(), grams.column("gram").to_numpy(), grams.column("n").to_numpy()
+    return Model({name: (gram[of == k], n[of == k]) for k, name in enumerate(coded.dictionary.to_pylist())})
 
 
 def identify(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -16,8 +16,9 @@ COLLECTS = [
     ('centroid_ns.py', 'found = rows.orderBy(by.asc_nulls_last(), F.col("parts")).limit(k).collect()  # k rows'),
     ('centroid_ns.py', 'sums = {r.place: int(r.value) for r in total.collect()}  # k * (dims + 1) + 1 numbers'),
     ('centroid_ns.py', 'per = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()  # k rows'),
+    ('hilbert_shards.py', 'return [r.first for r in cells.filter("cell > 0 and first is not null").orderBy("cell").select("first").collect()]  # below 2 ** bits'),
     ('language_ppm.py', 'known = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one row a language'),
-    ('language_ppm.py', 'for r in count_grams(some, lang, text).filter(F.col("n") > 1).toLocalIterator():'),
+    ('language_ppm.py', 'grams = count_grams(some, lang, text).toArrow()  # bounded by the sample'),
     ('line_dedup.py', 'for c, t in merged.collect():  # at most 2 * max_bits / 8 bytes in all'),
     ('line_dedup.py', 'rows = keys.select("h1", "h2", "first.doc", "first.line").collect()  # bounded just above'),
     ('parity_join.py', 'rows = frequent.toArrow()  # at most ORDER_SIZE rows'),

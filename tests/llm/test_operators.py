@@ -186,9 +186,27 @@ def test_hilbert_shards(docs_of, corpus, tmp_path):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     sizes = [len(slots[k]) for k in range(24)]
     assert max(sizes) - min(sizes) <= 1 and sum(sizes) == len(corpus)
-    few = df.filter("doc_id between 6 and 59")
-    hilbert_shards.write_shards(few, hilbert_shards.hilbert_shards(few, 4), str(tmp_path / "s"))
-    assert df.sparkSession.read.parquet(str(tmp_path / "s")).groupBy("shard").count().count() == 4
+    hilbert_shards.write_shards(df, str(tmp_path / "s"), 4)  # null and repeated ids too
+    back = df.sparkSession.read.parquet(str(tmp_path / "s"))
+    assert back.groupBy("shard").count().count() == 4
+    assert sorted([(r.doc_id, r.text) for r in back.collect()], key=str) == sorted(corpus, key=str)
+    assert set(df.columns) <= set(back.columns)
+
+
+def test_hilbert_cells_of_whole_strings(spark):
+    """Sources that share their first bytes are apart; a shard holds few of them."""
+    rows = [(k, f"common_crawl_{k % 4}" if k % 50 else None, "en", k, "t") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    assert hilbert_shards.string_borders(df, "source", 5) == [f"common_crawl_{k}" for k in (1, 2, 3)]
+    out = hilbert_shards.hilbert_shards(df, 8, dims=("source",)).collect()
+    held = collections.defaultdict(set)
+    for r in out:
+        held[r.shard].add(r.source)
+    assert len(out) == 400 and max(map(len, held.values())) <= 3 and held[7] == {"common_crawl_3"}
+    many = spark.range(5000).select(F.lit("https://x/").alias("p"), F.concat(F.lit("https://x/"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("s"))
+    borders = hilbert_shards.string_borders(many, "s", 3)
+    assert borders == [f"https://x/{k * 625:05d}" for k in range(1, 8)]
+    assert hilbert_shards.string_borders(many, "p", 3) == [] and hilbert_shards.string_borders(many.limit(0), "s", 3) == []
 
 
 def test_quality_statistics(docs_of, corpus):
@@ -355,3 +373,12 @@ def test_empty_tables(docs_of):
     assert suffix_dedup.remove_repeats(none).count() == 0
     assert hilbert_shards.hilbert_shards(none).count() == 0
     assert quality_rules.statistics(none).count() == 0
+
+
+def test_a_language_of_one_short_text_is_known(spark, docs_of):
+    """No three bytes of it repeat, so all of its counts are one."""
+    train = spark.createDataFrame([(k, "the cat and the dog sat on it " * 3, "en") for k in range(20)] + [(99, "qué año ñu", "es")], "doc_id long, text string, lang string")
+    model = language_ppm.learn(train)
+    got = {r.doc_id: r.lang_pred for r in language_ppm.identify(docs_of([(1, "año ñu"), (2, "the dog sat")]), model).collect()}
+    assert got == {1: "es", 2: "en"}
+    assert language_ppm.identify(docs_of([]), model).collect() == []
