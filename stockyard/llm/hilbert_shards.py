@@ -97,6 +97,12 @@ def _number(df: DataFrame, name: str) -> Column:
     return (c if isinstance(df.schema[name].dataType, T.NumericType) else c.cast("timestamp")).cast("double")
 
 
+def _below(borders: Column, x: Column, equal: bool) -> Column:
+    """How many borders are below x. (A function of two parameters, defaults included, would
+    get the place of each border as its second.)"""
+    return F.size(F.filter(borders, lambda b: b <= x if equal else b < x))
+
+
 def string_borders(df: DataFrame, name: str, bits: int) -> list[str]:
     """The values at which the cells 1, 2, ... of a string dimension begin, ascending (less than
     ``2**bits``): a value's cell is the share of rows with a smaller one, in ``2**bits``ths."""
@@ -129,11 +135,10 @@ def ordered(df: DataFrame, dims: list[str], by: list[str], bits: int = 5, accura
     for d in dims:
         if d in numbers:
             steps = F.array(*(F.lit(float(b)) for b in cuts[d]))
-            cells.append(F.size(F.filter(steps, lambda b, x=numbers[d]: b < x)) if cuts[d] else F.lit(0))
+            cells.append(_below(steps, numbers[d], False) if cuts[d] else F.lit(0))
         else:
             borders = string_borders(df, d, bits)
-            x = F.col(d).cast("string")
-            cells.append(F.size(F.filter(F.array(*map(F.lit, borders)), lambda b, x=x: b <= x)) if borders else F.lit(0))
+            cells.append(_below(F.array(*map(F.lit, borders)), F.col(d).cast("string"), True) if borders else F.lit(0))
         cells[-1] = F.when(F.col(d).isNull(), F.lit(0)).otherwise(cells[-1])
     keyed = df.withColumn("curve", hilbert_index(cells, bits))
     n = partitions(spark)

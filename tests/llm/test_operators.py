@@ -203,6 +203,10 @@ def test_hilbert_cells_of_whole_strings(spark):
     for r in out:
         held[r.shard].add(r.source)
     assert len(out) == 400 and max(map(len, held.values())) <= 3 and held[7] == {"common_crawl_3"}
+    # Numbers likewise: along one dimension the curve is the order of the quantiles.
+    out = sorted(hilbert_shards.hilbert_shards(df, 8, dims=("n_chars",)).collect(), key=lambda r: (r.shard, r.slot))
+    cells = [r.n_chars // 13 for r in out]
+    assert len({r.curve for r in out}) == 32 and all(a <= b + 1 for a, b in zip(cells, cells[1:]))
     many = spark.range(5000).select(F.lit("https://x/").alias("p"), F.concat(F.lit("https://x/"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("s"))
     borders = hilbert_shards.string_borders(many, "s", 3)
     assert borders == [f"https://x/{k * 625:05d}" for k in range(1, 8)]
