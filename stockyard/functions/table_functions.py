@@ -32,6 +32,59 @@ from ..sources.tables import Tables
 
 _AMOUNT = "CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))"
 
+def _cross_territory_body(words: int | None, grain: str) -> str:
+    """U4: lines reduced to one row per order with the set of its supplier nations (as
+    bits where the territory keys allow it, see ``fixture.territory_words``), joined to the
+    order's own nation, or-ed per (id, own nation) and spread out. ``grain``: an
+    expression; as a literal of a call it folds away."""
+    origin = f"""
+        SELECT o.o_orderkey AS order_id, c.c_nationkey AS ot,
+               CASE {grain} WHEN 'customer' THEN o.o_custkey WHEN 'order' THEN o.o_orderkey
+                    ELSE raise_error('grain must be customer or order') END AS id
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    """
+    lines = "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_orderkey"
+    if words is None:
+        keys = f"""
+            SELECT DISTINCT origin.id, origin.ot, e.st
+            FROM (SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts {lines}) ship
+            JOIN origin ON ship.order_id = origin.order_id
+            LATERAL VIEW explode(array_remove(ship.sts, origin.ot)) e AS st
+        """
+    else:
+        names = [f"w{w}" for w in range(words)]
+        sets = ", ".join(
+            f"coalesce(bit_or(CASE WHEN s.s_nationkey div 64 = {w} THEN shiftleft(1L, CAST(s.s_nationkey AS INT) & 63) END), 0L) AS w{w}" for w in range(words)
+        )
+        others = fixture.BITS_SQL.format(last=64 * words - 1, words=", ".join(names), without="ot")
+        keys = f"""
+            SELECT m.id, m.ot, e.st
+            FROM (
+                SELECT origin.id, origin.ot, {", ".join(f"bit_or(ship.{w}) AS {w}" for w in names)}
+                FROM (SELECT l.l_orderkey AS order_id, {sets} {lines}) ship
+                JOIN origin ON ship.order_id = origin.order_id
+                GROUP BY origin.id, origin.ot
+            ) m
+            LATERAL VIEW explode({others}) e AS st
+        """
+    return f"""
+        WITH origin AS ({origin}), k AS ({keys})
+        SELECT /*+ DIMS(no, ns) */ k.id, no.n_name, ns.n_name
+        FROM k
+        JOIN nation no ON k.ot = no.n_nationkey
+        JOIN nation ns ON k.st = ns.n_nationkey
+    """
+
+
+def _cross_territory_functions(words: int | None) -> dict[str, str]:
+    out = "RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING) RETURN"
+    new = "CREATE OR REPLACE TEMPORARY FUNCTION"
+    return {
+        "cross_territory": f"{new} cross_territory(grain STRING DEFAULT 'customer') {out} {_cross_territory_body(words, 'cross_territory.grain')}",
+        "cross_territory_customers": f"{new} cross_territory_customers() {out} {_cross_territory_body(words, repr('customer'))}",
+    }
+
+
 FUNCTIONS = {
     # U1, aggregating along the join chain as the DataFrame operator does:
     # the category's lines summed per order, then per customer, then per
@@ -98,61 +151,7 @@ FUNCTIONS = {
         LEFT SEMI JOIN best b ON w.grp = b.grp AND w.requests = b.best
         LEFT JOIN part p ON p.p_partkey = w.pid
     """,
-    "cross_territory": """
-        CREATE OR REPLACE TEMPORARY FUNCTION cross_territory(grain STRING DEFAULT 'customer')
-        RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING)
-        RETURN {cross}
-    """,
-    "cross_territory_customers": """
-        CREATE OR REPLACE TEMPORARY FUNCTION cross_territory_customers()
-        RETURNS TABLE (id BIGINT, order_territory STRING, ship_territory STRING)
-        RETURN {cross}
-    """,
-}
-
-
-def _cross_territory_body(words: int | None, grain: str) -> str:
-    """U4: lines reduced to one row per order with the set of its supplier nations (as
-    bits where the territory keys allow it, see ``fixture.territory_words``), joined to the
-    order's own nation, or-ed per (id, own nation) and spread out. ``grain``: an
-    expression; as a literal of a call it folds away."""
-    origin = f"""
-        SELECT o.o_orderkey AS order_id, c.c_nationkey AS ot,
-               CASE {grain} WHEN 'customer' THEN o.o_custkey WHEN 'order' THEN o.o_orderkey
-                    ELSE raise_error('grain must be customer or order') END AS id
-        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-    """
-    lines = "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_orderkey"
-    if words is None:
-        keys = f"""
-            SELECT DISTINCT origin.id, origin.ot, e.st
-            FROM (SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts {lines}) ship
-            JOIN origin ON ship.order_id = origin.order_id
-            LATERAL VIEW explode(array_remove(ship.sts, origin.ot)) e AS st
-        """
-    else:
-        names = [f"w{w}" for w in range(words)]
-        sets = ", ".join(
-            f"coalesce(bit_or(CASE WHEN s.s_nationkey div 64 = {w} THEN shiftleft(1L, CAST(s.s_nationkey AS INT) & 63) END), 0L) AS w{w}" for w in range(words)
-        )
-        others = fixture.BITS_SQL.format(last=64 * words - 1, words=", ".join(names), without="ot")
-        keys = f"""
-            SELECT m.id, m.ot, e.st
-            FROM (
-                SELECT origin.id, origin.ot, {", ".join(f"bit_or(ship.{w}) AS {w}" for w in names)}
-                FROM (SELECT l.l_orderkey AS order_id, {sets} {lines}) ship
-                JOIN origin ON ship.order_id = origin.order_id
-                GROUP BY origin.id, origin.ot
-            ) m
-            LATERAL VIEW explode({others}) e AS st
-        """
-    return f"""
-        WITH origin AS ({origin}), k AS ({keys})
-        SELECT /*+ DIMS(no, ns) */ k.id, no.n_name, ns.n_name
-        FROM k
-        JOIN nation no ON k.ot = no.n_nationkey
-        JOIN nation ns ON k.st = ns.n_nationkey
-    """
+} | _cross_territory_functions(1)
 
 
 VIEWS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -190,10 +189,7 @@ def register(t: Tables, prefix: str = "") -> None:
     t.register_views(VIEWS, own)
     fixture.territory_dim(t)  # runs (or reuses) the bounded checks of nation and region
     small = t.bounded_cache.get("territory", False) and t.bounded_cache.get("region", False)
-    words = fixture.territory_words(t)
-    for name, ddl in FUNCTIONS.items():
-        grain = "'customer'" if name == "cross_territory_customers" else "cross_territory.grain"
-        ddl = ddl.replace("{cross}", _cross_territory_body(words, grain))
+    for name, ddl in (FUNCTIONS | _cross_territory_functions(fixture.territory_words(t))).items():
         ddl = _VIEW.sub(rf"\1 {own}\2", with_dimension_hints(ddl, small))
         t.spark.sql(re.sub(rf"\b{name}\b", prefix + name, ddl))
 

@@ -11,7 +11,7 @@ kept. The output is the full new snapshot.
   ``ceil`` or ``half_up``. The arithmetic is exact decimal, so the result does
   not depend on floating point.
 * The update is not idempotent; :func:`stockyard.plans.versioned.adjust_stock_once`
-  records an adjustment ID in the snapshot ledger and skips a repeated one.
+  names its version after an adjustment ID and skips a repeated one.
 
 Plan: one pass. Inventory is left-joined to the category's part keys (a
 marker column); the planner broadcasts those keys while their statistics are

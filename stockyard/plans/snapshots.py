@@ -1,59 +1,31 @@
-"""Versioned copy-on-write tables, a commit ledger, and observed outcomes (S7).
+"""A table as numbered Parquet versions, with counts observed by each write (S7).
 
-Plain parquet has no UPDATE or MERGE, so an update reads version *n* and
-writes version *n + 1* to a new folder; readers of *n* are never disturbed and
-old versions stay readable. Layout under ``root`` (a shared folder on a
-cluster):
+Plain Parquet has no UPDATE: an update reads version *n* and writes version *n + 1* to a
+folder of its own below ``root`` (a shared folder on a cluster), so readers of *n* are never
+disturbed. A version counts once Spark's writer has left its ``_SUCCESS`` marker there;
+what a failed job leaves is no version, and the next write takes a number beyond it.
 
-    root/v00000001/   parquet of version 1
-    root/v00000002/   ...
-    root/ledger/      parquet, one row per committed version
-    root/ledger_compacted/c<version>/   the ledger folded up to <version>
-
-A version counts only once its ledger row is written, after its data write
-has succeeded, so a job that dies midway leaves at most an orphan folder that
-nothing reads; the next commit skips past it. The data folder is written with
-``errorifexists`` (a writer racing for the same folder fails instead of mixing
-files), and before the ledger row is added the ledger is read again: if
-another writer committed in between, this commit fails rather than silently
-dropping that writer's update. Concurrent writers are therefore detected, not
-supported; plain files offer no atomic compare-and-swap, so a narrow window
-remains.
-
-The ledger also records an ``entry_id`` (an adjustment ID, a stream batch),
-which makes non-idempotent operations safe to retry: U3 run twice with the
-same ID changes stock once.
-
-Outcome counts of a write are taken with ``DataFrame.observe`` while the data
-is written, so the table is not scanned a second time to count it.
+A write states the version it was built from and fails if another has become current. The
+folder's name also carries a digest of an optional entry ID (an adjustment, a stream batch), so a
+job that is run again finds its entry applied and leaves the table as it is.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import hashlib
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.changeset import HIT
 
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField("op", T.StringType(), False),
-        T.StructField("entry_id", T.StringType(), True),
-        T.StructField("rows_written", T.LongType(), True),
-        T.StructField("rows_matched", T.LongType(), True),
-        T.StructField("committed_at", T.TimestampType(), False),
-    ]
-)
+_NAME = re.compile(r"v(\d{8})(?:-([0-9a-f]{64}))?$")
 
 
 class ConcurrentCommitError(RuntimeError):
-    """The ledger advanced while a commit was being written."""
+    """Another version has become current."""
 
 
 @dataclass(frozen=True)
@@ -67,191 +39,84 @@ class Commit:
     skipped: bool = False
 
 
+def _digest(entry_id: str) -> str:
+    return hashlib.sha256(entry_id.encode()).hexdigest()
+
+
 class SnapshotStore:
-    """A table kept as numbered parquet versions under ``root``."""
+    """A table kept as numbered Parquet versions under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.log_path = f"{self.root}/ledger"
-        self.compacted_path = f"{self.root}/ledger_compacted"
         self.partition_by = list(partition_by or [])
 
-    # -- reading ----------------------------------------------------------
-
-    def _fs(self, path: str):
-        """(Hadoop file system, Path) for ``path``, as the cluster resolves it."""
-        sc = self.spark.sparkContext
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
-
-    def _exists(self, path: str) -> bool:
-        """Whether ``path`` exists, through the cluster's Hadoop file system."""
-        fs, jpath = self._fs(path)
-        return fs.exists(jpath)
-
-    def _ledger_files(self) -> list[str]:
-        """The per-commit ledger files (one small parquet file per commit)."""
-        if not self._exists(self.log_path):
-            return []
-        fs, jpath = self._fs(self.log_path)
-        return [
-            st.getPath().toString()
-            for st in fs.listStatus(jpath)
-            if st.isFile() and st.getPath().getName().endswith(".parquet")
-        ]
-
-    def _latest_compaction(self) -> str | None:
-        """The newest complete compacted ledger (a folder with ``_SUCCESS``)."""
-        if not self._exists(self.compacted_path):
-            return None
-        fs, jpath = self._fs(self.compacted_path)
-        names = sorted(st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
-        for name in reversed(names):
-            folder = f"{self.compacted_path}/{name}"
-            if self._exists(f"{folder}/_SUCCESS"):
-                return folder
-        return None
-
-    def log(self) -> DataFrame:
-        """The ledger (empty when nothing is committed yet): the newest compacted
-        ledger plus the per-commit files written since, one row per version."""
-        parts = []
-        files = self._ledger_files()
-        if files:
-            parts.append(self.spark.read.schema(LOG_SCHEMA).parquet(*files))
-        compacted = self._latest_compaction()
-        if compacted:
-            parts.append(self.spark.read.schema(LOG_SCHEMA).parquet(compacted))
-        if not parts:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        if len(parts) == 1:
-            return parts[0]
-        # a crash between writing a compaction and deleting the files it covers
-        # leaves rows in both places
-        return parts[0].unionByName(parts[1]).dropDuplicates(["version"])
-
-    def compact_ledger(self) -> int:
-        """Fold the per-commit ledger files into one compacted folder.
-
-        Every commit adds one small file and every commit reads the whole
-        ledger, so a long-running feed should compact now and then (between
-        commits, by the single writer). Safe against a crash at any point: the
-        files are listed first, exactly those are folded in with the previous
-        compaction into a new folder, which counts only once its ``_SUCCESS``
-        marker exists, and only then are exactly those files deleted. A file a
-        concurrent commit adds meanwhile is neither folded nor deleted.
-        Returns the number of files folded.
-        """
-        files = self._ledger_files()
-        if not files:
-            return 0
-        rows = self.spark.read.schema(LOG_SCHEMA).parquet(*files)
-        previous = self._latest_compaction()
-        if previous:
-            rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(previous))
-        rows = rows.dropDuplicates(["version"])
-        top = rows.agg(F.max("version").alias("v")).first()["v"]
-        target = f"{self.compacted_path}/c{int(top):08d}"
-        if self._exists(f"{target}/_SUCCESS"):
-            return 0  # already compacted up to this version
-        rows.coalesce(1).write.mode("overwrite").parquet(target)
-        for f in files:
-            fs, jpath = self._fs(f)
-            fs.delete(jpath, False)
-        return len(files)
+    def _folders(self, complete: bool = True) -> dict[str, tuple[int, str | None]]:
+        """{name: (version, digest of its entry)} of the versions under ``root``."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return {}
+        names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+        found = {n: (int(m[1]), m[2]) for n in names if (m := _NAME.match(n))}
+        marker = lambda n: self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{n}/_SUCCESS")
+        return {n: v for n, v in found.items() if not complete or fs.exists(marker(n))}
 
     def current_version(self) -> int:
-        """Latest committed version, 0 if none. Reads one aggregate row."""
-        row = self.log().agg(F.max("version").alias("v")).first()
-        return int(row["v"]) if row and row["v"] is not None else 0
+        """The latest version, 0 if there is none."""
+        return max((v for v, _ in self._folders().values()), default=0)
 
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/v{version:08d}"
+    def version_path(self, version: int, entry_id: str | None = None) -> str:
+        """The folder of a version: as it is there, or as a new one is named."""
+        for name, (v, _) in self._folders().items():
+            if v == version:
+                return f"{self.root}/{name}"
+        return f"{self.root}/v{version:08d}" + (f"-{_digest(entry_id)}" if entry_id is not None else "")
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.current_version() if version is None else version
         if version < 1:
-            raise ValueError(f"no committed version under {self.root}")
+            raise ValueError(f"no version under {self.root}")
         return self.spark.read.parquet(self.version_path(version))
 
     def has_entry(self, entry_id: str) -> bool:
-        """True if a commit with this entry ID is in the ledger."""
-        return self.log().filter(F.col("entry_id") == F.lit(entry_id)).limit(1).count() > 0
+        """Whether a version was written under this entry ID."""
+        return _digest(entry_id) in {d for _, d in self._folders().values()}
 
-    # -- writing ----------------------------------------------------------
+    def skipped(self, op: str, entry_id: str) -> Commit:
+        """What a commit under an entry that is applied already comes to."""
+        current = self.current_version()
+        return Commit(current, self.version_path(current), op, entry_id, 0, 0, skipped=True)
 
     def commit(
-        self,
-        df: DataFrame,
-        op: str,
-        entry_id: str | None = None,
-        hit_column: str | None = HIT,
-        expected_version: int | None = None,
+        self, df: DataFrame, op: str, entry_id: str | None = None, hit_column: str | None = HIT, expected_version: int | None = None
     ) -> Commit:
-        """Write ``df`` as the next version and record it in the ledger.
+        """Write ``df`` as the next version. ``expected_version``: the one it was built from.
 
-        ``expected_version``: the version ``df`` was built from; the commit fails if
-        another one has become current since.
-
-        If ``hit_column`` is a column of ``df`` it is counted (rows_matched)
-        while writing and dropped from the stored table.
-        """
+        If ``hit_column`` is a column of ``df`` it is counted (rows_matched) while writing
+        and dropped from the stored table."""
         if entry_id is not None and self.has_entry(entry_id):
-            current = self.current_version()
-            return Commit(current, self.version_path(current), op, entry_id, 0, 0, skipped=True)
-        base_version = self.current_version()
-        if expected_version is not None and base_version != expected_version:
-            raise ConcurrentCommitError(
-                f"{self.root}: version {base_version} was committed since version {expected_version} was read"
-            )
-        version = base_version + 1
-        while self._exists(self.version_path(version)):  # orphan of a failed commit
-            version += 1
-        path = self.version_path(version)
+            return self.skipped(op, entry_id)
+        before = self.current_version()
+        if expected_version is not None and before != expected_version:
+            raise ConcurrentCommitError(f"{self.root}: version {before} has become current since {expected_version} was read")
+        version = max((v for v, _ in self._folders(complete=False).values()), default=0) + 1
+        path = self.version_path(version, entry_id)
         metrics = [F.count(F.lit(1)).alias("rows_written")]
         has_hit = hit_column is not None and hit_column in df.columns
         if has_hit:
-            metrics.append(
-                F.coalesce(F.sum(F.col(hit_column).cast("bigint")), F.lit(0)).alias("rows_matched")
-            )
-        obs = Observation(f"commit_v{version}")
-        observed = df.observe(obs, *metrics)
-        if has_hit:
-            observed = observed.drop(hit_column)
-        writer = observed.write.mode("errorifexists")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
-        got = obs.get
-        if self.current_version() != base_version:
-            raise ConcurrentCommitError(
-                f"{self.root}: another writer committed while version {version} was written"
-            )
-        commit = Commit(
-            version=version,
-            path=path,
-            op=op,
-            entry_id=entry_id,
-            rows_written=int(got.get("rows_written", 0)),
-            rows_matched=int(got["rows_matched"]) if has_hit else None,
-        )
-        self._append_log(commit)
-        return commit
-
-    def _append_log(self, c: Commit) -> None:
-        row = (
-            c.version,
-            c.path,
-            c.op,
-            c.entry_id,
-            c.rows_written,
-            c.rows_matched,
-            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-        )
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.log_path
-        )
+            metrics.append(F.count(F.when(F.col(hit_column), 1)).alias("rows_matched"))
+        seen = Observation(f"version_{version}")
+        observed = df.observe(seen, *metrics)
+        writer = (observed.drop(hit_column) if has_hit else observed).write.mode("errorifexists")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(path)
+        others = [n for n, (v, _) in self._folders().items() if v > before and f"{self.root}/{n}" != path]
+        if others:
+            own = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            own.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(own, True)
+            raise ConcurrentCommitError(f"{self.root}: {others[0]} was written at the same time")
+        got = seen.get
+        return Commit(version, path, op, entry_id, int(got["rows_written"]), int(got["rows_matched"]) if has_hit else None)
 
     def initialize(self, df: DataFrame, op: str = "initial") -> Commit:
         """Version 1 from an existing table (fails if the store has versions)."""

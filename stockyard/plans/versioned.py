@@ -1,6 +1,6 @@
 """The update operations against a :class:`SnapshotStore`: read version n, write n + 1.
 
-* :func:`adjust_stock_once` - U3 with an adjustment ID recorded in the ledger;
+* :func:`adjust_stock_once` - U3 with an adjustment ID that its version carries;
   running it again with the same ID changes nothing.
 * :func:`commit_changes` - kernel K over the store's current version with a
   table of changes (U5-U7 and any other keyed update), optionally with an
@@ -30,8 +30,7 @@ def adjust_stock_once(
 ) -> Commit:
     """U3 on the store's current inventory; skipped if ``adjustment_id`` is recorded."""
     if store.has_entry(adjustment_id):
-        current = store.current_version()
-        return Commit(current, store.version_path(current), "adjust_stock", adjustment_id, 0, 0, True)
+        return store.skipped("adjust_stock", adjustment_id)
     version = store.current_version()
     adj = stock.adjust_stock(t, category, location, pct, rounding, inventory=store.read(version))
     return store.commit(adj.table, adj.op, entry_id=adjustment_id, expected_version=version)
@@ -63,8 +62,7 @@ def commit_changes(
     if prepare is not None and seq_column is not None:
         raise ValueError("seq_column applies to the plain kernel call, not to prepare")
     if entry_id is not None and store.has_entry(entry_id):
-        current = store.current_version()
-        return Commit(current, store.version_path(current), op, entry_id, 0, 0, True), None
+        return store.skipped(op, entry_id), None
     version = store.current_version()
     base = store.read(version)
     if prepare is not None:

@@ -12,12 +12,10 @@ versioned table by kernel K through ``foreachBatch``:
   newer one; without it, later batches apply over earlier ones;
 * every batch is committed with the entry ID ``<name>:<batch_id>``; a batch
   replayed after a failure (Structured Streaming re-runs the last uncommitted
-  batch with the same ID) finds its entry in the ledger and is skipped, so the
+  batch with the same ID) finds its entry applied and is skipped, so the
   table changes exactly once per batch;
-* the rejects of each batch are appended to ``rejects_path`` (if given) with
-  their batch ID;
-* with ``compact_every=N`` the ledger is compacted after every N-th batch, so
-  a feed that runs for many batches keeps reading a handful of ledger files.
+* the rejects of each batch are written to ``rejects_path`` (if given) with
+  their batch ID.
 
 The stream's checkpoint location must be a shared folder on a cluster.
 """
@@ -45,7 +43,6 @@ def change_batch_writer(
     rejects_path: str | None = None,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
     seq_column: str | None = None,
-    compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function applying one micro-batch of changes."""
 
@@ -60,8 +57,6 @@ def change_batch_writer(
             store, batch, keys, column, op, entry_id, prepare, seq_column=seq_column,
             before_commit=write_rejects if rejects_path is not None else None,
         )
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            store.compact_ledger()
 
     return apply_batch
 
@@ -81,7 +76,6 @@ def start_change_feed(
     available_now: bool = False,
     prepare: Callable[[DataFrame, DataFrame], ChangeSetResult] | None = None,
     seq_column: str | None = None,
-    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Start applying parquet change files under ``source_path`` to ``store``."""
     reader = spark.readStream.schema(schema)
@@ -93,7 +87,7 @@ def start_change_feed(
         .option("checkpointLocation", checkpoint_location)
         .foreachBatch(
             change_batch_writer(
-                store, keys, column, op, name, rejects_path, prepare, seq_column, compact_every
+                store, keys, column, op, name, rejects_path, prepare, seq_column
             )
         )
     )

@@ -111,10 +111,10 @@ def test_table_function_bodies_have_the_operator_plan_shape(spark, small_tables)
     )
 
 
-# -- snapshots, ledger, observation --------------------------------------------
+# -- snapshots, observation --------------------------------------------
 
 
-def test_snapshot_versions_and_ledger(spark, small_tables):
+def test_snapshot_versions_and_entries(spark, small_tables):
     store = SnapshotStore(spark, _scratch() + "/inventory", partition_by=["location_id"])
     inv = fixture.inventory(small_tables)
     first = store.initialize(inv)
@@ -131,15 +131,17 @@ def test_snapshot_versions_and_ledger(spark, small_tables):
     assert v1.count() == v2.count()
     changed = v2.exceptAll(v1.select(*v2.columns))
     assert changed.count() == 5
-    assert store.log().count() == 2
+    assert store.has_entry("adj-1") and not store.has_entry("adj-2")
 
 
 def test_commit_skips_orphan_folder_of_failed_commit(spark):
     store = SnapshotStore(spark, _scratch() + "/t")
     df = spark.createDataFrame([(1, "a")], "k bigint, v string")
     store.initialize(df)
-    # A commit that died after writing its data but before its ledger row.
+    # A commit that died before Spark's writer had left its marker.
     spark.createDataFrame([(9, "orphan")], "k bigint, v string").write.parquet(store.version_path(2))
+    os.remove(store.version_path(2) + "/_SUCCESS")
+    assert store.current_version() == 1
     c = store.commit(df, "x", hit_column=None)
     assert c.version == 3 and store.current_version() == 3
     assert [tuple(r) for r in store.read().collect()] == [(1, "a")]
@@ -152,54 +154,20 @@ def test_commit_fails_when_another_writer_committed(spark):
     df = spark.createDataFrame([(1, "a")], "k bigint, v string")
     store.initialize(df)
     other = SnapshotStore(spark, store.root)
-    real_exists = store._exists
-    raced = []
-
-    def exists_after_other_commit(path):
-        # The other writer commits version 2 just after this commit read the
-        # ledger (when it looks for a free version folder).
-        if path == store.version_path(2) and not raced:
-            raced.append(True)
-            other.commit(df, "other", hit_column=None)
-        return real_exists(path)
-
-    store._exists = exists_after_other_commit
-    with pytest.raises(ConcurrentCommitError):
-        store.commit(df, "x", hit_column=None)
-    assert store.current_version() == 2  # the other writer's version stands
-
-
-def test_ledger_compaction_keeps_every_commit(spark):
-    store = SnapshotStore(spark, _scratch() + "/t")
-    table = spark.range(10).withColumnRenamed("id", "k")
-    store.initialize(table)
-    for i in range(3):
-        store.commit(table, "op", entry_id=f"e{i}", hit_column=None)
+    named = store.version_path
 
-    def rows():
-        return sorted((r.version, r.entry_id) for r in store.log().select("version", "entry_id").collect())
+    def name_after_other_commit(version, entry_id=None):
+        # The other writer commits version 2 just after this one has looked for the
+        # current version.
+        store.version_path = named
+        other.commit(df, "other", hit_column=None, entry_id="o")
+        return f"{store.root}/v{version:08d}"
 
-    before = rows()
-    assert store.compact_ledger() == 4
-    assert store._ledger_files() == []
-    assert rows() == before and store.current_version() == 4 and store.has_entry("e1")
-
-    store.commit(table, "op", entry_id="e3", hit_column=None)
-    assert store.current_version() == 5 and len(rows()) == 5
-    assert store.compact_ledger() == 1
-    assert store._latest_compaction().endswith("c00000005")
-
-    # an unfinished compaction (no _SUCCESS) is ignored
-    store.log().write.parquet(store.compacted_path + "/c00000009")
-    fs, marker = store._fs(store.compacted_path + "/c00000009/_SUCCESS")
-    fs.delete(marker, False)
-    assert store._latest_compaction().endswith("c00000005") and store.current_version() == 5
-
-    # a crash after a compaction was written but before its files were deleted
-    store.commit(table, "op", entry_id="e4", hit_column=None)
-    store.log().coalesce(1).write.parquet(store.compacted_path + "/c00000006")
-    assert len(store._ledger_files()) == 1
-    assert len(rows()) == 6 and store.current_version() == 6
+    store.version_path = name_after_other_commit
+    with pytest.raises(ConcurrentCommitError):
+        store.commit(df, "x", hit_column=None)
+    assert store.current_version() == 2 and store.has_entry("o")  # the other writer's version stands
+    assert store.commit(df, "x", hit_column=None, expected_version=2).version == 3
 
 
 def test_commit_changes_counts_by_observation(spark, small_tables):
@@ -286,12 +254,10 @@ def test_change_feed_keeps_latest_seq_across_batches(spark, small_tables):
         max_files_per_trigger=1,
         available_now=True,
         seq_column="_seq",
-        compact_every=1,
     )
     query.awaitTermination(180)
     assert query.exception() is None
     assert store.current_version() == 3  # initial + one commit per file
-    assert store._ledger_files() == []  # compacted after every batch
     want = apply_changes(emails, changes, ["person_id"], "email").updated
     final = store.read().drop("_seq")
     assert final.count() == want.count()
