@@ -176,6 +176,30 @@ def _kmeans_sql(k: int = 8, rounds: int = 10) -> str:
 
 # Plain SQL for the queries it can express; the others are tested against brute force.
 ORACLE: dict[str, str] = {
+    "op4_suffix_dedup": """
+        WITH b AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ), w AS (
+            SELECT doc_id, i, md5(array_slice(h, 2 * i + 1, 2 * i + 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM b)
+        ), r AS (
+            SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1
+        ), f AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r
+        ), g AS (
+            SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM f
+        ), s AS (
+            SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, run
+        ), p AS (
+            SELECT b.doc_id, h, n, list(struct_pack(a := a, z := z) ORDER BY a) FILTER (WHERE a IS NOT NULL) AS runs
+            FROM b LEFT JOIN s USING (doc_id) GROUP BY ALL
+        ), q AS (
+            SELECT doc_id, n, coalesce(len(runs), 0) AS n_spans, coalesce(list_sum(list_transform(runs, lambda x: x.z - x.a)), 0) AS n_removed,
+                   CASE WHEN runs IS NULL THEN h ELSE substr(h, 1, 2 * runs[1].a) || array_to_string(list_transform(range(1, len(runs) + 1),
+                       lambda k: substr(h, 2 * runs[k].z + 1, 2 * (coalesce(runs[k + 1].a, n) - runs[k].z))), '') END AS kept
+            FROM p
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM q
+    """,
     "op8_parity_join": f"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS ws
