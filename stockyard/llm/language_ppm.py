@@ -79,6 +79,7 @@ class Model:
         n_bytes = np.zeros(256, np.int64)
         for gram, n in counts.values():
             np.add.at(n_bytes, gram & 255, n)
+        n_bytes[ord(PAD[0])] += 1  # contexts begin with it, so it isn't one of the others
         own = [b for b in np.argsort(-n_bytes, kind="stable").tolist() if n_bytes[b]][: MAX_CLASSES - 1]
         self.cls = np.zeros(256, np.int32)  # class 0: all other bytes
         for k, b in enumerate(sorted(own)):

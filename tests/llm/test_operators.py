@@ -386,3 +386,50 @@ def test_a_language_of_one_short_text_is_known(spark, docs_of):
     got = {r.doc_id: r.lang_pred for r in language_ppm.identify(docs_of([(1, "año ñu"), (2, "the dog sat")]), model).collect()}
     assert got == {1: "es", 2: "en"}
     assert language_ppm.identify(docs_of([]), model).collect() == []
+
+
+def dictionary_ppm(counts, langs, text):
+    """Bits of a text under every language: byte by byte with dictionaries, orders 3 to 0, method C.
+    ``counts``: {language: {(four bytes): n}}; an order-3 context counts if seen twice in all."""
+    out = []
+    seen = collections.Counter()
+    for grams in counts.values():
+        for gram, n in grams.items():
+            seen[gram[:3]] += n
+    for lang in langs:
+        by = [collections.defaultdict(collections.Counter) for _ in range(4)]
+        for gram, n in counts[lang].items():
+            for order in range(4):
+                by[order][gram[3 - order : 3]][gram[3]] += n
+
+        def p(order, before, x):
+            if order < 0:
+                return 1 / 256
+            here = by[order].get(before[3 - order :])
+            if not here or (order == 3 and seen[before] < 2):
+                return p(order - 1, before, x)
+            n, d = sum(here.values()), len(here)
+            return here[x] / (n + d) if x in here else d / (n + d) * p(order - 1, before, x)
+
+        raw = b"\n\n\n" + text.encode()
+        out.append(-sum(np.log2(p(3, raw[k - 3 : k], raw[k])) for k in range(3, len(raw))))
+    return out
+
+
+def test_code_lengths_equal_a_dictionary_ppm(docs_of):
+    r = np.random.default_rng(8)
+    texts = {"x": ["abra cadabra", "a", "bar bar bar é"], "y": ["hocus pocus", "o", "cus cus " * 5]}
+    counts, arrays = {}, {}
+    for lang, own in texts.items():
+        grams = collections.Counter()
+        for t in own:
+            raw = b"\n\n\n" + t.encode()
+            grams.update(raw[k - 3 : k + 1] for k in range(3, len(raw)))
+        counts[lang] = grams
+        arrays[lang] = (np.array([int.from_bytes(g, "big") for g in grams]), np.array(list(grams.values())))
+    m = language_ppm.Model(arrays)
+    odd = ["", "abra", "pocus bar", "éé", "☃ unseen", "o" * 50, *("".join(r.choice(list("abcrdous \n"), 20)) for _ in range(20))]
+    got = m.code_lengths(pa.array(odd))
+    assert m.langs == ["x", "y"]
+    for t, bits in zip(odd, got):
+        assert np.allclose(bits, dictionary_ppm(counts, m.langs, t), rtol=1e-5, atol=1e-3), t
