@@ -37,16 +37,14 @@ def _cross_territory_body(words: int | None, grain: str) -> str:
     bits where the territory keys allow it, see ``fixture.territory_words``), joined to the
     order's own nation, or-ed per (id, own nation) and spread out. ``grain``: an
     expression; as a literal of a call it folds away."""
-    origin = f"""
-        SELECT o.o_orderkey AS order_id, c.c_nationkey AS ot,
-               CASE {grain} WHEN 'customer' THEN o.o_custkey WHEN 'order' THEN o.o_orderkey
-                    ELSE raise_error('grain must be customer or order') END AS id
-        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-    """
+    origin = "SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, c.c_nationkey AS ot FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"
+    # For the order grain the id is the join's key, so its partitioning serves the grouping.
+    own = f"""CASE {grain} WHEN 'customer' THEN origin.customer_id WHEN 'order' THEN ship.order_id
+                   ELSE raise_error('grain must be customer or order') END AS id, origin.ot"""
     lines = "FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_orderkey"
     if words is None:
         keys = f"""
-            SELECT DISTINCT origin.id, origin.ot, e.st
+            SELECT DISTINCT {own}, e.st
             FROM (SELECT l.l_orderkey AS order_id, collect_set(s.s_nationkey) AS sts {lines}) ship
             JOIN origin ON ship.order_id = origin.order_id
             LATERAL VIEW explode(array_remove(ship.sts, origin.ot)) e AS st
@@ -60,10 +58,13 @@ def _cross_territory_body(words: int | None, grain: str) -> str:
         keys = f"""
             SELECT m.id, m.ot, e.st
             FROM (
-                SELECT origin.id, origin.ot, {", ".join(f"bit_or(ship.{w}) AS {w}" for w in names)}
-                FROM (SELECT l.l_orderkey AS order_id, {sets} {lines}) ship
-                JOIN origin ON ship.order_id = origin.order_id
-                GROUP BY origin.id, origin.ot
+                SELECT j.id, j.ot, {", ".join(f"bit_or(j.{w}) AS {w}" for w in names)}
+                FROM (
+                    SELECT {own}, {", ".join(f"ship.{w}" for w in names)}
+                    FROM (SELECT l.l_orderkey AS order_id, {sets} {lines}) ship
+                    JOIN origin ON ship.order_id = origin.order_id
+                ) j
+                GROUP BY j.id, j.ot
             ) m
             LATERAL VIEW explode({others}) e AS st
         """
