@@ -433,3 +433,55 @@ def test_code_lengths_equal_a_dictionary_ppm(docs_of):
     assert m.langs == ["x", "y"]
     for t, bits in zip(odd, got):
         assert np.allclose(bits, dictionary_ppm(counts, m.langs, t), rtol=1e-5, atol=1e-3), t
+
+
+def covering_by_brute_force(rows, borders, max_rules, max_conditions, precision, min_cover):
+    """The covering of ``quality_rules.learn`` row by row: ``rows`` hold (values, bad, prune)."""
+    fires = lambda c, v: (v[c[0]] > c[2]) == c[1]
+    count = lambda group: (sum(y for _, y, _ in group), sum(not y for _, y, _ in group))
+    worth = lambda rule, group: (lambda p, n: (p - n) / (p + n) if p + n else -1.0)(*count([r for r in group if all(fires(c, r[0]) for c in rule)]))
+    found = []
+    while len(found) < max_rules:
+        rule, group = [], [r for r in rows if not r[2]]
+        while len(rule) < max_conditions:
+            p0, n0 = count(group)
+            if not p0 or not n0:
+                break
+            best, gain = None, 1e-9
+            for k, own in enumerate(borders):
+                for b in own:
+                    for above in (False, True):
+                        p, n = count([r for r in group if fires((k, above, b), r[0])])
+                        if p >= min_cover and p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))) > gain + 1e-12:
+                            best, gain = (k, above, b), p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0)))
+            if best is None:
+                break
+            rule.append(best)
+            group = [r for r in group if fires(best, r[0])]
+        if not rule:
+            break
+        held = [r for r in rows if r[2]]
+        rule = max((rule[:k] for k in range(len(rule), 0, -1)), key=lambda r: worth(r, held))
+        p, n = count([r for r in rows if all(fires(c, r[0]) for c in rule)])
+        if p < min_cover or p < precision * (p + n) or worth(rule, held) < 2 * precision - 1:
+            break
+        found.append(tuple(rule))
+        rows = [r for r in rows if not all(fires(c, r[0]) for c in rule)]
+    return found
+
+
+def test_decision_list_equals_covering_by_brute_force(spark):
+    names = quality_rules.STATISTICS
+    r = np.random.default_rng(12)
+    values = r.integers(0, 40, (400, len(names))).astype(float)
+    bad = ((values[:, 1] > 30) & (values[:, 2] <= 20)) | (values[:, 0] <= 5) | (r.random(400) < 0.01)
+    data = [(k, *map(float, v), int(not y)) for k, (v, y) in enumerate(zip(values, bad))]
+    df = spark.createDataFrame(data, "doc_id long, " + ", ".join(f"{n} double" for n in names) + ", quality int")
+    rules = quality_rules.learn(df, bins=8, precision=0.8, min_cover=4)
+    prune = {x.doc_id: x.p for x in df.select("doc_id", (F.pmod(F.xxhash64(F.lit("prune"), "doc_id"), F.lit(3)) == 0).alias("p")).collect()}
+    found = df.select(*(F.percentile_approx(n, [k / 8 for k in range(1, 8)], 10_000).alias(n) for n in names)).first()
+    borders = [sorted(set(found[n])) for n in names]
+    rows = [(v, bool(y), prune[k]) for k, (v, y) in enumerate(zip(values.tolist(), bad))]
+    want = covering_by_brute_force(rows, borders, 8, 3, 0.8, 4)
+    assert len(want) >= 2
+    assert [tuple((names.index(c.statistic), c.above, c.threshold) for c in rule) for rule in rules] == want
