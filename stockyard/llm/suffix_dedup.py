@@ -71,6 +71,24 @@ def grams(raw: np.ndarray) -> np.ndarray:
         return mix64(h)
 
 
+def _anchors(h: np.ndarray, piece: int = 1 << 24) -> np.ndarray:
+    """The place of the anchor of the window at each place: least by the leading 40 bits of
+    its hash, then leftmost. Taken in pieces in which a place fits the other 24 bits, so the rule is
+    the same for texts of any length."""
+    need = WINDOW - GRAM + 1
+    out = np.empty(max(0, len(h) - need + 1), np.int64)
+    for a in range(0, len(out), piece - need + 1):
+        part = h[a : a + piece]
+        least, have = (part & ~np.uint64((1 << 24) - 1)) | np.arange(len(part), dtype=np.uint64), 1
+        n = len(part) - need + 1
+        while have * 2 <= need:
+            least = np.minimum(least[:-have], least[have:])
+            have *= 2
+        least = np.minimum(least[:n], least[need - have : need - have + n])
+        out[a : a + n] = a + (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+    return out
+
+
 def runs_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor in texts that lie behind each other: text, first
     window (place in ``raw``), number of windows, anchor's distance, and all hashes."""
@@ -78,16 +96,7 @@ def runs_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     if len(raw) < WINDOW:
         return none, none, none, none, np.zeros(0, np.uint64)
     h = grams(raw)
-    low = (h & ~np.uint64((1 << 24) - 1)) | np.arange(len(h), dtype=np.uint64)
-    if len(raw) >= 1 << 24:  # one very long text: places need more bits than a slice has
-        low = (h & ~np.uint64((1 << 36) - 1)) | np.arange(len(h), dtype=np.uint64)
-    mask = np.uint64((1 << (36 if len(raw) >= 1 << 24 else 24)) - 1)
-    need, have, least = WINDOW - GRAM + 1, 1, low
-    while have * 2 <= need:
-        least = np.minimum(least[:-have], least[have:])
-        have *= 2
-    least = np.minimum(least[: len(low) - need + 1], least[need - have : need - have + len(low) - need + 1])
-    anchor = (least & mask).astype(np.int64)  # of the window at each place
+    anchor = _anchors(h)
     ends = np.repeat(off[1:], np.diff(off))[: len(anchor)]
     start = np.flatnonzero(np.arange(len(anchor)) + WINDOW <= ends)
     if not len(start):

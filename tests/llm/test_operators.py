@@ -485,3 +485,21 @@ def test_decision_list_equals_covering_by_brute_force(spark):
     want = covering_by_brute_force(rows, borders, 8, 3, 0.8, 4)
     assert len(want) >= 2
     assert [tuple((names.index(c.statistic), c.above, c.threshold) for c in rule) for rule in rules] == want
+
+
+def test_anchors_are_the_same_in_pieces_of_any_size():
+    """A window's anchor doesn't depend on the text around it, nor on where a piece ends; ties of
+    the leading bits go to the leftmost place."""
+    r = np.random.default_rng(5)
+    h = suffix_dedup.grams(r.integers(97, 100, 5000).astype(np.uint8))
+    h[::7] &= np.uint64((1 << 24) - 1)  # many ties
+    need = suffix_dedup.WINDOW - suffix_dedup.GRAM + 1
+    want = [k + int(np.argmin(h[k : k + need] >> np.uint64(24))) for k in range(len(h) - need + 1)]
+    for piece in (need, need + 1, 333, 4999, 1 << 24):
+        assert suffix_dedup._anchors(h, piece).tolist() == want
+    assert len(suffix_dedup._anchors(h[: need - 1])) == 0
+    long = np.tile(r.integers(97, 123, 1 << 10).astype(np.uint8), 17 << 10)  # over 16 MiB
+    text, lo, count, off, _ = suffix_dedup.runs_of(long, np.array([0, len(long)]))
+    assert count.sum() == len(long) - suffix_dedup.WINDOW + 1
+    anchors = np.repeat(lo + off, count)[: 1 << 23]
+    assert (anchors[1 << 10 :] - anchors[: -(1 << 10)] == 1 << 10).all()  # equal windows, equal anchors
