@@ -20,7 +20,8 @@ at least.
 
 Before any product, a passage is compared only with items of which it can hold the least share
 that counts: it needs as many weighted words as that share leaves when all the item's
-unweighted words are there.
+unweighted words are there. Of the pairs near enough, those leave the task whose region (a block
+more on each side) holds so many of the item's own weighted words; both bounds are exact.
 
 A candidate counts as contaminated if the longest common subsequence of words covers
 ``copied`` of the item, or ``reworded`` of it while the item's answer (its last
@@ -56,6 +57,7 @@ BLOCK = 16
 RANK, EXTRA = 320, 16
 MARGIN = 0.2
 FREQUENT = 0.00025  # of all blocks, and 20 at least
+MAX_BROADCAST_PAIRS = 500_000
 _NEVER = 1 << 40
 _SENTENCE = re.compile(r"[.!?:\n]+")
 
@@ -141,6 +143,34 @@ def _weights(bench: Benchmark, df: np.ndarray, n: int, common: float, least: int
     return np.where(use, np.log((1 + n) / (1 + df)) + 1, 0.0)
 
 
+class Own:
+    """Which weighted words (by their place among these) are an item's own."""
+
+    TABLE = 1 << 26  # items x words up to here are a table, beyond it sorted pairs
+
+    def __init__(self, words: list[np.ndarray], n_words: int):
+        self.n = max(1, n_words)
+        codes = np.unique(np.concatenate([k * self.n + w for k, w in enumerate(words)])) if words else np.zeros(0, np.int64)
+        self.codes, self.table = codes, None
+        if len(words) * self.n <= self.TABLE:
+            self.table = np.zeros(len(words) * self.n, bool)
+            self.table[codes] = True
+
+    def has(self, item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        code = item * self.n + word
+        if self.table is not None:
+            return self.table[code]
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return self.codes[at] == code
+
+    def counts(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """How many of the words at places low to high - 1 are each item's own."""
+        size = high - low
+        of = np.repeat(np.arange(len(item)), size)
+        at = np.arange(len(of)) + np.repeat(low - (np.cumsum(size) - size), size)
+        return np.bincount(of, self.has(item[of], word[at]), minlength=len(item))
+
+
 @dataclass
 class Probes:
     """Which words of each item are counted, and how many a region that counts has."""
@@ -336,11 +366,12 @@ def _candidates(
     by_span: dict[int, list[tuple[int, np.ndarray]]] = {}
     for m, f in groups:
         by_span.setdefault(m, []).append((f, np.flatnonzero((spans == m) & (np.array([_floor(int(x)) for x in floors]) == f))))
-    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, probes))
+    own_words = Own([np.array(sorted({at[w] for w in i.words if w in at}), np.int64) for i in bench.items], len(own))
+    box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, probes, own_words, floors))
     kind = compact.schema["doc"].dataType.simpleString()
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        basis, queries, spans, by_span, probes = box.value
+        basis, queries, spans, by_span, probes, own_words, floors = box.value
         widest = max(by_span)
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
@@ -362,6 +393,7 @@ def _candidates(
                     v[base[row] + block] = np.add.reduceat(basis[term], first, axis=0)
                     n_hits[base[row] + block] = np.diff(np.r_[first, len(cell)])
                 of = np.repeat(np.arange(b.num_rows), size)
+                place = (base[row] + block)[cell] if len(cell) else cell  # of each weighted hit, ascending
                 sums, count, wide = v.copy(), n_hits.copy(), 1
                 for m in sorted(by_span):
                     for d in range(wide, m):
@@ -384,6 +416,9 @@ def _candidates(
                             p = sums[at]
                             cos = (p @ queries[items].T) / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
                             x, q = np.nonzero(cos >= min_cosine)
+                            low = np.searchsorted(place, np.maximum(at[x] - 1, base[of[at[x]]]))
+                            enough = own_words.counts(items[q], low, np.searchsorted(place, at[x] + m, side="right"), term) >= floors[items[q]]
+                            x, q = x[enough], q[enough]
                             if len(x):
                                 yield pa.record_batch(
                                     [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
@@ -446,6 +481,8 @@ def contaminated(
     found = written(_candidates(compact, bench, weight, probes.take(terms), rank, extra, min_cosine, least_share), "lsi-candidates")
     # One row a document: which passages and items to look at.
     todo = found.groupBy("doc").agg(F.collect_list(F.struct("block", "item", "cosine")).alias("todo"))
+    if found.count() <= MAX_BROADCAST_PAIRS:  # some 30 bytes each; more are joined
+        todo = F.broadcast(todo)
     joined = documents.select(doc_id, text).join(todo, F.col(doc_id).eqNullSafe(F.col("doc"))).select(doc_id, text, "todo")
     box = spark.sparkContext.broadcast((bench, copied, reworded))
 
