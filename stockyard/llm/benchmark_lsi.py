@@ -18,10 +18,9 @@ counting as well. The *probe* of such an item is its rarest words, so many that
 the least share of the item that counts has ``MARGIN`` of the item's words in the probe
 at least.
 
-Before any product, a passage is compared only with items of which it can hold the least share
-that counts: it needs as many weighted words as that share leaves when all the item's
-unweighted words are there. Of the pairs near enough, those leave the task whose region (a block
-more on each side) holds so many of the item's own weighted words; both bounds are exact.
+Of the pairs near enough, those leave the task that can hold the least share that counts: the
+passage, and of the item's own words its region (a block more on each side), needs as many weighted
+words as that share leaves when all the item's unweighted words are there, and three at least.
 
 A candidate counts as contaminated if the longest common subsequence of words covers
 ``copied`` of the item, or ``reworded`` of it while the item's answer (its last
@@ -57,7 +56,6 @@ BLOCK = 16
 RANK, EXTRA = 320, 16
 MARGIN = 0.2
 FREQUENT = 0.00025  # of all blocks, and 20 at least
-MAX_BROADCAST_PAIRS = 500_000
 _NEVER = 1 << 40
 _SENTENCE = re.compile(r"[.!?:\n]+")
 
@@ -290,6 +288,17 @@ def _cells(row: np.ndarray, block: np.ndarray, term: np.ndarray, n_terms: int) -
     return row[new], block[new], np.cumsum(new) - 1, term
 
 
+def _sums(rows: np.ndarray, index: np.ndarray, first: np.ndarray, step: int = 256) -> np.ndarray:
+    """Sums of ``rows[index]`` over the runs that begin at ``first``, some runs at a time so
+    that what is gathered stays in the cache."""
+    out = np.empty((len(first), rows.shape[1]), rows.dtype)
+    ends = np.r_[first, len(index)]
+    for a in range(0, len(first), step):
+        z = min(a + step, len(first))
+        np.add.reduceat(rows[index[ends[a] : ends[z]]], first[a:z] - ends[a], axis=0, out=out[a:z])
+    return out
+
+
 def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np.ndarray:
     """Randomised SVD: (terms x rank) matrix that projects weighted term counts, each
     direction divided by its singular value."""
@@ -309,10 +318,10 @@ def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np
                 _, _, cell, term = _cells(*_rows(b.slice(k, 512)), n_terms)
                 if not len(cell):
                     continue
-                y = np.add.reduceat(weighted[term], np.flatnonzero(np.r_[True, np.diff(cell) > 0]), axis=0)
+                y = _sums(weighted, term, np.flatnonzero(np.r_[True, np.diff(cell) > 0]))
                 by = np.argsort(term, kind="stable")
                 first = np.flatnonzero(np.r_[True, np.diff(term[by]) > 0])
-                out[term[by[first]]] += np.add.reduceat(y[cell[by]], first, axis=0) * weight[term[by[first]], None]
+                out[term[by[first]]] += _sums(y, cell[by], first) * weight[term[by[first]], None]
         for a in range(0, n_terms, step):
             part = out[a : a + step]
             if part.any():
@@ -341,14 +350,6 @@ def _latent(compact: DataFrame, weight: np.ndarray, rank: int, extra: int) -> np
     return (u / np.maximum(s / s.max(), 1e-6)).astype(np.float32)
 
 
-def _floor(words: int) -> int:
-    """Items are searched in groups of alike floors: 1, 2, 4, 6, 9, 13, ... words."""
-    steps = [1, 2, 4]
-    while steps[-1] < words:
-        steps.append(steps[-1] * 3 // 2)
-    return max(x for x in steps if x <= words)
-
-
 def _candidates(
     compact: DataFrame, bench: Benchmark, weight: np.ndarray, probes: Probes, rank: int, extra: int, min_cosine: float, least_share: float
 ) -> DataFrame:
@@ -360,12 +361,13 @@ def _candidates(
     queries = np.stack([basis[[at[w] for w in i.words if w in at]].sum(0) for i in bench.items])
     queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
     spans = np.array([bench.span(i) for i in bench.items])
-    # How many weighted words a passage with the least share of an item has.
-    floors = np.array([max(1, sum(w in at for w in i.words) - math.floor((1 - least_share) * len(i.words) + 1e-9)) for i in bench.items])
-    groups = sorted({(int(m), _floor(int(f))) for m, f in zip(spans, floors)})
-    by_span: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for m, f in groups:
-        by_span.setdefault(m, []).append((f, np.flatnonzero((spans == m) & (np.array([_floor(int(x)) for x in floors]) == f))))
+    # How many weighted words a passage with the least share of an item has; and three, or all
+    # that the item has, for a cosine to say anything.
+    floors = np.array([
+        max(sum(w in at for w in i.words) - math.floor((1 - least_share) * len(i.words) + 1e-9), min(3, len({w for w in i.words if w in at})), 1)
+        for i in bench.items
+    ])
+    by_span = {int(m): np.flatnonzero(spans == m) for m in np.unique(spans)}
     own_words = Own([np.array(sorted({at[w] for w in i.words if w in at}), np.int64) for i in bench.items], len(own))
     box = compact.sparkSession.sparkContext.broadcast((basis, queries.astype(np.float32), spans, by_span, probes, own_words, floors))
     kind = compact.schema["doc"].dataType.simpleString()
@@ -390,7 +392,7 @@ def _candidates(
                 v = np.zeros((int(size.sum()), basis.shape[1]), np.float32)
                 n_hits = np.zeros(len(v), np.int64)
                 if len(row):
-                    v[base[row] + block] = np.add.reduceat(basis[term], first, axis=0)
+                    v[base[row] + block] = _sums(basis, term, first)
                     n_hits[base[row] + block] = np.diff(np.r_[first, len(cell)])
                 of = np.repeat(np.arange(b.num_rows), size)
                 place = (base[row] + block)[cell] if len(cell) else cell  # of each weighted hit, ascending
@@ -409,21 +411,21 @@ def _candidates(
                             [b.column("doc").take(pa.array(sure_row[x])), pa.array(sure_block[x].astype(np.int32)), pa.array(sure_item[x].astype(np.int32)), pa.array(cos.astype(np.float64))],
                             names=["doc", "block", "item", "cosine"],
                         )
-                    for floor, items in by_span[m]:
-                        some = np.flatnonzero(count >= floor)
-                        for j in range(0, len(some), 8192):
-                            at = some[j : j + 8192]
-                            p = sums[at]
-                            cos = (p @ queries[items].T) / np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
-                            x, q = np.nonzero(cos >= min_cosine)
-                            low = np.searchsorted(place, np.maximum(at[x] - 1, base[of[at[x]]]))
-                            enough = own_words.counts(items[q], low, np.searchsorted(place, at[x] + m, side="right"), term) >= floors[items[q]]
-                            x, q = x[enough], q[enough]
-                            if len(x):
-                                yield pa.record_batch(
-                                    [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
-                                    names=["doc", "block", "item", "cosine"],
-                                )
+                    items, floor = by_span[m], floors[by_span[m]]
+                    some = np.flatnonzero(count >= floor.min())
+                    for j in range(0, len(some), 4096):
+                        at = some[j : j + 4096]
+                        p = sums[at]
+                        cos = (p @ queries[items].T) / np.maximum(np.sqrt(np.einsum("ij,ij->i", p, p)), 1e-12)[:, None]
+                        x, q = np.nonzero((cos >= min_cosine) & (count[at][:, None] >= floor))
+                        low = np.searchsorted(place, np.maximum(at[x] - 1, base[of[at[x]]]))
+                        enough = own_words.counts(items[q], low, np.searchsorted(place, at[x] + m, side="right"), term) >= floor[q]
+                        x, q = x[enough], q[enough]
+                        if len(x):
+                            yield pa.record_batch(
+                                [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
+                                names=["doc", "block", "item", "cosine"],
+                            )
 
     return compact.mapInArrow(near, f"doc {kind}, block int, item int, cosine double")
 
@@ -481,8 +483,6 @@ def contaminated(
     found = written(_candidates(compact, bench, weight, probes.take(terms), rank, extra, min_cosine, least_share), "lsi-candidates")
     # One row a document: which passages and items to look at.
     todo = found.groupBy("doc").agg(F.collect_list(F.struct("block", "item", "cosine")).alias("todo"))
-    if found.count() <= MAX_BROADCAST_PAIRS:  # some 30 bytes each; more are joined
-        todo = F.broadcast(todo)
     joined = documents.select(doc_id, text).join(todo, F.col(doc_id).eqNullSafe(F.col("doc"))).select(doc_id, text, "todo")
     box = spark.sparkContext.broadcast((bench, copied, reworded))
 
