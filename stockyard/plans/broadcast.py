@@ -7,7 +7,9 @@ Two kinds of join input exist in this engine:
   distributed numbering (one row per partition).
   They are hinted with ``broadcast()`` *after* a bounded count proves they are
   small: ``limit(max_rows + 1).count()`` stops reading once the bound is
-  passed, so the check costs at most ``max_rows + 1`` rows.
+  passed, so for a stored table the check costs at most ``max_rows + 1`` rows. A derived
+  dimension (the ship-method list, an aggregate of ``orders``) has to be derived for it first:
+  one column scanned and aggregated in its map tasks. Giving the list (``methods``) spares that.
 * Everything that grows with the data (``supplier``, ``part``, ``customer``,
   ``orders``, change sets). They are never hinted. The planner broadcasts them
   only when their estimated size is under ``spark.sql.autoBroadcastJoinThreshold``
@@ -25,7 +27,7 @@ DIMENSION_MAX_ROWS = 10_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    """True when ``df`` has at most ``max_rows`` rows; takes at most max_rows + 1 of them."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

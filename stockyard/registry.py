@@ -8,6 +8,7 @@ operations (category 7, location 8, region AMERICA, +5 %).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from functools import reduce
 from .functions import report, table_functions
 from .operators import cross_territory, ranking, sales, stock, updates
 from .plans.scratch import Scratch
+from .session import checkpoint_dir
 from .sources import fixture
 from .sources.bucketed import store_bucketed
 from .sources.tables import Tables
@@ -90,15 +92,23 @@ def q_email_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.set_email(_tables(spark, sf_dir)).updated
 
 
+def _together(spark: SparkSession, *outcomes: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of several updates' outcomes. Their changes are collapsed by jobs that
+    don't depend on each other, so these run side by side."""
+    checkpoint_dir(spark)  # settled before several ask for it
+    with ThreadPoolExecutor(len(outcomes)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(lambda outcome: outcome(), outcomes))
+
+
 def q_update_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    outcomes = [
-        stock.adjust_stock(t, CATEGORY, LOCATION, PCT).outcome,
-        updates.set_order_quantity(t).outcome,
-        updates.set_ship_method(t).outcome,
-        updates.set_email(t).outcome,
-    ]
-    return reduce(DataFrame.unionByName, outcomes)
+    return _together(
+        spark,
+        lambda: stock.adjust_stock(t, CATEGORY, LOCATION, PCT).outcome,
+        lambda: updates.set_order_quantity(t).outcome,
+        lambda: updates.set_ship_method(t).outcome,
+        lambda: updates.set_email(t).outcome,
+    )
 
 
 def q_stock_adjusted_ceil(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,12 +137,12 @@ def q_email_mixed_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_mixed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    outcomes = [
-        stock.adjust_stock(t, NO_CATEGORY, LOCATION, PCT).outcome,
-        updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)).outcome,
-        updates.set_email(t, fixture.mixed_email_changes(t)).outcome,
-    ]
-    return reduce(DataFrame.unionByName, outcomes)
+    return _together(
+        spark,
+        lambda: stock.adjust_stock(t, NO_CATEGORY, LOCATION, PCT).outcome,
+        lambda: updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)).outcome,
+        lambda: updates.set_email(t, fixture.mixed_email_changes(t)).outcome,
+    )
 
 
 def q_cross_territory_order_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +221,7 @@ def q_written_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         updates.set_order_quantity(t, fixture.mixed_quantity_changes(t)),
         updates.set_email(t, fixture.mixed_email_changes(t)),
     ]
-    return reduce(DataFrame.unionByName, [c.write(scratch.path(c.op)) for c in changes])
+    return _together(spark, *(lambda c=c: c.write(scratch.path(c.op)) for c in changes))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
