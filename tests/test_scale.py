@@ -200,7 +200,7 @@ def test_hot_order_collapses_before_shuffle_and_results_exact(spark, hot_order_r
     plan = df._jdf.queryExecution().executedPlan().toString()
     # the partial set aggregation sits below the exchange on the order key
     below = plan.split("Exchange hashpartitioning(order_id")[1]
-    assert "partial_collect_set" in below.split("Exchange")[0]
+    assert "partial_bit_or" in below.split("Exchange")[0]
 
     u1 = sales.sales_by_territory(t, 7).toPandas()
     assert _same(u1, con.execute(entry_module.oracle_sql()["sales_by_territory"]).df())
