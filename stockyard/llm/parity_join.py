@@ -568,6 +568,8 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     same = lambda df: [F.col(doc_id).eqNullSafe(F.col("__id")), F.xxhash64(text) == F.col("__hash")]
     named = judged.select(F.col("doc").alias("__id"), F.col("text_hash").alias("__hash"), "stays", "rows")
     gone = written(named.filter(~F.col("stays")).select("__id", "__hash"), "near-gone")
+    if gone.count() <= MAX_BROADCAST_IDS:  # 16 bytes each; more are joined
+        gone = F.broadcast(gone)
     kept = documents.join(gone, same(gone), "left_anti")
     again = written(named.filter(F.col("stays") & (F.col("rows") > 1)).select("__id", "__hash"), "near-again")
     if again.isEmpty():
