@@ -85,7 +85,10 @@ def keep_fraction(doc_id: str, fraction: float):
 
 def text_slices(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of whole rows of about ``max_bytes`` of ``col``, so the
-    arrays derived from one run stay small however long the texts are."""
+    arrays derived from one run stay small however long the texts are. Before the first and after
+    the last, memory that Arrow keeps in this Python worker for later goes back to the system."""
+    pool = pa.default_memory_pool()
+    pool.release_unused()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -94,6 +97,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 4
         cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    pool.release_unused()
 
 
 def binary_parts(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -35,6 +35,7 @@ from stockyard.llm.common import binary_parts, text_slices
 _NONE = np.int32(2**31 - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _UNITS = re.compile(" +[^ ]*")
+SLICE_BYTES = 2 << 20  # of text encoded at a time: the arrays made of them are many times as large
 
 
 @dataclass(frozen=True)
@@ -370,16 +371,17 @@ def _with(schema: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema if f.name.lower() not in names] + list(new))
 
 
-def _mapped(df: DataFrame, model_path: str, col: str, new: T.StructType, fn) -> DataFrame:
+def _mapped(df: DataFrame, model_path: str, col: str, new: T.StructType, fn, without: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns ``new`` that ``fn`` makes of ``col``; those in ``without`` are not put out."""
     box = df.sparkSession.sparkContext.broadcast(load(model_path))
-    schema = _with(df.schema, new)
+    schema = _with(T.StructType([f for f in df.schema if f.name not in without]), new)
     kept = [f.name for f in schema][: len(schema) - len(new)]
     names = list(schema.names)
     texts = not isinstance(df.schema[col].dataType, T.ArrayType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, memo = box.value, Memo()
-        for b in text_slices(batches, col, 12 << 20) if texts else batches:
+        for b in text_slices(batches, col, SLICE_BYTES) if texts else batches:
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([b.column(k) for k in kept] + fn(t, memo, b.column(col)), names=names)
 
@@ -431,4 +433,4 @@ def round_trip_digest(df: DataFrame, model_path: str, text: str = "text") -> Dat
         sha_text = [_sha(view[min(a + 1, b) : b]) for a, b in zip(off.tolist(), off[1:].tolist())]
         return [pa.array(n_tokens.astype(np.int64)), pa.array(sha_ids, pa.string()), pa.array(sha_text, pa.string())]
 
-    return _mapped(df, model_path, text, new, digest).select(*keep, *new.names)
+    return _mapped(df, model_path, text, new, digest, without=(text,)).select(*keep, *new.names)

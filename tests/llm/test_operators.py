@@ -6,6 +6,7 @@ import collections
 import hashlib
 import os
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -55,6 +56,28 @@ def test_sentencepiece_equals_the_library(docs_of, corpus):
         assert sentencepiece_bpe.decode_ids(wild, ids) == own.decode(ids)
 
 
+@needs_model
+def test_sentencepiece_works_in_small_slices(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    words = ["".join(map(chr, r.integers(97, 123, n))) for n in r.integers(2, 9, 5000)]
+    texts = [" ".join(words[k] for k in r.integers(0, len(words), 2000)) for _ in range(1200)]
+    df, got = spark.createDataFrame([], "doc_id long, text string, lang string"), []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: got.append((run, schema)) or spark.createDataFrame([], schema))
+    sentencepiece_bpe.round_trip_digest(df, registry.PIECE_MODEL)
+    run, schema = got[0]
+    assert "text" not in schema.names  # the task doesn't send back what it read
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts), pa.array(["x"] * len(texts))], names=["doc_id", "text", "lang"])
+    size = batch.column("text").nbytes
+    assert size > 10 << 20
+    rows, work = 0, run(iter([batch]))
+    rows += next(work).num_rows  # by now the vocabulary has been read and the first slice is done
+    tracemalloc.start()
+    rows += sum(b.num_rows for b in work)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 4 * size  # a slice's arrays take some ten times its bytes
+
+
 @pytest.mark.parametrize("max_keys", [1000, 0])
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_line_dedup(docs_of, corpus, max_keys, keep_first):
