@@ -34,9 +34,7 @@ def op2_benchmark_lsi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), "toxic")
-    train = documents.join(labels, F.col("doc_id") == F.col("__id")).filter(~held_out())
-    model = toxicity.fit(train.select("doc_id", "text", "toxic"))
+    model = toxicity.fit(documents.filter(~held_out()), labels=table(spark, sf_dir, "labels"))
     return toxicity.score(documents.withColumn("held_out", held_out()), model).drop("text")
 
 

@@ -10,7 +10,8 @@ toxic texts mention it.
 Fitting uses about ``max_rows`` labelled rows (a documented bound; rows are chosen
 by a hash of the id). Word counts are summed per task before the shuffle; the at
 most ``MAX_FEATURES`` features of clearest association are kept, so the fit on the
-driver is bounded by both.
+driver is bounded by both. With the labels in a table of their own, those of the sample
+are broadcast behind a count, so that no text is shuffled to meet its label.
 
 Defined results: null and empty texts have no word and get the score of a text
 without any feature; repeated rows get a row each; if only one label (or none)
@@ -38,6 +39,7 @@ from stockyard.llm.common import keep_fraction, text_slices
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 512
+MAX_BROADCAST_ROWS = 200_000  # labels of the sample (an id and a number each); more are left to the planner
 STEMS = (4, 5, 6, 7)  # word beginnings that count as features, marked by a final *
 MARKS = ".,;:!?\"'()[]{}#$%&*|<>«»¿¡-–—…"
 
@@ -145,18 +147,40 @@ def swaps(text: str, known: dict[str, int]) -> Iterator[tuple[tuple[int, int], .
                     yield d
 
 
+def labelled(df: DataFrame, labels: DataFrame | None, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose ``label`` is 0 or 1; with ``labels`` (``doc_id`` and ``label``), a row
+    for each label of their id."""
+    if labels is None:
+        return df.filter(F.col(label).isin(0, 1))
+    known = labels.select(F.col(doc_id).alias("__id"), label).filter(F.col(label).isin(0, 1))
+    return df.select(doc_id, text).join(known, F.col(doc_id) == F.col("__id")).drop("__id")
+
+
+def sampled(
+    df: DataFrame, labels: DataFrame | None, fraction: float, label: str = "toxic", doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """About ``fraction`` of the labelled rows, by a hash of the id."""
+    rows = df.filter(keep_fraction(doc_id, fraction))
+    if labels is not None and labels.schema[doc_id].dataType == df.schema[doc_id].dataType:  # else equal ids may differ in hash
+        labels = labels.select(doc_id, label).filter(keep_fraction(doc_id, fraction) & F.col(label).isin(0, 1))
+        if labels.count() <= MAX_BROADCAST_ROWS:
+            labels = F.broadcast(labels)
+    return labelled(rows, labels, label, doc_id, text)
+
+
 def fit(
     df: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS,
-    max_features: int = MAX_FEATURES, fairness: float = 10.0, ridge: float = 1e-3, steps: int = 600,
+    max_features: int = MAX_FEATURES, fairness: float = 10.0, ridge: float = 1e-3, steps: int = 600, labels: DataFrame | None = None,
 ) -> Model:
-    """Fit on the rows of ``df`` whose ``label`` is 0 or 1."""
-    rows = df.filter(F.col(label).isin(0, 1))
+    """Fit on the rows of ``df`` whose ``label`` is 0 or 1; ``labels``: the table that has the
+    labels by ``doc_id``, if ``df`` hasn't."""
+    rows = labelled(df, labels, label, doc_id, text)
     n = {int(r[0]): r[1] for r in rows.groupBy(label).count().collect()}
     total = sum(n.values())
     if len(n) < 2:
         share = n.get(1, 0) / total if total else 0.0
         return Model([], np.zeros(0), 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    some = rows.filter(keep_fraction(doc_id, max_rows / total)).select(doc_id, text, F.col(label).cast("int").alias("__y"))
+    some = sampled(df, labels, max_rows / total, label, doc_id, text).select(doc_id, text, F.col(label).cast("int").alias("__y"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, text):
@@ -168,7 +192,7 @@ def fit(
 
     seen = some.groupBy().agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("t")).first()
     if not seen.n or not seen.t or seen.t == seen.n:
-        return fit(df, label, doc_id, text, 2 * max_rows, max_features, fairness, ridge, steps)
+        return fit(df, label, doc_id, text, 2 * max_rows, max_features, fairness, ridge, steps, labels)
     expected = F.col("docs") * (seen.t / seen.n)
     gap = (F.col("toxic") - expected) / F.sqrt(expected * (1 - seen.t / seen.n) + 0.5)
     table = some.select(text, "__y").mapInArrow(count, "name string, docs long, toxic long").groupBy("name").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"))

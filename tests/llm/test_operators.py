@@ -312,6 +312,31 @@ def test_toxicity_and_its_counterfactual_penalty(spark, docs_of, corpus):
     assert empty.count() == 0
 
 
+@pytest.mark.parametrize("most", [toxicity.MAX_BROADCAST_ROWS, 0])
+def test_toxicity_labels_meet_texts_without_a_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "MAX_BROADCAST_ROWS", most)
+    monkeypatch.setattr(toxicity, "MAX_FEATURES", 50)
+    r = np.random.default_rng(1)
+    texts = [(k, " ".join(f"w{x}" for x in r.integers(0, 50, 20)) + (" idiot" if k % 3 == 0 else "")) for k in range(600)]
+    docs = spark.createDataFrame([*texts, (7, "a second text of one id"), (None, "no id")], "doc_id long, text string")
+    marks = [(k, int(k % 3 == 0)) for k in range(0, 600, 2)] + [(7, 1), (7, 0), (8, None), (9, 2), (None, 1), (7000, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    joined = docs.join(labels, "doc_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        some = toxicity.sampled(docs, labels, 0.5)
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == (most == 0) and ("BroadcastHashJoin" in plan) == (most > 0)
+        want = toxicity.sampled(joined, None, 0.5)
+        assert sorted(map(tuple, some.collect())) == sorted(map(tuple, want.select("doc_id", "text", "toxic").collect()))
+        assert 0 < some.count() < toxicity.labelled(docs, labels).count() == 304
+        a, b = toxicity.fit(docs, max_rows=200, labels=labels), toxicity.fit(joined, max_rows=200)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a.names == b.names and np.allclose(a.weight, b.weight) and abs(a.bias - b.bias) < 1e-6
+
+
 def test_benchmark_lsi(spark, docs_of, corpus):
     r = np.random.default_rng(2)
     vocab = [f"{a}{b}{c}" for a in "bdfgk" for b in ("ara", "elo", "imu") for c in "lmnrst"]
