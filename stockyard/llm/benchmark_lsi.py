@@ -41,7 +41,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +64,22 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (x.strip(MARKS).lower() for x in (text or "").split()) if w]
 
 
+def _lowered(text: str | None) -> list[str]:
+    """Words in lower case, marks at their ends to be taken off. The whole text at once, unless
+    it has the one letter whose lower case depends on what is beside it."""
+    text = text or ""
+    return text.lower().split() if "Σ" not in text else [x.strip(MARKS).lower() for x in text.split()]
+
+
 @dataclass
 class Item:
     item_id: object
     words: list[str]
     answer: list[str]
+    times: Counter = field(init=False)  # how often it has each word
+
+    def __post_init__(self):
+        self.times = Counter(self.words)
 
 
 @dataclass
@@ -116,8 +127,11 @@ def _frequencies(documents: DataFrame, bench: Benchmark, text: str) -> tuple[np.
         for b in text_slices(batches, text):
             row, at, term, blocks = _hits(b.column(text), terms, block)
             base = np.cumsum(blocks) - blocks
-            cell = np.unique((base[row] + at) * len(terms) + term)
-            df[:-1] += np.bincount(cell % len(terms), minlength=len(terms))
+            # Hits come by block: a stable order by term puts a term's hits of one block side by side.
+            by = np.argsort(term.astype(np.uint16) if len(terms) <= 1 << 16 else term, kind="stable")
+            cell, term = (base[row] + at)[by], term[by]
+            new = np.r_[True, (term[1:] != term[:-1]) | (cell[1:] != cell[:-1])][: len(term)]
+            df[:-1] += np.bincount(term[new], minlength=len(terms))
             n += blocks.sum()
         df[-1] = n
         seen = np.flatnonzero(df)
@@ -220,6 +234,8 @@ class Probes:
         may have as many probed words as the item needs, from the rows' hits."""
         none = np.zeros(0, np.int64)
         n_terms, n_items = len(self.start) - 1, len(self.need)
+        probed = (np.diff(self.start) > 0)[term]
+        row, block, term = row[probed], block[probed], term[probed]
         # By whole texts first; only few have enough of an item.
         seen = np.unique(row.astype(np.int64) * n_terms + term)
         of, entry = self._entries(seen % n_terms)
@@ -288,14 +304,29 @@ def _cells(row: np.ndarray, block: np.ndarray, term: np.ndarray, n_terms: int) -
     return row[new], block[new], np.cumsum(new) - 1, term
 
 
-def _sums(rows: np.ndarray, index: np.ndarray, first: np.ndarray, step: int = 256) -> np.ndarray:
+def _sums(rows: np.ndarray, index: np.ndarray, first: np.ndarray, step: int = 512, short: int = 8) -> np.ndarray:
     """Sums of ``rows[index]`` over the runs that begin at ``first``, some runs at a time so
-    that what is gathered stays in the cache."""
+    that what is gathered stays in the cache. Most runs are short: of these the k-th rows are
+    added all at once, in the order in which ``reduceat`` adds them, which takes the others."""
     out = np.empty((len(first), rows.shape[1]), rows.dtype)
-    ends = np.r_[first, len(index)]
-    for a in range(0, len(first), step):
-        z = min(a + step, len(first))
-        np.add.reduceat(rows[index[ends[a] : ends[z]]], first[a:z] - ends[a], axis=0, out=out[a:z])
+    size = np.diff(np.r_[first, len(index)])
+    by = np.argsort(-size, kind="stable")
+    n_long = int(np.searchsorted(-size[by], -short))
+    for a in range(0, n_long, step // short):
+        of = by[a : min(a + step // short, n_long)]
+        start = np.cumsum(size[of]) - size[of]
+        at = np.arange(int(size[of].sum())) + np.repeat(first[of] - start, size[of])
+        out[of] = np.add.reduceat(rows[index[at]], start, axis=0)
+    for a in range(n_long, len(by), step):
+        of = by[a : a + step]
+        begin, n = first[of], -size[of]
+        part, more = rows[index[begin]], int(np.searchsorted(n, -1))  # runs of two rows or more
+        rest = rows[index[begin[:more] + 1]]
+        for k in range(2, short):
+            some = int(np.searchsorted(n, -k))
+            rest[:some] += rows[index[begin[:some] + k]]
+        part[:more] += rest
+        out[of] = part
     return out
 
 
@@ -375,6 +406,7 @@ def _candidates(
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         basis, queries, spans, by_span, probes, own_words, floors = box.value
         widest = max(by_span)
+        query = {m: queries[items].T for m, items in by_span.items()}
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 b = whole.slice(k, 256)
@@ -416,14 +448,18 @@ def _candidates(
                     for j in range(0, len(some), 4096):
                         at = some[j : j + 4096]
                         p = sums[at]
-                        cos = (p @ queries[items].T) / np.maximum(np.sqrt(np.einsum("ij,ij->i", p, p)), 1e-12)[:, None]
-                        x, q = np.nonzero((cos >= min_cosine) & (count[at][:, None] >= floor))
+                        product, norm = p @ query[m], np.maximum(np.sqrt(np.einsum("ij,ij->i", p, p)), 1e-12)
+                        # Few pass the bound, which rounding leaves a little below the cosine's.
+                        x, q = np.divmod(np.flatnonzero(product >= ((min_cosine - 1e-4) * norm)[:, None]), len(items))
+                        cos = product[x, q] / norm[x]
+                        enough = (cos >= min_cosine) & (count[at[x]] >= floor[q])
+                        x, q, cos = x[enough], q[enough], cos[enough]
                         low = np.searchsorted(place, np.maximum(at[x] - 1, base[of[at[x]]]))
                         enough = own_words.counts(items[q], low, np.searchsorted(place, at[x] + m, side="right"), term) >= floor[q]
-                        x, q = x[enough], q[enough]
+                        x, q, cos = x[enough], q[enough], cos[enough]
                         if len(x):
                             yield pa.record_batch(
-                                [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos[x, q].astype(np.float64))],
+                                [b.column("doc").take(pa.array(of[at[x]])), pa.array((at[x] - base[of[at[x]]]).astype(np.int32)), pa.array(items[q].astype(np.int32)), pa.array(cos.astype(np.float64))],
                                 names=["doc", "block", "item", "cosine"],
                             )
 
@@ -437,16 +473,15 @@ def common_subsequence(item: list[str], region: list[str]) -> int:
         places[w] = places.get(w, 0) | (1 << k)
     full = (1 << len(item)) - 1
     row = full
-    for w in region:
-        hit = row & places.get(w, 0)
+    for at in filter(None, map(places.get, region)):
+        hit = row & at
         row = ((row + hit) | (row - hit)) & full
     return len(item) - row.bit_count()
 
 
 def matches(item: Item, region: list[str], copied: float, reworded: float) -> float:
     """Share of the item that the region has in order; 0 if that isn't contamination."""
-    here = set(region)
-    if sum(w in here for w in item.words) < min(copied, reworded) * len(item.words):
+    if sum(map(item.times.__getitem__, item.times.keys() & region)) < min(copied, reworded) * len(item.words):
         return 0.0  # more can't be in order
     share = common_subsequence(item.words, region) / len(item.words)
     if share >= copied:
@@ -491,15 +526,19 @@ def contaminated(
         for b in text_slices(batches, text):
             docs, items, cosines, shares = [], [], [], []
             for d, t, todo in zip(b.column(doc_id).to_pylist(), b.column(text).to_pylist(), b.column("todo").to_pylist()):
-                raw = [x.strip(MARKS).lower() for x in (t or "").split()]
+                raw = _lowered(t)
+                blocks: dict[int, list[str]] = {}  # those that regions have, cleaned once
                 best: dict[tuple[int, int], float] = {}  # found by cosine, by probe, or both
                 for x in todo:
                     at = x["block"], x["item"]
                     best[at] = max(x["cosine"], best.get(at, -1.0))
                 for (block, k), cosine in best.items():
                     item = bench.items[k]
-                    start = max(0, (block - 1) * bench.block)
-                    region = raw[start : (block + bench.span(item) + 1) * bench.block]
+                    region = []
+                    for j in range(max(0, block - 1), block + bench.span(item) + 1):
+                        if j not in blocks:
+                            blocks[j] = [x.strip(MARKS) for x in raw[j * bench.block : (j + 1) * bench.block]]
+                        region += blocks[j]
                     share = matches(item, region, copied, reworded)
                     if share:
                         docs.append(d)
